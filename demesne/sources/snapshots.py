@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from demesne.schemas import schema_of
 
 
 def read_snapshot(
-    spark: SparkSession, root: str, name: str, fmt: str = "parquet", schema: StructType | None = None
+    spark: SparkSession, root: str, name: str, fmt: str = "parquet", schema: str | None = None
 ) -> DataFrame:
     """One relation of a snapshot with its declared schema; `database` is a plain column."""
     return spark.read.format(fmt).schema(schema or schema_of(name)).load(f"{root}/{name}")
 
 
 def read_optional(
-    spark: SparkSession, root: str, name: str, fmt: str = "parquet", schema: StructType | None = None
+    spark: SparkSession, root: str, name: str, fmt: str = "parquet", schema: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """A relation that may be absent, and its run-log row.
 
