@@ -2,8 +2,8 @@
 
 A list is one value and must fit one task. Groups above `limit` rows are
 therefore cut into several consecutive pieces: they are range-partitioned on
-key and order, and every range gives one row. `piece` is 0 for the ordinary
-single-row group and ascends in list order otherwise; nothing is dropped.
+key and order, and every range gives one row. `piece` is 0 for a list in one
+row, else a number from 1 up that ascends in list order; nothing is dropped.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def collect_ordered(
     big_rows = (
         df.join(big, same, "left_semi")
         .repartitionByRange(*keys, *order)
-        .withColumn(PIECE, F.spark_partition_id())
+        .withColumn(PIECE, F.spark_partition_id() + 1)
     )
     return _fold(small_rows, keys, order, cols, aggs).unionByName(_fold(big_rows, keys, order, cols, aggs))
 

@@ -181,9 +181,9 @@ def foreign_key_degrees(sys: Sys) -> DataFrame:
 
 
 def column_marks(sys: Sys) -> DataFrame:
-    """Per table: number of columns and the names of identity, computed and sparse ones."""
+    """Columns with their identity, computed and sparse marks."""
     computed = sys["computed_columns"].select(*OBJ, "column_id", F.lit(True).alias("computed"))
-    marked = sys["columns"].join(computed, [*OBJ, "column_id"], "left").select(
+    return sys["columns"].join(computed, [*OBJ, "column_id"], "left").select(
         *OBJ,
         "column_id",
         "name",
@@ -191,18 +191,20 @@ def column_marks(sys: Sys) -> DataFrame:
         F.coalesce("computed", F.lit(False)).alias("computed"),
         F.coalesce(F.col("is_sparse").cast("boolean"), F.lit(False)).alias("sparse"),
     )
-    folded = collect_ordered(
-        marked, OBJ, ["column_id"], ["name", "identity", "computed", "sparse"], [F.count(F.lit(1)).alias("_n")]
-    )
-    whole = folded.groupBy(*OBJ).agg(
-        F.sum("_n").alias("column_count"),
-        F.array_sort(F.collect_list(F.struct("piece", "_items"))).alias("_pieces"),
-    )
-    items = F.flatten(F.transform("_pieces", lambda p: p["_items"]))
-    names = lambda flag: F.transform(F.filter(items, lambda x: x[flag]), lambda x: x["name"])
-    return whole.select(
+
+
+def column_totals(marks: DataFrame) -> DataFrame:
+    return marks.groupBy(*OBJ).agg(F.count(F.lit(1)).alias("column_count"))
+
+
+def column_lists(marks: DataFrame) -> DataFrame:
+    """Names of marked columns per table, in column order; see lists.py on `piece`."""
+    marked = marks.filter("identity or computed or sparse")
+    folded = collect_ordered(marked, OBJ, ["column_id"], ["name", "identity", "computed", "sparse"])
+    names = lambda flag: F.transform(F.filter("_items", lambda x: x[flag]), lambda x: x["name"])
+    return folded.select(
         *OBJ,
-        "column_count",
+        "piece",
         names("identity").alias("identity_columns"),
         names("computed").alias("computed_columns"),
         names("sparse").alias("sparse_columns"),
@@ -210,7 +212,11 @@ def column_marks(sys: Sys) -> DataFrame:
 
 
 def tables(sys: Sys) -> DataFrame:
-    """Tables with kind, storage, child counts, degrees, column marks and share of the database."""
+    """Tables with kind, storage, child counts, degrees, marked columns and share of the database.
+
+    A table with more marked columns than one list may hold (lists.LIST_LIMIT)
+    has a row per piece of its lists; `piece` is 0 in every other case.
+    """
     base = _named(sys["tables"], sys)
     heaps = sys["indexes"].filter(F.col("type_desc") == "HEAP")
     base = exists_flag(base, heaps, OBJ, "_heap")
@@ -222,7 +228,8 @@ def tables(sys: Sys) -> DataFrame:
             "trigger_count": sys["triggers"].withColumn("object_id", F.col("parent_id")),
         },
     )
-    for part in (table_storage(sys), foreign_key_degrees(sys), column_marks(sys)):
+    marks = column_marks(sys)
+    for part in (table_storage(sys), foreign_key_degrees(sys), column_totals(marks), column_lists(marks)):
         base = base.join(part, OBJ, "left")
     return base.join(database_pages(sys), "database", "left").select(
         "database",
@@ -246,6 +253,7 @@ def tables(sys: Sys) -> DataFrame:
         or_empty("identity_columns").alias("identity_columns"),
         or_empty("computed_columns").alias("computed_columns"),
         or_empty("sparse_columns").alias("sparse_columns"),
+        F.coalesce("piece", F.lit(0)).alias("piece"),
     )
 
 
@@ -428,7 +436,7 @@ def agent_jobs(sys: Sys) -> DataFrame:
     """Jobs that have steps, with schedules, next and last run where known."""
     category = sys["job_categories"].select("category_id", F.col("name").alias("category"))
     operator = sys["job_operators"].select(F.col("id").alias("operator_id"), F.col("name").alias("notification_operator"))
-    schedules = job_schedules(sys).filter("piece = 0").drop("piece")
+    schedules = job_schedules(sys).withColumnRenamed("piece", "schedule_piece")
     return (
         sys["jobs"]
         .join(job_steps(sys), "job_id")
@@ -458,6 +466,7 @@ def agent_jobs(sys: Sys) -> DataFrame:
             or_empty("schedule_names").alias("schedule_names"),
             or_empty("schedule_frequency").alias("schedule_frequency"),
             "step_details",
+            F.coalesce("schedule_piece", F.lit(0)).alias("schedule_piece"),
         )
     )
 
@@ -497,7 +506,7 @@ def indexes(sys: Sys) -> DataFrame:
     )
     usage = sys["index_usage_stats"].select(*IDX, "user_seeks", "user_scans", "user_lookups", "user_updates")
     out = named.join(_tables(sys), OBJ).join(groups, ["database", "data_space_id"], "left")
-    for part in (lists.filter("piece = 0").drop("piece"), index_storage(sys), physical, usage):
+    for part in (lists, index_storage(sys), physical, usage):
         out = out.join(part, IDX, "left")
     out = out.join(table_pages(sys), OBJ, "left").join(database_pages(sys), "database", "left")
     return out.select(
@@ -532,6 +541,7 @@ def indexes(sys: Sys) -> DataFrame:
         "user_updates",
         percent_if_any(F.col("page_count"), F.col("table_pages")).alias("percent_of_table"),
         percent_if_any(F.col("page_count"), F.col("database_pages")).alias("percent_of_database"),
+        F.coalesce("piece", F.lit(0)).alias("piece"),
     )
 
 

@@ -32,6 +32,7 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
