@@ -257,10 +257,26 @@ def tables(sys: Sys) -> DataFrame:
     )
 
 
+def typed_columns(sys: Sys) -> DataFrame:
+    """Columns with their table, type, computed text and XML binding."""
+    types = sys["types"].select("database", "user_type_id", F.col("name").alias("data_type"), "is_assembly_type")
+    computed = sys["computed_columns"].select(
+        *OBJ, "column_id", F.col("definition").alias("computed_expression")
+    )
+    collections = _named(sys["xml_schema_collections"], sys).select(
+        "database", "xml_collection_id", qualify("schema", "name").alias("xml_schema_collection")
+    )
+    plain = sys["columns"].join(types, ["database", "user_type_id"]).join(_tables(sys), OBJ)
+    plain = plain.join(computed, [*OBJ, "column_id"], "left")
+    # columns without an XML binding would all meet under the NULL key, so they skip that join
+    bound = plain.filter("xml_collection_id is not null").join(collections, ["database", "xml_collection_id"], "left")
+    free = plain.filter("xml_collection_id is null").withColumn("xml_schema_collection", F.lit(None).cast("string"))
+    return bound.unionByName(free)
+
+
 def columns(sys: Sys) -> DataFrame:
-    """Columns with type, defaults, checks, computed text and XML binding; checks join on their own column."""
+    """Typed columns with their default and check; a check joins on its own column."""
     key = [*OBJ, "column_id"]
-    types = sys["types"].select("database", "user_type_id", F.col("name").alias("data_type"), "is_assembly_type")
     on_column = lambda df, text: df.select(
         "database",
         F.col("parent_object_id").alias("object_id"),
@@ -270,18 +286,10 @@ def columns(sys: Sys) -> DataFrame:
     checks = on_column(sys["check_constraints"], "check_constraint").groupBy(*key).agg(
         F.min("check_constraint").alias("check_constraint")
     )
-    computed = sys["computed_columns"].select(*key, F.col("definition").alias("computed_expression"))
-    collections = _named(sys["xml_schema_collections"], sys).select(
-        "database", "xml_collection_id", qualify("schema", "name").alias("xml_schema_collection")
-    )
     return (
-        sys["columns"]
-        .join(types, ["database", "user_type_id"])
-        .join(_tables(sys), OBJ)
+        typed_columns(sys)
         .join(on_column(sys["default_constraints"], "default_constraint"), key, "left")
         .join(checks, key, "left")
-        .join(computed, key, "left")
-        .join(collections, ["database", "xml_collection_id"], "left")
         .select(
             "database",
             "schema",

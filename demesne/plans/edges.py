@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from demesne.functions.patterns import PSEUDO_TABLES
 from demesne.functions.scalars import name_key, qualify, type_key
 from demesne.operators.keyed import first_wins
-from demesne.operators.membership import bare_catalog, match_bare, name_catalog, resolve_type
+from demesne.operators.membership import bare_catalog, name_catalog
 from demesne.schemas import METADATA, TEXT_MINED, UNRESOLVED, XML_PARSED
 
 EDGE = [
@@ -106,18 +106,13 @@ def type_catalog(views: DataFrame, synonyms: DataFrame, procs: DataFrame, functi
     return name_catalog([(k, df.select("database", "name")) for k, df in parts], ["database"])
 
 
-def _resolved(edges: DataFrame, catalog: DataFrame) -> DataFrame:
-    return resolve_type(edges.drop("target_type"), catalog, ["database"], "target_object", "target_type").select(*EDGE)
-
-
-def text_edges(refs: DataFrame, catalog: DataFrame) -> DataFrame:
+def text_edges(refs: DataFrame) -> DataFrame:
     """Edges of mined references.
 
     refs: database, source_object, source_type, ref_kind, ref_name, parse_status, position.
-    Only table references need the catalog, so only those are joined with it.
     """
     key = F.concat_ws(":", "source_type", "ref_kind")
-    edges = refs.select(
+    return refs.select(
         "database",
         "source_object",
         "source_type",
@@ -128,21 +123,17 @@ def text_edges(refs: DataFrame, catalog: DataFrame) -> DataFrame:
         _lookup(TEXT_RANK, key).alias("edge_rank"),
         "position",
     ).filter("edge_rank is not null")
-    tables = _resolved(edges.filter("target_type is null"), catalog)
-    return edges.filter("target_type is not null").unionByName(tables)
 
 
-def trigger_edges(triggers: DataFrame, catalog: DataFrame) -> DataFrame:
+def trigger_edges(triggers: DataFrame) -> DataFrame:
     """trigger -> the table it fires on, whatever its text holds (database, name, table)."""
     known = triggers.filter("`table` is not null and `table` != ''")
-    rows = _edges(known, F.col("name"), "trigger", F.col("table"), None, "fires_on", FIRES_ON)
-    return _resolved(rows, catalog)
+    return _edges(known, F.col("name"), "trigger", F.col("table"), None, "fires_on", FIRES_ON)
 
 
-def synonym_edges(synonyms: DataFrame, catalog: DataFrame) -> DataFrame:
+def synonym_edges(synonyms: DataFrame) -> DataFrame:
     known = synonyms.filter("base_object is not null and base_object != ''")
-    rows = _edges(known, F.col("name"), "synonym", F.col("base_object"), None, "references", SYNONYM)
-    return _resolved(rows, catalog)
+    return _edges(known, F.col("name"), "synonym", F.col("base_object"), None, "references", SYNONYM)
 
 
 def foreign_key_edges(foreign_keys: DataFrame) -> DataFrame:
@@ -160,35 +151,39 @@ def package_edges(tasks: DataFrame) -> DataFrame:
     )
 
 
-def write_edges(tasks: DataFrame, catalog: DataFrame) -> DataFrame:
+def write_edges(tasks: DataFrame) -> DataFrame:
     """package -> table a data flow loads (database, package, written_tables); optional evidence."""
     rows = tasks.select("database", "package", F.explode("written_tables").alias("_t"))
     target = F.regexp_replace("_t", r"[\[\]]", "")
-    return _resolved(_edges(rows, F.col("package"), "package", target, None, "writes", WRITES, XML_PARSED), catalog)
+    return _edges(rows, F.col("package"), "package", target, None, "writes", WRITES, XML_PARSED)
 
 
 def type_edges(columns: DataFrame, types: DataFrame) -> DataFrame:
     """table -> user-defined type or XML schema collection of its columns.
 
     columns: database, table_name, data_type, xml_schema_collection; types: database, name.
-    Column types carry no schema, so they are matched on the bare name.
+    Column types carry no schema, so they are matched on the bare name. Both uses
+    are rows of one pass over the columns.
     """
     catalog = bare_catalog(types.select("database", "name").distinct(), ["database"], "name", [], "type_name")
-    distinct = columns.select("database", "table_name", type_key("data_type").alias("_type")).distinct()
-    typed = match_bare(distinct, catalog, ["database"], F.col("_type"))
-    bound = columns.filter("xml_schema_collection is not null and xml_schema_collection != ''")
-    return _edges(
-        typed, F.col("table_name"), "table", F.col("type_name"), "user_defined_type", "uses_type", USES_UDT
-    ).unionByName(
-        _edges(
-            bound,
-            F.col("table_name"),
-            "table",
-            F.col("xml_schema_collection"),
-            "xml_schema_collection",
-            "uses_type",
-            USES_XML,
-        )
+    uses = F.array(
+        F.struct(F.lit("user_defined_type").alias("kind"), type_key("data_type").alias("key")),
+        F.struct(F.lit("xml_schema_collection").alias("kind"), F.col("xml_schema_collection").alias("key")),
+    )
+    used = columns.select("database", "table_name", F.inline(uses)).filter("key is not null and key != ''").distinct()
+    by_type = F.col("kind") == "user_defined_type"
+    keyed = used.withColumn("bare_key", F.when(by_type, F.col("key")).otherwise(F.concat(F.lit("\0"), "key")))
+    found = keyed.join(catalog, ["database", "bare_key"], "left").filter(~by_type | F.col("type_name").isNotNull())
+    return found.select(
+        "database",
+        F.col("table_name").alias("source_object"),
+        F.lit("table").alias("source_type"),
+        F.coalesce("type_name", "key").alias("target_object"),
+        F.col("kind").alias("target_type"),
+        F.lit("uses_type").alias("relationship_type"),
+        F.lit(METADATA).alias("discovery_method"),
+        F.when(by_type, USES_UDT).otherwise(USES_XML).alias("edge_rank"),
+        _start().alias("position"),
     )
 
 
@@ -216,11 +211,12 @@ def valid_dependencies(rows: DataFrame) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a & b, named, sure))
 
 
-def backfill_edges(dependencies: DataFrame, needs: DataFrame, catalog: DataFrame) -> DataFrame:
+def backfill_edges(dependencies: DataFrame, needs: DataFrame) -> DataFrame:
     """Catalog dependency rows, only for the objects that need them.
 
     The needs relation also holds the object's own id, so the restriction and
-    the recovery of three-part constraint ids are one join.
+    the recovery of three-part constraint ids are one join. Whether an edge
+    reads or calls depends on its target, so it is left open until that is known.
     """
     rows = dependencies.select(
         "database",
@@ -233,28 +229,34 @@ def backfill_edges(dependencies: DataFrame, needs: DataFrame, catalog: DataFrame
     ).filter(F.col("source_type").isNotNull() & ~F.col("_target_key").isin(*PSEUDO_TABLES))
     hits = rows.join(needs, ["database", "source_type", "schema_key", "object_key"])
     own_id = F.when(F.col("source_type") == "constraint", F.col("source_object")).otherwise(F.col("_plain_id"))
-    typed = resolve_type(
-        hits.select("database", own_id.alias("source_object"), "source_type", "target_object"),
-        catalog,
-        ["database"],
-        "target_object",
-        "target_type",
-    )
-    relation = F.when(F.col("target_type").isin("stored_procedure", "function"), "calls").otherwise("reads")
-    return typed.select(
+    return hits.select(
         "database",
-        "source_object",
+        own_id.alias("source_object"),
         "source_type",
         "target_object",
-        "target_type",
-        relation.alias("relationship_type"),
+        F.lit(None).cast("string").alias("target_type"),
+        F.lit(None).cast("string").alias("relationship_type"),
         F.lit(METADATA).alias("discovery_method"),
         F.lit(BACKFILL).alias("edge_rank"),
         _start().alias("position"),
     )
 
 
-def merge_edges(streams: list[DataFrame]) -> DataFrame:
+def resolve_targets(edges: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Fill open target types by the catalog, and open relationships by the target type.
+
+    Dangling targets stay as tables. Edges whose target type is known get a key
+    of their own that matches nothing, so one join serves the whole union.
+    """
+    known = F.col("target_type").isNotNull()
+    key = F.when(known, F.concat(F.lit("\0"), "target_object")).otherwise(name_key("target_object"))
+    joined = edges.withColumn("name_key", key).join(catalog, ["database", "name_key"], "left")
+    filled = joined.withColumn("target_type", F.coalesce("target_type", "resolved_type", F.lit("table")))
+    relation = F.when(F.col("target_type").isin("stored_procedure", "function"), "calls").otherwise("reads")
+    return filled.withColumn("relationship_type", F.coalesce("relationship_type", relation)).select(*EDGE)
+
+
+def merge_edges(streams: list[DataFrame], catalog: DataFrame) -> DataFrame:
     """All edge streams as one, each edge once with its first evidence."""
     together = reduce(DataFrame.unionByName, [s.select(*EDGE) for s in streams])
-    return first_wins(together, EDGE_KEY, ["edge_rank", "position"]).drop("position")
+    return first_wins(resolve_targets(together, catalog), EDGE_KEY, ["edge_rank", "position"]).drop("position")

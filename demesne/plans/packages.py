@@ -37,6 +37,7 @@ _COMPONENTS = (
     "`pipeline`:struct<`components`:struct<`component`:array<struct<`_name`:string,`_componentClassID`:string,"
     "`properties`:struct<`property`:array<struct<`_name`:string,`_VALUE`:string>>>>>>>"
 )
+_STATEMENTS = "array<struct<task_name:string,task_type:string,sql_text:string>>"
 _TASK_DATA = (
     "`DTS:ObjectData`:struct<"
     "`SQLTask:SqlTaskData`:struct<`_SQLTask:SqlStatementSource`:string>,"
@@ -50,34 +51,38 @@ def _executable(depth: int) -> str:
     return f"struct<`_DTS:ExecutableType`:string,{_PROPERTY},{_TASK_DATA},`DTS:Executables`:{inner}>"
 
 
-def package_schema(depth: int = DEPTH) -> str:
-    connection = (
-        "struct<`_DTS:ObjectName`:string,`_DTS:CreationName`:string,"
-        "`DTS:ObjectData`:struct<`DTS:ConnectionManager`:array<struct<`_ConnectionString`:string>>>>"
-    )
-    variable = (
-        "struct<`_DTS:ObjectName`:string,`_DTS:Namespace`:string,`DTS:VariableValue`:struct<`_DTS:DataType`:string>>"
-    )
-    precedence = "struct<`_DTS:From`:string,`_DTS:To`:string,`_DTS:Value`:string>"
-    return (
-        f"struct<{_PROPERTY},"
-        f"`DTS:ConnectionManagers`:struct<`DTS:ConnectionManager`:array<{connection}>>,"
-        f"`DTS:Variables`:struct<`DTS:Variable`:array<{variable}>>,"
-        f"`DTS:Executables`:struct<`DTS:Executable`:array<{_executable(depth)}>>,"
-        f"`DTS:PrecedenceConstraints`:struct<`DTS:PrecedenceConstraint`:array<{precedence}>>,"
-        f"`{CORRUPT}`:string>"
-    )
+_PARTS = {
+    "connections": "`DTS:ConnectionManagers`:struct<`DTS:ConnectionManager`:array<struct<`_DTS:ObjectName`:string,"
+    "`_DTS:CreationName`:string,`DTS:ObjectData`:struct<`DTS:ConnectionManager`:array<struct<"
+    "`_ConnectionString`:string>>>>>>",
+    "variables": "`DTS:Variables`:struct<`DTS:Variable`:array<struct<`_DTS:ObjectName`:string,"
+    "`_DTS:Namespace`:string,`DTS:VariableValue`:struct<`_DTS:DataType`:string>>>>",
+    "precedence": "`DTS:PrecedenceConstraints`:struct<`DTS:PrecedenceConstraint`:array<struct<`_DTS:From`:string,"
+    "`_DTS:To`:string,`_DTS:Value`:string>>>",
+}
+ALL_PARTS = ("connections", "variables", "precedence", "tasks")
+
+
+def package_schema(depth: int = DEPTH, parts: tuple[str, ...] = ALL_PARTS) -> str:
+    """Schema of the parts asked for; the reader skips the rest of the document."""
+    fields = [_PROPERTY] + [_PARTS[p] for p in parts if p in _PARTS]
+    if "tasks" in parts:
+        fields.append(f"`DTS:Executables`:struct<`DTS:Executable`:array<{_executable(depth)}>>")
+    return f"struct<{','.join(fields)},`{CORRUPT}`:string>"
 
 
-def parse(packages: DataFrame, xml: str = "xml", depth: int = DEPTH) -> DataFrame:
+def parse(packages: DataFrame, xml: str = "xml", depth: int = DEPTH, parts: tuple[str, ...] = ALL_PARTS) -> DataFrame:
     """Packages with their parsed document `_doc`; malformed or missing XML is told apart by `error`."""
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         "ignoreSurroundingSpaces": "false",
     }
-    doc = F.from_xml(F.col(xml), package_schema(depth), options)
-    parsed = packages.withColumn("_doc", doc).drop(xml)
+    doc = F.from_xml(F.col(xml), package_schema(depth, parts), options)
+    kept = [c for c in packages.columns if c != xml]
+    # out of a generator the document is computed once; a plain column would be
+    # parsed again by every filter that is pushed below it
+    parsed = packages.select(*kept, F.explode(F.array(doc)).alias("_doc"))
     error = (
         F.when(F.col("_doc").isNull(), "no package text")
         .when(F.col("_doc").getField(CORRUPT).isNotNull(), "malformed package text")
@@ -103,6 +108,11 @@ def _object_name(props: Column, fallback: Column) -> Column:
     return F.coalesce(F.nullif(F.get(named, 0)["_VALUE"], F.lit("")), fallback)
 
 
+def _bind(value: Column, body) -> Column:
+    """body(value) with the value computed once, also where body repeats it or nests lambdas."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
@@ -127,8 +137,7 @@ def _statements(task: Column, name: Column, label: Column) -> Column:
         return F.transform(sql, lambda p: row(owner, kind, _trimmed(p["_VALUE"])))
 
     flows = F.flatten(F.filter(F.transform(components, of_component), lambda a: a.isNotNull()))
-    none = F.filter(own, lambda s: F.lit(False))
-    return F.concat(own, F.coalesce(flows, none))
+    return F.concat(own, F.coalesce(flows, F.array().cast(_STATEMENTS)))
 
 
 def _writes(task: Column) -> Column:
@@ -144,38 +153,48 @@ def _writes(task: Column) -> Column:
     return F.coalesce(F.flatten(F.filter(found, lambda a: a.isNotNull())), F.array().cast("array<string>"))
 
 
+def _label(kind: Column) -> Column:
+    label = kind
+    for code, text in TASK_LABELS.items():
+        label = F.when(kind == code, text).otherwise(label)
+    return label
+
+
 def _tasks(executables: Column, parent: Column, path: Column, depth: int) -> Column:
     """Tasks in document order, a container before its children."""
 
     def of_one(task: Column, i: Column) -> Column:
         kind = F.coalesce(task["_DTS:ExecutableType"], F.lit("Unknown"))
-        label = kind
-        for code, text in TASK_LABELS.items():
-            label = F.when(kind == code, text).otherwise(label)
         name = _object_name(task["DTS:Property"], F.concat(F.lit("unnamed_"), kind))
+        return _bind(F.struct(kind.alias("kind"), name.alias("name")), lambda k: with_name(task, i, k["kind"], k["name"]))
+
+    def with_name(task: Column, i: Column, kind: Column, name: Column) -> Column:
         container = kind.isin(*CONTAINERS)
         here = F.concat(path, F.array(i.cast("int")))
         data = task["DTS:ObjectData"]
         child = data["ExecutePackageTask:ExecutePackageTaskData"]["_ExecutePackageTask:PackageName"]
         inner = task["DTS:Executables"]
-        too_deep = container & (inner != "") if depth <= 1 else F.lit(False)
-        statements = _statements(task, name, label)
-        none = F.filter(statements, lambda s: F.lit(False))
-        row = F.struct(
-            here.alias("path"),
-            name.alias("task_name"),
-            label.alias("task_type"),
-            parent.alias("parent_container"),
-            F.when(container, none).otherwise(statements).alias("statements"),
-            F.when(~container & (kind == PACKAGE_TASK), drop_suffix(child, ".dtsx")).alias("executed_package"),
-            ((kind == SCRIPT_TASK) & data["ScriptTask:ScriptTaskData"].isNotNull() & ~container).alias("_script"),
-            F.when(~container, _writes(task)).otherwise(F.array().cast("array<string>")).alias("written_tables"),
-            F.when(too_deep, inner if depth <= 1 else F.lit(None).cast("string")).alias("overflow_xml"),
+        label = _label(kind)
+        deepest = depth <= 1
+        row = F.array(
+            F.struct(
+                here.alias("path"),
+                name.alias("task_name"),
+                label.alias("task_type"),
+                parent.alias("parent_container"),
+                F.when(container, F.array().cast(_STATEMENTS)).otherwise(_statements(task, name, label)).alias("statements"),
+                F.when(~container & (kind == PACKAGE_TASK), drop_suffix(child, ".dtsx")).alias("executed_package"),
+                F.coalesce((kind == SCRIPT_TASK) & data["ScriptTask:ScriptTaskData"].isNotNull(), F.lit(False)).alias(
+                    "unparseable_body"
+                ),
+                F.when(container, F.array().cast("array<string>")).otherwise(_writes(task)).alias("written_tables"),
+                F.when(container & (inner != ""), inner).alias("overflow_xml") if deepest else F.lit(None).cast("string").alias("overflow_xml"),
+            )
         )
-        if depth <= 1:
-            return F.array(row)
+        if deepest:
+            return row
         below = _tasks(inner["DTS:Executable"], name, here, depth - 1)
-        return F.concat(F.array(row), F.when(container & below.isNotNull(), below).otherwise(F.filter(F.array(row), lambda r: F.lit(False))))
+        return F.when(container & inner["DTS:Executable"].isNotNull(), F.concat(row, below)).otherwise(row)
 
     return F.flatten(F.transform(executables, of_one))
 
@@ -186,8 +205,7 @@ def task_rows(parsed: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFra
     root = F.array().cast("array<int>")
     tasks = _tasks(doc["DTS:Executables"]["DTS:Executable"], F.lit(None).cast("string"), root, depth)
     rows = parsed.filter("error is null").select(*keys, package_name().alias("package"), F.inline(tasks))
-    flag = F.coalesce(F.col("_script"), F.lit(False))
-    return rows.withColumn("unparseable_body", flag).withColumn("overflow", F.col("overflow_xml").isNotNull()).drop("_script")
+    return rows.withColumn("overflow", F.col("overflow_xml").isNotNull())
 
 
 def package_name(hint: str = "name") -> Column:
@@ -246,18 +264,20 @@ def precedence_rows(parsed: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def shred_packages(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = DEPTH) -> dict[str, DataFrame]:
-    """Everything a package holds: log, packages, tasks, statements, connections, variables, precedence."""
-    parsed = parse(packages, xml, depth)
-    tasks = task_rows(parsed, keys, depth)
-    sound = parsed.filter("error is null")
+    """Everything a package holds: log, packages, tasks, connections, variables, precedence.
+
+    Each relation reads only its part of the document. Embedded statements are
+    a column of the tasks; `statement_rows` lists them.
+    """
+    head = parse(packages, xml, depth, ())
+    tasks = task_rows(parse(packages, xml, depth, ("tasks",)), keys, depth)
     return {
-        "log": parse_log(parsed),
-        "packages": sound.withColumn("package", package_name()).drop("_doc", "error"),
-        "tasks": tasks.drop("statements"),
-        "statements": statement_rows(tasks, keys),
-        "connections": connection_rows(parsed, keys),
-        "variables": variable_rows(parsed, keys),
-        "precedence": precedence_rows(parsed, keys),
+        "log": parse_log(head),
+        "packages": head.filter("error is null").withColumn("package", package_name()).drop("_doc", "error"),
+        "tasks": tasks,
+        "connections": connection_rows(parse(packages, xml, depth, ("connections",)), keys),
+        "variables": variable_rows(parse(packages, xml, depth, ("variables",)), keys),
+        "precedence": precedence_rows(parse(packages, xml, depth, ("precedence",)), keys),
     }
 
 
@@ -267,18 +287,17 @@ def open_overflow(tasks: DataFrame, keys: list[str], depth: int = DEPTH) -> Data
         *keys, "package", F.col("path").alias("_path"), F.col("task_name").alias("_parent"), "overflow_xml"
     )
     wrapped = F.concat(F.lit("<r><DTS:Executables>"), F.col("overflow_xml"), F.lit("</DTS:Executables></r>"))
-    parsed = parse(raw.withColumn("xml", wrapped).drop("overflow_xml"), "xml", depth)
+    parsed = parse(raw.withColumn("xml", wrapped).drop("overflow_xml"), "xml", depth, ("tasks",))
     doc = F.col("_doc")
     rows = parsed.filter("error is null").select(
         *keys, "package", F.inline(_tasks(doc["DTS:Executables"]["DTS:Executable"], F.col("_parent"), F.col("_path"), depth))
     )
-    flag = F.coalesce(F.col("_script"), F.lit(False))
-    return rows.withColumn("unparseable_body", flag).withColumn("overflow", F.col("overflow_xml").isNotNull()).drop("_script")
+    return rows.withColumn("overflow", F.col("overflow_xml").isNotNull())
 
 
 def shred_deep(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = DEPTH) -> DataFrame:
     """All task rows at any nesting; one extra pass per `depth` levels, only while some row overflows."""
-    level = task_rows(parse(packages, xml, depth), keys, depth)
+    level = task_rows(parse(packages, xml, depth, ("tasks",)), keys, depth)
     out = level
     while not level.filter("overflow").isEmpty():
         level = open_overflow(level, keys, depth)
@@ -303,6 +322,6 @@ def content_counts(packages: DataFrame, keys: list[str], xml: str = "xml", depth
         n(doc["DTS:Variables"]["DTS:Variable"]).alias("variables"),
         n(doc["DTS:PrecedenceConstraints"]["DTS:PrecedenceConstraint"]).alias("precedence_constraints"),
         n(F.flatten(F.transform(t, lambda x: x["statements"]))).alias("embedded_sql_extracted"),
-        n(F.filter(t, lambda x: x["_script"])).alias("script_tasks"),
+        n(F.filter(t, lambda x: x["unparseable_body"])).alias("script_tasks"),
         n(F.filter(t, lambda x: x["executed_package"].isNotNull())).alias("child_packages"),
     )

@@ -266,9 +266,12 @@ class Estate:
 
     def __init__(self, tables: Tables):
         self._tables = tables
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._tables.sql(RAW[name])
+        if name not in self._built:
+            self._built[name] = self._tables.sql(RAW[name])
+        return self._built[name]
 
 
 def with_raw(body: str) -> str:

@@ -192,7 +192,7 @@ def fingerprint_rows(t):
 
 @query("fingerprint_texts", "SELECT doc_id, sha256(text) AS fingerprint FROM documents")
 def fingerprint_texts(t):
-    return t["documents"].select("doc_id", S.fingerprint("text").alias("fingerprint"))
+    return t.spread("documents", "doc_id").select("doc_id", S.fingerprint("text").alias("fingerprint"))
 
 
 _CONN = "'Data Source=srv' || o_custkey || ';User Id=u' || o_orderkey || ';{} = s3cret' || o_orderkey || ';Timeout=' || o_orderstatus"
@@ -212,7 +212,7 @@ def redact_secrets(t):
     r"SELECT doc_id, sha256(regexp_replace(text, '(?i)(password|pwd)\s*=\s*[^;]*', '\1=***REDACTED***', 'g')) AS digest FROM documents",
 )
 def redact_documents(t):
-    return t["documents"].select("doc_id", F.sha2(S.redact("text"), 256).alias("digest"))
+    return t.spread("documents", "doc_id").select("doc_id", F.sha2(S.redact("text"), 256).alias("digest"))
 
 
 @query(
@@ -251,7 +251,7 @@ def line_counts(t):
 SELECT doc_id, CAST(length(x) - length(replace(x, chr(10), '')) + CASE WHEN length(x) > 0 AND NOT ends_with(x, chr(10)) THEN 1 ELSE 0 END AS BIGINT) AS lines FROM c""",
 )
 def line_counts_documents(t):
-    return t["documents"].select("doc_id", S.line_count("text").alias("lines"))
+    return t.spread("documents", "doc_id").select("doc_id", S.line_count("text").alias("lines"))
 
 
 @query(
@@ -403,8 +403,8 @@ def restricted_backfill(t):
     known = t.sql("SELECT 'd' AS database, concat('s.t', p_partkey) AS name FROM {part} WHERE p_partkey < 100")
     none = known.filter("false")
     catalog = edges.type_catalog(none, none, none, known)
-    found = edges.backfill_edges(edges.valid_dependencies(rows), edges.needs_backfill(objects), catalog)
-    return edges.merge_edges([found])
+    found = edges.backfill_edges(edges.valid_dependencies(rows), edges.needs_backfill(objects))
+    return edges.merge_edges([found], catalog)
 
 
 @query(
@@ -496,6 +496,7 @@ def distinct_lists(t):
 @query(
     "duplicate_names",
     "SELECT p_brand, count_if(n > 1) AS duplicate_names FROM (SELECT p_brand, p_name, count(*) AS n FROM part GROUP BY 1, 2) GROUP BY 1",
+    whole=("duplicate_names",),
 )
 def duplicate_names(t):
     return counters.repeated_values(t["part"], ["p_brand"], "p_name", "duplicate_names")
@@ -518,6 +519,7 @@ def having_threshold(t):
 @query(
     "count_matrix",
     "SELECT o_custkey, count_if(o_orderstatus = 'F') AS finished, count_if(o_totalprice > 300000) AS big, count_if(o_orderpriority IN ('1-URGENT', '2-HIGH')) AS hot FROM orders GROUP BY 1",
+    whole=("finished", "big", "hot"),
 )
 def count_matrix(t):
     return counters.count_matrix(
@@ -539,6 +541,7 @@ def any_per_parent(t):
 @query(
     "review_counts",
     """SELECT lang, count_if(quality = 0 OR toxic = 1) AS needs_review, count(*) AS objects FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1""",
+    whole=("needs_review",),
 )
 def review_counts(t):
     labelled = t["documents"].join(t["labels"], "doc_id", "left").select(

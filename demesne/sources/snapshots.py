@@ -16,6 +16,18 @@ def read_snapshot(
     return spark.read.format(fmt).schema(schema or schema_of(name)).load(f"{root}/{name}")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores where the source has fewer splits than the session has cores.
+
+    For per-row heavy work (text mining, XML) on a source of few files. Sources
+    with enough splits, as every large one has, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def read_optional(
     spark: SparkSession, root: str, name: str, fmt: str = "parquet", schema: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
