@@ -117,9 +117,8 @@ def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-def _statements(task: Column, name: Column, label: Column) -> Column:
+def _statements(data: Column, name: Column, label: Column) -> Column:
     """Embedded SQL of one task: its own statement first, then that of its data-flow components."""
-    data = task["DTS:ObjectData"]
 
     def row(owner: Column, kind: Column, sql: Column) -> Column:
         return F.struct(owner.alias("task_name"), kind.alias("task_type"), sql.alias("sql_text"))
@@ -140,9 +139,9 @@ def _statements(task: Column, name: Column, label: Column) -> Column:
     return F.concat(own, F.coalesce(flows, F.array().cast(_STATEMENTS)))
 
 
-def _writes(task: Column) -> Column:
+def _writes(data: Column) -> Column:
     """Tables that data-flow destinations write to (their OpenRowset)."""
-    components = task["DTS:ObjectData"]["pipeline"]["components"]["component"]
+    components = data["pipeline"]["components"]["component"]
     found = F.transform(
         components,
         lambda c: F.transform(
@@ -169,43 +168,69 @@ def _tasks(executables: Column, parent: Column, path: Column, depth: int) -> Col
         return _bind(F.struct(kind.alias("kind"), name.alias("name")), lambda k: with_name(task, i, k["kind"], k["name"]))
 
     def with_name(task: Column, i: Column, kind: Column, name: Column) -> Column:
-        container = kind.isin(*CONTAINERS)
         here = F.concat(path, F.array(i.cast("int")))
-        data = task["DTS:ObjectData"]
-        child = data["ExecutePackageTask:ExecutePackageTaskData"]["_ExecutePackageTask:PackageName"]
         inner = task["DTS:Executables"]
-        label = _label(kind)
         deepest = depth <= 1
         row = F.array(
             F.struct(
                 here.alias("path"),
                 name.alias("task_name"),
-                label.alias("task_type"),
+                kind.alias("kind"),
                 parent.alias("parent_container"),
-                F.when(container, F.array().cast(_STATEMENTS)).otherwise(_statements(task, name, label)).alias("statements"),
-                F.when(~container & (kind == PACKAGE_TASK), drop_suffix(child, ".dtsx")).alias("executed_package"),
-                F.coalesce((kind == SCRIPT_TASK) & data["ScriptTask:ScriptTaskData"].isNotNull(), F.lit(False)).alias(
-                    "unparseable_body"
-                ),
-                F.when(container, F.array().cast("array<string>")).otherwise(_writes(task)).alias("written_tables"),
-                F.when(container & (inner != ""), inner).alias("overflow_xml") if deepest else F.lit(None).cast("string").alias("overflow_xml"),
+                task["DTS:ObjectData"].alias("data"),
+                F.when(kind.isin(*CONTAINERS) & (inner != ""), inner).alias("overflow_xml")
+                if deepest
+                else F.lit(None).cast("string").alias("overflow_xml"),
             )
         )
         if deepest:
             return row
         below = _tasks(inner["DTS:Executable"], name, here, depth - 1)
-        return F.when(container & inner["DTS:Executable"].isNotNull(), F.concat(row, below)).otherwise(row)
+        return F.when(kind.isin(*CONTAINERS) & inner["DTS:Executable"].isNotNull(), F.concat(row, below)).otherwise(row)
 
     return F.flatten(F.transform(executables, of_one))
 
 
+def _flat_tasks(depth: int, parent: Column | None = None, path: Column | None = None) -> Column:
+    parent = F.lit(None).cast("string") if parent is None else parent
+    path = F.array().cast("array<int>") if path is None else path
+    return _tasks(F.col("_doc")["DTS:Executables"]["DTS:Executable"], parent, path, depth)
+
+
+def _task_columns(kind: Column, name: Column, data: Column) -> dict[str, Column]:
+    """What a task holds besides its place in the control flow; containers hold nothing themselves."""
+    container = kind.isin(*CONTAINERS)
+    child = data["ExecutePackageTask:ExecutePackageTaskData"]["_ExecutePackageTask:PackageName"]
+    label = _label(kind)
+    script = (kind == SCRIPT_TASK) & data["ScriptTask:ScriptTaskData"].isNotNull()
+    return {
+        "task_type": label,
+        "statements": F.when(container, F.array().cast(_STATEMENTS)).otherwise(_statements(data, name, label)),
+        "executed_package": F.when(kind == PACKAGE_TASK, drop_suffix(child, ".dtsx")),
+        "unparseable_body": F.coalesce(script, F.lit(False)),
+        "written_tables": F.when(container, F.array().cast("array<string>")).otherwise(_writes(data)),
+    }
+
+
+def _task_table(flat: DataFrame, keys: list[str]) -> DataFrame:
+    cols = _task_columns(F.col("kind"), F.col("task_name"), F.col("data"))
+    return flat.select(
+        *keys,
+        "package",
+        "path",
+        "task_name",
+        cols["task_type"].alias("task_type"),
+        "parent_container",
+        *[cols[c].alias(c) for c in ("statements", "executed_package", "unparseable_body", "written_tables")],
+        "overflow_xml",
+        F.col("overflow_xml").isNotNull().alias("overflow"),
+    )
+
+
 def task_rows(parsed: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
     """(keys, package, path, task_name, task_type, parent_container, …) of all sound packages."""
-    doc = F.col("_doc")
-    root = F.array().cast("array<int>")
-    tasks = _tasks(doc["DTS:Executables"]["DTS:Executable"], F.lit(None).cast("string"), root, depth)
-    rows = parsed.filter("error is null").select(*keys, package_name().alias("package"), F.inline(tasks))
-    return rows.withColumn("overflow", F.col("overflow_xml").isNotNull())
+    flat = parsed.filter("error is null").select(*keys, package_name().alias("package"), F.inline(_flat_tasks(depth)))
+    return _task_table(flat, keys)
 
 
 def package_name(hint: str = "name") -> Column:
@@ -288,11 +313,10 @@ def open_overflow(tasks: DataFrame, keys: list[str], depth: int = DEPTH) -> Data
     )
     wrapped = F.concat(F.lit("<r><DTS:Executables>"), F.col("overflow_xml"), F.lit("</DTS:Executables></r>"))
     parsed = parse(raw.withColumn("xml", wrapped).drop("overflow_xml"), "xml", depth, ("tasks",))
-    doc = F.col("_doc")
-    rows = parsed.filter("error is null").select(
-        *keys, "package", F.inline(_tasks(doc["DTS:Executables"]["DTS:Executable"], F.col("_parent"), F.col("_path"), depth))
+    flat = parsed.filter("error is null").select(
+        *keys, "package", F.inline(_flat_tasks(depth, F.col("_parent"), F.col("_path")))
     )
-    return rows.withColumn("overflow", F.col("overflow_xml").isNotNull())
+    return _task_table(flat, keys)
 
 
 def shred_deep(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = DEPTH) -> DataFrame:
@@ -309,10 +333,17 @@ def content_counts(packages: DataFrame, keys: list[str], xml: str = "xml", depth
     """What each package holds, in numbers, counted inside the row."""
     parsed = parse(packages, xml, depth).filter("error is null")
     doc = F.col("_doc")
-    root = F.array().cast("array<int>")
-    tasks = _tasks(doc["DTS:Executables"]["DTS:Executable"], F.lit(None).cast("string"), root, depth)
     n = lambda arr: F.coalesce(F.nullif(F.size(arr), F.lit(-1)), F.lit(0)).cast("bigint")
-    counted = parsed.select(*keys, package_name().alias("package"), tasks.alias("_t"), "_doc")
+    marks = lambda x: _task_columns(x["kind"], x["task_name"], x["data"])
+    held = F.transform(
+        _flat_tasks(depth),
+        lambda x: F.struct(
+            F.size(marks(x)["statements"]).alias("statements"),
+            marks(x)["unparseable_body"].alias("script"),
+            marks(x)["executed_package"].isNotNull().alias("child"),
+        ),
+    )
+    counted = parsed.select(*keys, package_name().alias("package"), F.explode(F.array(held)).alias("_t"), "_doc")
     t = F.col("_t")
     return counted.select(
         *keys,
@@ -321,7 +352,9 @@ def content_counts(packages: DataFrame, keys: list[str], xml: str = "xml", depth
         n(doc["DTS:ConnectionManagers"]["DTS:ConnectionManager"]).alias("connection_managers"),
         n(doc["DTS:Variables"]["DTS:Variable"]).alias("variables"),
         n(doc["DTS:PrecedenceConstraints"]["DTS:PrecedenceConstraint"]).alias("precedence_constraints"),
-        n(F.flatten(F.transform(t, lambda x: x["statements"]))).alias("embedded_sql_extracted"),
-        n(F.filter(t, lambda x: x["unparseable_body"])).alias("script_tasks"),
-        n(F.filter(t, lambda x: x["executed_package"].isNotNull())).alias("child_packages"),
+        F.coalesce(F.aggregate(t, F.lit(0), lambda a, x: a + x["statements"]), F.lit(0)).cast("bigint").alias(
+            "embedded_sql_extracted"
+        ),
+        n(F.filter(t, lambda x: x["script"])).alias("script_tasks"),
+        n(F.filter(t, lambda x: x["child"])).alias("child_packages"),
     )
