@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.functions.scalars import drop_suffix, last_path_part
 
+# workers may not have this package on their path, so its functions travel with the task
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # --- fixed value: batch separator line of a script ---
 BATCH_LINE = r"(?m)^\s*GO\s*$"
 
