@@ -1,14 +1,15 @@
 """Child rows folded into ordered lists.
 
 A list is one value and must fit one task. Groups above `limit` rows are
-therefore cut into several consecutive pieces: they are range-partitioned on
-key and order, and every range gives one row. `piece` is 0 for a list in one
-row, else a number from 1 up that ascends in list order; nothing is dropped.
+therefore cut into consecutive pieces of at most `limit` rows: they are
+range-partitioned on key and order, and numbered within each range. `piece` is
+0 for a list in one row, else a number that ascends in list order; nothing is
+dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demesne.functions.scalars import all_of
@@ -35,12 +36,14 @@ def collect_ordered(
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.filter(F.col("_n") > limit).select(*[F.col(k).alias(f"_big_{k}") for k in keys])
     same = all_of([F.col(k).eqNullSafe(F.col(f"_big_{k}")) for k in keys])
-    small_rows = df.join(big, same, "left_anti").withColumn(PIECE, F.lit(0))
-    big_rows = (
-        df.join(big, same, "left_semi")
-        .repartitionByRange(*keys, *order)
-        .withColumn(PIECE, F.spark_partition_id() + 1)
+    small_rows = df.join(big, same, "left_anti").withColumn(PIECE, F.lit(0).cast("bigint"))
+    ranged = (
+        df.join(big, same, "left_semi").repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id() + 1)
     )
+    # a range is a bounded slice of a hot group, so numbering it is a bounded, spillable sort
+    place = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order)) - 1
+    chunk = F.floor(place / F.lit(limit)).cast("bigint")
+    big_rows = ranged.withColumn(PIECE, F.shiftleft(F.col("_range").cast("bigint"), 32) + chunk).drop("_range")
     return _fold(small_rows, keys, order, cols, aggs).unionByName(_fold(big_rows, keys, order, cols, aggs))
 
 

@@ -253,7 +253,7 @@ def tables(sys: Sys) -> DataFrame:
         or_empty("identity_columns").alias("identity_columns"),
         or_empty("computed_columns").alias("computed_columns"),
         or_empty("sparse_columns").alias("sparse_columns"),
-        F.coalesce("piece", F.lit(0)).alias("piece"),
+        F.coalesce("piece", F.lit(0).cast("bigint")).alias("piece"),
     )
 
 
@@ -474,7 +474,7 @@ def agent_jobs(sys: Sys) -> DataFrame:
             or_empty("schedule_names").alias("schedule_names"),
             or_empty("schedule_frequency").alias("schedule_frequency"),
             "step_details",
-            F.coalesce("schedule_piece", F.lit(0)).alias("schedule_piece"),
+            F.coalesce("schedule_piece", F.lit(0).cast("bigint")).alias("schedule_piece"),
         )
     )
 
@@ -549,7 +549,7 @@ def indexes(sys: Sys) -> DataFrame:
         "user_updates",
         percent_if_any(F.col("page_count"), F.col("table_pages")).alias("percent_of_table"),
         percent_if_any(F.col("page_count"), F.col("database_pages")).alias("percent_of_database"),
-        F.coalesce("piece", F.lit(0)).alias("piece"),
+        F.coalesce("piece", F.lit(0).cast("bigint")).alias("piece"),
     )
 
 
@@ -575,7 +575,7 @@ _CONSTRAINT = [
 
 def _constraint(df: DataFrame, **given: Column) -> DataFrame:
     types = {
-        "piece": "int", "columns": "array<string>", "referenced_columns": "array<string>", "is_trusted": "boolean",
+        "piece": "bigint", "columns": "array<string>", "referenced_columns": "array<string>", "is_trusted": "boolean",
         "is_disabled": "boolean", "is_system_named": "boolean",
     }
     cols = []
@@ -653,7 +653,7 @@ def check_constraints(sys: Sys) -> DataFrame:
     return _constraint(
         _on_column(sys, "check_constraints"),
         constraint_type=F.lit("CHECK"),
-        piece=F.lit(0),
+        piece=F.lit(0).cast("bigint"),
         columns=_one_column(),
         referenced_columns=or_empty(F.lit(None)),
         is_trusted=inverted("is_not_trusted"),
@@ -666,7 +666,7 @@ def default_constraints(sys: Sys) -> DataFrame:
     return _constraint(
         _on_column(sys, "default_constraints"),
         constraint_type=F.lit("DEFAULT"),
-        piece=F.lit(0),
+        piece=F.lit(0).cast("bigint"),
         columns=_one_column(),
         referenced_columns=or_empty(F.lit(None)),
         is_system_named=F.coalesce(F.col("is_system_named").cast("boolean"), F.lit(False)),
