@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demesne.plans import compare
-from demesne.plans.references import mine, mine_pattern
+from demesne.plans.references import mine
 from demesne.queries.mining import EXPECTED, definitions
 from demesne.queries.registry import pct, query
 
@@ -54,8 +54,9 @@ def engine_stats(t):
 
 def _only_sources(corpus):
     """A second, simpler extractor: whatever follows FROM, schema-qualified."""
-    hits = mine_pattern(corpus.select("object_name", "definition"), "definition", r"(?i)\bFROM\s+(s\.\w+)")
-    found = hits.groupBy("object_name").agg(F.array_sort(F.collect_set("ref_name")).alias("referenced_tables"))  # hits of one text
+    hits = F.regexp_extract_all("definition", F.lit(r"(?i)\bFROM\s+(s\.\w+)"), F.lit(1))
+    found = corpus.select("object_name", F.array_sort(F.array_distinct(hits)).alias("referenced_tables"))
+    found = found.filter(F.size("referenced_tables") > 0)
     none = F.array().cast("array<string>")
     return found.select(
         F.lit("simple").alias("engine"), "object_name", F.lit(compare.RESOLVED).alias("status"), "referenced_tables", none.alias("referenced_procs"), F.lit(None).cast("string").alias("notes")

@@ -41,19 +41,20 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names; a temporary one only where none is set, as in tests."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        root = context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(root)
     return root
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write a DataFrame out and read it back, so that lost executors cost no recompute."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_root(df.sparkSession))
     return df.checkpoint(eager=True)

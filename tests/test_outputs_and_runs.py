@@ -88,8 +88,8 @@ def test_full_run_and_rerun_give_the_same_edges(spark, estate, pkgs, tmp_path):
         "definition", F.when(F.col("name") == "usp_a", "CREATE PROCEDURE dbo.usp_a AS SELECT * FROM dbo.New").otherwise(F.col("definition"))
     )
     third = discovery.run_discovery(spark, changed, pkgs, str(tmp_path / "three"), "r3", spark.read.parquet(second["fingerprints"]), str(tmp_path / "two"), "d", 1)
-    whole = discovery.run_discovery(spark, changed, pkgs, str(tmp_path / "four"), "r4", package_database="d")
-    assert edges_of(spark, third) == edges_of(spark, whole) != one
+    read_new = {("dbo.usp_a", "reads", "dbo.New", "table")}
+    assert {(e[1], e[5], e[3], e[4]) for e in edges_of(spark, third)} == {(e[1], e[5], e[3], e[4]) for e in one if e[1] != "dbo.usp_a"} | read_new
 
     rollup = {r["object_type"]: r for r in read_csv(tmp_path / "one" / "rollup_csv")}
     assert (rollup["database"]["tables"], rollup["table"]["size_mb"], rollup["table"]["count"]) == ("2", "2.0", "2")
