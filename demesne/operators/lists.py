@@ -30,11 +30,20 @@ def collect_ordered(
     cols: list[str],
     aggs: list[Column] | None = None,
     limit: int = LIST_LIMIT,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows (keys, piece, _items, aggs…), items sorted by the order columns."""
+    """Rows (keys, piece, _items, aggs…), items sorted by the order columns.
+
+    Group sizes are looked at first, in one pass over the keys alone, so that
+    the usual case of no oversized group is a single pass over the rows. `rows`
+    may name a cheaper relation with the same keys and at least as many rows
+    per key, such as the child before its joins.
+    """
     aggs = aggs or []
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = (df if rows is None else rows).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.filter(F.col("_n") > limit).select(*[F.col(k).alias(f"_big_{k}") for k in keys])
+    if big.isEmpty():
+        return _fold(df.withColumn(PIECE, F.lit(0).cast("bigint")), keys, order, cols, aggs)
     same = all_of([F.col(k).eqNullSafe(F.col(f"_big_{k}")) for k in keys])
     small_rows = df.join(big, same, "left_anti").withColumn(PIECE, F.lit(0).cast("bigint"))
     ranged = (
@@ -56,18 +65,30 @@ def pick(col: str, condition=None) -> Column:
 
 
 def ordered_list(
-    df: DataFrame, keys: list[str], order: list[str], cols: list[str], limit: int = LIST_LIMIT
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    cols: list[str],
+    limit: int = LIST_LIMIT,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Parallel ordered lists, one per column (key columns of a constraint, both sides of a foreign key)."""
-    folded = collect_ordered(df, keys, order, cols, limit=limit)
+    folded = collect_ordered(df, keys, order, cols, limit=limit, rows=rows)
     return folded.select(*keys, PIECE, *[pick(c).alias(c) for c in cols])
 
 
 def split_list(
-    df: DataFrame, keys: list[str], order: list[str], flag: str, name: str, descending: str, limit: int = LIST_LIMIT
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    flag: str,
+    name: str,
+    descending: str,
+    limit: int = LIST_LIMIT,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """One ordered column list split into key columns, their directions, and included columns."""
-    folded = collect_ordered(df, keys, order, [flag, name, descending], limit=limit)
+    folded = collect_ordered(df, keys, order, [flag, name, descending], limit=limit, rows=rows)
     is_key = lambda x: ~x[flag]
     sort = F.transform(F.filter("_items", is_key), lambda x: F.when(x[descending], "DESC").otherwise("ASC"))
     return folded.select(

@@ -197,10 +197,10 @@ def column_totals(marks: DataFrame) -> DataFrame:
     return marks.groupBy(*OBJ).agg(F.count(F.lit(1)).alias("column_count"))
 
 
-def column_lists(marks: DataFrame) -> DataFrame:
+def column_lists(marks: DataFrame, columns: DataFrame) -> DataFrame:
     """Names of marked columns per table, in column order; see lists.py on `piece`."""
     marked = marks.filter("identity or computed or sparse")
-    folded = collect_ordered(marked, OBJ, ["column_id"], ["name", "identity", "computed", "sparse"])
+    folded = collect_ordered(marked, OBJ, ["column_id"], ["name", "identity", "computed", "sparse"], rows=columns)
     names = lambda flag: F.transform(F.filter("_items", lambda x: x[flag]), lambda x: x["name"])
     return folded.select(
         *OBJ,
@@ -229,7 +229,7 @@ def tables(sys: Sys) -> DataFrame:
         },
     )
     marks = column_marks(sys)
-    for part in (table_storage(sys), foreign_key_degrees(sys), column_totals(marks), column_lists(marks)):
+    for part in (table_storage(sys), foreign_key_degrees(sys), column_totals(marks), column_lists(marks, sys["columns"])):
         base = base.join(part, OBJ, "left")
     return base.join(database_pages(sys), "database", "left").select(
         "database",
@@ -388,7 +388,7 @@ def job_schedules(sys: Sys) -> DataFrame:
     rows = sys["job_schedules"].join(sys["schedules"], "schedule_id").select(
         "job_id", "schedule_name", schedule_label("freq_type", "freq_interval").alias("schedule_frequency"), "schedule_id"
     )
-    lists = ordered_list(rows, ["job_id"], ["schedule_id"], ["schedule_name", "schedule_frequency"])
+    lists = ordered_list(rows, ["job_id"], ["schedule_id"], ["schedule_name", "schedule_frequency"], rows=sys["job_schedules"])
     return lists.withColumnsRenamed({"schedule_name": "schedule_names"})
 
 
@@ -508,7 +508,9 @@ def indexes(sys: Sys) -> DataFrame:
         F.col("is_descending_key").cast("boolean").alias("is_descending"),
         "column_name",
     )
-    lists = split_list(cols, IDX, ["key_ordinal", "index_column_id"], "is_included", "column_name", "is_descending")
+    lists = split_list(
+        cols, IDX, ["key_ordinal", "index_column_id"], "is_included", "column_name", "is_descending", rows=sys["index_columns"]
+    )
     physical = sys["index_physical_stats"].select(
         *IDX, "avg_fragmentation_in_percent", "page_count", "avg_page_space_used_in_percent", "record_count"
     )
@@ -600,7 +602,7 @@ def key_constraints(sys: Sys) -> DataFrame:
         "type",
         F.col("is_system_named").cast("boolean").alias("is_system_named"),
     )
-    lists = ordered_list(cols, IDX, ["key_ordinal"], ["column_name"])
+    lists = ordered_list(cols, IDX, ["key_ordinal"], ["column_name"], rows=sys["index_columns"])
     rows = keys.join(lists, IDX).join(_tables(sys), OBJ)
     kind = F.when(F.col("type") == "PK", "PRIMARY_KEY").otherwise("UNIQUE")
     return _constraint(rows, constraint_type=kind, columns=F.col("column_name"), referenced_columns=or_empty(F.lit(None)))
@@ -617,7 +619,7 @@ def foreign_key_constraints(sys: Sys) -> DataFrame:
         .join(other, ["database", "referenced_object_id", "referenced_column_id"])
         .select("database", "constraint_object_id", "constraint_column_id", "parent_column", "referenced_column")
     )
-    lists = ordered_list(pairs, ["database", "constraint_object_id"], ["constraint_column_id"], ["parent_column", "referenced_column"])
+    lists = ordered_list(pairs, ["database", "constraint_object_id"], ["constraint_column_id"], ["parent_column", "referenced_column"], rows=sys["foreign_key_columns"])
     t = _tables(sys)
     from_t = t.withColumnRenamed("object_id", "parent_object_id")
     to_t = t.select("database", F.col("object_id").alias("referenced_object_id"), qualify("schema", "table").alias("referenced_table"))

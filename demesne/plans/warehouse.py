@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,15 +115,18 @@ def run_order(nodes: DataFrame, edges: DataFrame, scope: list[str], node: str, s
     known = left.withColumnRenamed(node, "_from")
     pairs = edges.select(*scope, F.col(source).alias("_from"), F.col(target).alias(node)).distinct()
     waits = cut(pairs.join(known, [*scope, "_from"], "left_semi"))
-    done, step = None, 0
-    while True:
-        ready = cut(left.join(waits, key, "left_anti").withColumn("step", F.lit(step)))
-        if ready.isEmpty():
+    total, step, done = left.count(), 0, []
+    while total:
+        ready = left.join(waits, key, "left_anti").withColumn("step", F.lit(step))
+        waiting = cut(left.join(waits, key, "left_semi"))
+        remain = waiting.count()
+        if remain == total:  # nothing became ready: what is left waits for a cycle
+            ready = left.withColumn("step", F.lit(None).cast("int"))
+            remain = 0
+        done.append(ready)
+        if not remain:
             break
-        done = ready if done is None else done.unionByName(ready)
-        left = cut(left.join(ready, key, "left_anti"))
         finished = ready.select(*scope, F.col(node).alias("_from"))
         waits = cut(waits.join(finished, [*scope, "_from"], "left_anti"))
-        step += 1
-    stuck = left.withColumn("step", F.lit(None).cast("int"))
-    return stuck if done is None else done.unionByName(stuck)
+        left, total, step = waiting, remain, step + 1
+    return reduce(DataFrame.unionByName, done, left.limit(0).withColumn("step", F.lit(None).cast("int")))

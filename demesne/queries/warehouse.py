@@ -159,9 +159,10 @@ def wl_for_each_value(t):
 SELECT project, name, task_name, CASE WHEN task_name = 'child' THEN 1 ELSE 0 END AS step FROM (SELECT project, name, unnest(['seq', 'run', 'loop', 'flow', 'child', 'unnamed_Custom.Task']) AS task_name FROM s UNION ALL SELECT project, name, 'script' FROM s WHERE scr)""",
 )
 def wl_run_order(t):
-    parsed = K.parse(packages(t), parts=("tasks", "precedence"))
     keys = ["project", "name"]
-    return W.run_order(K.task_rows(parsed, keys), K.precedence_rows(parsed, keys), keys, "task_name", "from_task", "to_task")
+    tasks = K.task_rows(K.parse(packages(t), parts=("tasks",)), keys)
+    order = K.precedence_rows(K.parse(packages(t), parts=("precedence",)), keys)
+    return W.run_order(tasks, order, keys, "task_name", "from_task", "to_task")
 
 
 @query(
