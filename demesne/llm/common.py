@@ -18,7 +18,7 @@ PIECE_BYTES = 2 << 20
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(1, np.uint64)
+_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 _WS = np.zeros(256, bool)
 _WS[[32, *range(9, 14)]] = True
@@ -80,10 +80,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _power(n: int) -> np.ndarray:
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2^64."""
     global _powers
-    if len(_powers) < n:
-        _powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, _BASE, np.uint64))])
+    if len(_powers[0]) < n:
+        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        _powers = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, b, np.uint64))]) for b in (_BASE, inverse))
     return _powers
 
 
@@ -106,10 +108,10 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _WS) -> tup
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes; equal spans have equal hashes wherever they stand."""
     n = len(data)
-    power = _power(n + 1)
+    power, inverse = _power(n + 1)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[:n], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * power[n - starts] + (ends - starts).astype(np.uint64))
+    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def lower(data: np.ndarray) -> np.ndarray:
@@ -172,3 +174,31 @@ def _changed(before: DataFrame, after: DataFrame) -> bool:
     """Whether two sets of links differ, by their number and an order-free sum of their hashes."""
     tell = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("s")]
     return before.agg(*tell).first() != after.agg(*tell).first()
+
+
+def dense_counts(df: DataFrame, count: Callable[[pa.RecordBatch, pa.Array, np.ndarray], None], size: int, column: str = "text") -> np.ndarray:
+    """The sum over all rows of what `count(part, texts, totals)` adds to an array of `size` counters.
+
+    Every task adds into one array of its own and sends only that; the arrays are summed by some
+    tasks and then by one, always one array at a time. `size` is fixed, whatever the input.
+    """
+
+    def tally(batches):
+        totals = np.zeros(size, np.int64)
+        for batch in batches:
+            for part, col in pieces(batch, column):
+                count(part, col, totals)
+        yield _one(totals)
+
+    def add(batches):
+        totals = np.zeros(size, np.int64)
+        for batch in batches:
+            for data in batch.column(0):
+                totals += np.frombuffer(data.as_buffer(), np.int64)
+        yield _one(totals)
+
+    def _one(totals):
+        return pa.RecordBatch.from_arrays([pa.array([totals.tobytes()], pa.binary())], ["counts"])
+
+    parts = df.mapInArrow(tally, "counts binary").repartition(24).mapInArrow(add, "counts binary")
+    return np.frombuffer(bytes(parts.repartition(1).mapInArrow(add, "counts binary").first().counts), np.int64)

@@ -16,7 +16,7 @@ so a source with a third of all rows is spread like any other.
 
 Defined results: a null source is a source of its own, named ''; sources without a target weight
 share the least weight given (or 1); null and empty texts count as one character; equal keys order
-by text; an empty table gives no rows; other columns are kept as they are.
+by a hash of the text; an empty table gives no rows; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -55,24 +55,27 @@ def edf_order(counts: Column) -> Column:
     return F.aggregate(slots, start, step)["order"]
 
 
-def _sized(docs: DataFrame) -> DataFrame:
-    """Each row whole as _row, with its source, characters and hash bucket: no column of docs can clash."""
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    h = F.md5(F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("")))
-    size = F.greatest(F.coalesce(F.length("_row.text"), F.lit(0)), F.lit(1)).cast("long")
-    return row.select("_row", F.coalesce("_row.source", F.lit("")).alias("_s"), size.alias("_n"), h.alias("_h"), F.substring(h, 1, BUCKET_DIGITS).alias("_b"))
+def _sized(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """The columns to carry of each row as _row, so no name can clash, with its source, size, hashed order and bucket."""
+    h = F.md5(F.coalesce(docs["doc_id"].cast("string"), F.lit("")))
+    size = F.greatest(F.coalesce(F.length(docs["text"]), F.lit(0)), F.lit(1)).cast("long")
+    row = F.struct(*[docs[c] for c in (docs.columns if carry is None else carry)])
+    return docs.select(
+        row.alias("_row"), F.coalesce(docs["source"], F.lit("")).alias("_s"), size.alias("_n"), h.alias("_h"), F.substring(h, 1, BUCKET_DIGITS).alias("_b"),
+        docs["doc_id"].alias("_id"), F.xxhash64(docs["text"]).alias("_t"),
+    )
 
 
-def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS, carry: list[str] | None = None) -> DataFrame:
     """Each document with its source name, block number in the source and first character there: _row, _s, _block, _at."""
-    rows = _sized(docs)
-    inside = Window.partitionBy("_s", "_b").orderBy("_h", "_row.doc_id", "_row.text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = _sized(docs, carry)
+    inside = Window.partitionBy("_s", "_b").orderBy("_h", "_id", "_t").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("_s", "_b").agg(F.sum("_n").alias("_n"))
     sums = sums.select("_s", "_b", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_before"))
     placed = rows.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(sums, ["_s", "_b"])
     at = F.col("_before") + F.col("_in")
-    return placed.select("_row", "_s", F.floor(at / block_chars).alias("_block"), at.alias("_at"))
+    return placed.select("_row", "_s", "_id", F.floor(at / block_chars).alias("_block"), at.alias("_at"))
 
 
 def block_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -108,8 +111,8 @@ def frames(counts: DataFrame, weights: DataFrame | None = None, frame: int = FRA
     return packed.withColumn("_order", edf_order(F.transform("_cells", lambda x: x["_c"])))
 
 
-def _placed(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame: int) -> DataFrame:
-    """Each row whole as _row, with the global slot of its block and its place inside it."""
+def _placed(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame: int, carry: list[str]) -> DataFrame:
+    """The columns to carry of each row as _row, with the global slot of its block and its place inside it."""
     runs = frames(block_counts(docs, block_chars), weights, frame)
     # One row for each source and block of a frame: its slots inside the frame, in order.
     cells = runs.select("_f0", "_f1", "_m", "_slot0", "_order", F.posexplode("_cells").alias("_i", "_cell"))
@@ -117,22 +120,23 @@ def _placed(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame:
     cells = cells.select("_f0", "_f1", "_m", "_slot0", F.col("_cell._s").alias("_s"), F.col("_cell._c").alias("_c"), F.col("_cell._first").alias("_first"), slots.alias("_slots"))
     # All runs of a source in one row, so that each document meets one row.
     plan = cells.groupBy("_s").agg(F.sort_array(F.collect_list(F.struct("_first", "_c", "_m", "_slot0", "_slots"))).alias("_plan"))
-    placed = blocks(docs, block_chars).join(plan, "_s")
+    placed = blocks(docs, block_chars, carry).join(plan, "_s")
     run = F.element_at(F.filter("_plan", lambda x: x["_first"] <= F.col("_block")), -1)
     placed = placed.withColumn("_run", run)
     off = F.col("_block") - F.col("_run._first")
     slot = F.col("_run._slot0") + F.floor(off / F.col("_run._c")) * F.col("_run._m") + F.element_at("_run._slots", (off % F.col("_run._c") + 1).cast("int"))
-    return placed.select("_row", slot.alias("slot"), (F.col("_at") % block_chars).alias("place"))
+    return placed.select("_row", "_id", slot.alias("slot"), (F.col("_at") % block_chars).alias("place"))
 
 
-def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME) -> DataFrame:
-    """docs with the global slot of their block and their place inside it: columns of docs, slot, place (instead of any of theirs)."""
-    kept = [F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in ("slot", "place")]
-    return _placed(docs, weights, block_chars, frame).select(*kept, "slot", "place")
+def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME, columns: list[str] | None = None) -> DataFrame:
+    """Each document with the global slot of its block and its place inside it: the columns asked for (all), slot, place."""
+    carry = [c for c in columns or docs.columns if c.lower() not in ("slot", "place")]
+    return _placed(docs, weights, block_chars, frame, carry).select("_row.*", "slot", "place")
 
 
 def mix_in_order(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME) -> DataFrame:
     """The columns of docs, with the rows dealt out and sorted in the order of the schedule."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["slot", "place", "_row.doc_id", "_row.text"]
-    return _placed(docs, weights, block_chars, frame).repartitionByRange(n, *keys).sortWithinPartitions(*keys).select("_row.*")
+    keys = ["slot", "place", "_id"]
+    placed = _placed(docs, weights, block_chars, frame, docs.columns)
+    return placed.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select("_row.*")

@@ -19,7 +19,9 @@ def register(name: str, oracle: str | None = None):
 
 
 # Each module of operators is imported where its queries are stated.
-from demesne.llm import fingerprints, mixing, token_output  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from demesne.llm import decontaminate, fingerprints, language, licenses, mixing, quality, token_output, toxicity  # noqa: E402
 from demesne.llm.common import table  # noqa: E402
 
 #: The vocabulary of the token-id output and the id that ends a document.
@@ -39,9 +41,44 @@ def op2(spark, sf_dir):
 
 @register("op3_source_mixing")
 def op3(spark, sf_dir):
-    return mixing.schedule(table(spark, sf_dir, "documents")).select("doc_id", "source", "slot", "place")
+    return mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id", "source"])
 
 
 @register("op4_token_ids")
 def op4(spark, sf_dir):
     return token_output.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
+def remainder(n: int):
+    """crc32 of the key as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@register("op1_quality_classifier")
+def op1(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(5) == 0, 0.3)
+
+
+@register("op5_benchmark_decontamination")
+def op5(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op6_license_scan")
+def op6(spark, sf_dir):
+    return licenses.license_notices(table(spark, sf_dir, "documents"))
+
+
+@register("op9_language_id")
+def op9(spark, sf_dir):
+    """Languages of all web pages (page_id) and all documents (doc_id)."""
+    pages = language.identify(language.evidence_from_pages(table(spark, sf_dir, "pages")))
+    docs = language.identify(language.evidence_from_documents(table(spark, sf_dir, "documents")))
+    rest = ["host", "declared", "language", "posterior", "accepted"]
+    none = F.lit(None).cast("long")
+    return docs.select(F.col("key").alias("doc_id"), none.alias("page_id"), *rest).union(pages.select(none, "key", *rest))
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) == 1, 0.7)

@@ -25,6 +25,7 @@ rows; other columns are neither read nor written, whatever their names.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -35,45 +36,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demesne.llm.common import texts
+from demesne.llm.common import pieces
 from demesne.session import checkpoint_root
 
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs this often; fewer uses do not pay for the rule.
 MIN_COUNT = 4
 #: Chunks kept encoded per worker, and the length above which a chunk is not kept.
-MEMO, MEMO_CHARS = 400_000, 64
+MEMO, MEMO_CHARS = 1_000_000, 64
 
 SHARD_SCHEMA = (
     "part int, shard int, base int, rules binary, lengths binary, symbols binary, symbol_start binary, token_start binary, doc_ids array<bigint>, n_tokens bigint"
 )
 _SPLIT = re.compile(r"[ \n\t\r]+")
+_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
+_FENCE = "\x01"
 _memo: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
 
 
-def encoder(path: str) -> Callable[[str], bytes]:
-    """text -> its ids as bytes, by the tokenizers library with add_special_tokens=False.
+def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """A bounded list of texts -> the ids of each as bytes, by the tokenizers library with add_special_tokens=False.
 
-    Only for tokenizers that drop white space and never join across it (such as word_bpe): the text
-    is then encoded chunk by chunk, and chunks met before in this worker are looked up.
+    Only for tokenizers that lower case, drop white space and never join across it (such as
+    word_bpe): the text is encoded chunk by chunk, and chunks met before in this worker are looked
+    up. A full stop or comma that ends a word is a chunk of its own, as it is a token of its own.
     """
     if path not in _tokenizers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
         from tokenizers import Tokenizer
 
         _tokenizers[path], _memo[path] = Tokenizer.from_file(path), {}
     tok, memo = _tokenizers[path], _memo[path]
-
-    def encode(text: str) -> bytes:
-        chunks = _SPLIT.split(text)
-        new = [c for c in dict.fromkeys(chunks) if c not in memo]
+    fence = tok.encode(_FENCE, add_special_tokens=False).ids
+
+    def fill(new: list[str]) -> None:
+        """Encode chunks in one call, with a control character between them that none of them holds."""
+        easy = [c for c in new if _FENCE not in c and "<|" not in c] if len(fence) == 1 else []
+        if easy:
+            ids = np.array(tok.encode_batch_fast([f" {_FENCE} ".join(easy)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(ids == fence[0]).tolist()
+            data = ids.tobytes()
+            for c, a, b in zip(easy, [-1, *at], [*at, len(ids)], strict=True):
+                memo[c] = data[4 * a + 4 : 4 * b]
+        for c in new:
+            if c not in memo:
+                memo[c] = np.array(tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def chunks_of(text: str) -> list[str]:
+        if "<|" not in text:  # special tokens are told by their case
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            text = _STOP.sub(r" \1", text)
+        return _SPLIT.split(text)
+
+    def encode(many: list[str]) -> list[bytes]:
+        split = [chunks_of(t) for t in many]
+        new = {c for chunks in split for c in chunks if c not in memo}
         if new:
             if len(memo) + len(new) > MEMO:
                 memo.clear()
-                new = list(dict.fromkeys(chunks))
-            for c, e in zip(new, tok.encode_batch(new, add_special_tokens=False), strict=True):
-                memo[c] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join([memo[c] for c in chunks])
+                new = {c for chunks in split for c in chunks}
+            fill(list(new))
+        look = memo.__getitem__
+        out = [b"".join(map(look, chunks)) for chunks in split]
         for c in new:
             if len(c) > MEMO_CHARS:
                 del memo[c]
@@ -82,11 +107,19 @@ def encoder(path: str) -> Callable[[str], bytes]:
     return encode
 
 
+_CLOSED = np.uint64(2**64 - 1)
+
+
+def _slot(key: np.ndarray, bits: int) -> np.ndarray:
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
+
+
 def repair(ids: np.ndarray, ends: np.ndarray, base: int, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over documents that end before `ends`: (rules, lengths, symbols, ends in symbols).
 
-    A round takes the pairs that occur at least half as often as the most frequent one, and
-    replaces them from left to right; it ends when no pair occurs `min_count` times.
+    A round takes the pairs that occur at least a quarter as often as the most frequent one, and
+    replaces them from left to right; rounds end when no pair occurs `min_count` times, or so few
+    do that a round shortens the sequence by less than a two-hundredth.
     """
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
@@ -94,37 +127,41 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, min_count: int = MIN_CO
     rules: list[np.ndarray] = []
     made, floor = 0, None
     while len(seq) > 1:
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        open_ = ~last[:-1]
-        order = np.sort(key[open_])
-        if not len(order):
-            break
+        key = seq[:-1].astype(np.uint64)
+        key <<= np.uint64(32)
+        key |= seq[1:]
+        key[last[:-1]] = _CLOSED
+        order = np.sort(key)
         cut = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
         count = np.diff(np.append(cut, len(order)))
-        top = int(count.max())
+        if order[-1] == _CLOSED:
+            cut, count = cut[:-1], count[:-1]
+        top = int(count.max()) if len(count) else 0
         if top < min_count:
             break
-        floor = max(min_count, top // 2 if floor is None else min(floor // 2, top // 2))
+        floor = max(min_count, top // 4 if floor is None else min(floor, top) // 4)
         chosen = order[cut[count >= floor]]
-        bits = max(10, int(len(chosen)).bit_length() + 3)
-        slot = lambda k: ((k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)  # noqa: B023, E731
-        place = np.full(1 << bits, -1, np.int64)
-        place[slot(chosen)] = np.arange(len(chosen))
-        at = place[slot(key)]
-        hit = np.flatnonzero((at >= 0) & open_ & (chosen[at] == key))
+        bits = max(10, int(len(chosen)).bit_length() + 2)
+        place = np.full(1 << bits, -1, np.int32)
+        place[_slot(chosen, bits)] = np.arange(len(chosen), dtype=np.int32)
+        at = place[_slot(key, bits)]
+        hit = np.flatnonzero(at >= 0)
+        hit = hit[chosen[at[hit]] == key[hit]]
         run = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(hit) != 1]), np.arange(len(hit)), 0))
         hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
-        used, which = np.unique(at[hit], return_inverse=True)
-        if not len(hit):
-            break
+        used = np.zeros(len(chosen), bool)
+        used[at[hit]] = True
+        name = np.cumsum(used, dtype=np.int64) - 1 + base + made
         pairs = chosen[used]
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        seq[hit] = (base + made + which).astype(np.uint32)
-        made += len(used)
+        seq[hit] = name[at[hit]]
+        made += len(pairs)
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
         last[hit] |= last[hit + 1]
         seq, last = seq[keep], last[keep]
+        if floor == min_count and len(hit) < len(seq) // 200:
+            break
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     lengths, at = np.ones(base + len(table), np.uint32), base
     for r in rules:
@@ -192,13 +229,13 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str, orde
             if not batch.num_rows:
                 continue
             part = batch.column(2)[0].as_py()
-            for doc, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                ids = encode(text.as_py()) + tail
-                held.append((doc, ids))
-                size += len(ids) // 4
-                if size >= shard_tokens:
-                    yield pack()
-                    held, size, shard = [], 0, shard + 1
+            for piece, col in pieces(batch):
+                for doc, ids in zip(piece.column(0).to_pylist(), encode(col.to_pylist()), strict=True):
+                    held.append((doc, ids + tail))
+                    size += len(ids) // 4 + 1
+                    if size >= shard_tokens:
+                        yield pack()
+                        held, size, shard = [], 0, shard + 1
         if held:
             yield pack()
 
