@@ -133,10 +133,10 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> list[np.ndarray]:
         if b - a >= n:
             out.append(np.unique(whole[a : b - n + 1]))
         elif b > a:
-            seed = np.uint64(b - a)
-            for h in hashes[a:b]:
-                seed = mix(np.array([seed * np.uint64(0x9E3779B97F4A7C15) ^ h], np.uint64))[0]
-            out.append(np.array([seed], np.uint64))
+            seed = np.array([b - a], np.uint64)
+            for k in range(a, b):
+                seed = mix(seed * _BASE ^ hashes[k : k + 1])
+            out.append(seed)
         else:
             out.append(np.zeros(0, np.uint64))
     return out

@@ -21,7 +21,7 @@ def register(name: str, oracle: str | None = None):
 # Each module of operators is imported where its queries are stated.
 from pyspark.sql import functions as F  # noqa: E402
 
-from demesne.llm import decontaminate, fingerprints, language, licenses, mixing, quality, token_output, toxicity  # noqa: E402
+from demesne.llm import decontaminate, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_output, toxicity  # noqa: E402
 from demesne.llm.common import table  # noqa: E402
 
 #: The vocabulary of the token-id output and the id that ends a document.
@@ -82,3 +82,13 @@ def op9(spark, sf_dir):
 @register("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) == 1, 0.7)
+
+
+@register("op7_ngram_jaccard_join")
+def op7(spark, sf_dir):
+    return jaccard.link_documents(table(spark, sf_dir, "documents"), 3, 90)
+
+
+@register("op8_suffix_array_dedup")
+def op8(spark, sf_dir):
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
