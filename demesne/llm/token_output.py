@@ -48,8 +48,8 @@ MEMO, MEMO_CHARS = 1_000_000, 64
 SHARD_SCHEMA = (
     "part int, shard int, base int, rules binary, lengths binary, symbols binary, symbol_start binary, token_start binary, doc_ids array<bigint>, n_tokens bigint"
 )
-_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
 _FENCE = "\x01"
+_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
 _memo: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
 
@@ -58,7 +58,7 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """A bounded list of texts -> the ids of each as bytes, by the tokenizers library with add_special_tokens=False.
 
     Only for tokenizers that lower case, drop white space and never join across it (such as
-    word_bpe): the text is encoded chunk by chunk, and chunks met before in this worker are looked
+    word_bpe, which ends every word by a mark): the text is encoded chunk by chunk, and chunks met before in this worker are looked
     up. A full stop or comma that ends a word is a chunk of its own, as it is a token of its own.
     """
     if path not in _tokenizers:
@@ -68,16 +68,24 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         _tokenizers[path], _memo[path] = Tokenizer.from_file(path), {}
     tok, memo = _tokenizers[path], _memo[path]
     fence = tok.encode(_FENCE, add_special_tokens=False).ids
+    vocabulary = tok.get_vocab()
+    closes = np.zeros(max(vocabulary.values()) + 1, bool)
+    closes[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
 
     def fill(new: list[str]) -> None:
-        """Encode chunks in one call, with a control character between them that none of them holds."""
-        easy = [c for c in new if _FENCE not in c and "<|" not in c] if len(fence) == 1 else []
-        if easy:
-            ids = np.array(tok.encode_batch_fast([f" {_FENCE} ".join(easy)], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(ids == fence[0]).tolist()
-            data = ids.tobytes()
-            for c, a, b in zip(easy, [-1, *at], [*at, len(ids)], strict=True):
-                memo[c] = data[4 * a + 4 : 4 * b]
+        """Encode chunks; those of lower-case letters are one word each, and are encoded together and parted at word ends."""
+        plain = [c for c in new if c.isalpha() and c.lower() == c]
+        if plain:
+            ids = np.array(tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            at = (np.flatnonzero(closes[ids]) + 1) * 4
+            if len(at) == len(plain):
+                data, at = ids.tobytes(), [0, *at.tolist()]
+                memo.update((c, data[a:b]) for c, a, b in zip(plain, at, at[1:], strict=False))
+        rest = [c for c in new if c not in memo and _FENCE not in c and "<|" not in c] if len(fence) == 1 else []
+        if rest:  # a control character between them that none of them holds
+            ids = np.array(tok.encode_batch_fast([f" {_FENCE} ".join(rest)], add_special_tokens=False)[0].ids, "<u4")
+            data, at = ids.tobytes(), np.flatnonzero(ids == fence[0]).tolist()
+            memo.update((c, data[4 * a + 4 : 4 * b]) for c, a, b in zip(rest, [-1, *at], [*at, len(ids)], strict=True))
         for c in new:
             if c not in memo:
                 memo[c] = np.array(tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
