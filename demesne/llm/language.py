@@ -162,8 +162,11 @@ def identify(rows: DataFrame, least: float = LEAST) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is accepted, with that language in `lang`; other columns as they are."""
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text", "lang", "source"))
-    rows = keyed.select(F.col("_row").alias("key"), "text", F.lower("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))
-    found = identify(rows).where("accepted").groupBy("key").agg(F.min("language").alias("_lang"))
-    kept = keyed.join(found, keyed["_row"] == found["key"])
-    return kept.select(*[F.col("_lang").alias("lang") if c == "lang" else keyed[c] for c in docs.columns])
+    # Each row whole in one column, so that no name can clash.
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    keyed = whole.select("row", F.xxhash64("row.doc_id", "row.text", "row.lang", "row.source").alias("key"))
+    none = F.lit(None).cast("string")
+    rows = keyed.select("key", F.col("row.text").alias("text"), F.lower("row.lang").alias("declared"), F.col("row.source").alias("host"), none.alias("suffix"))
+    found = identify(rows).where("accepted").groupBy("key").agg(F.min("language").alias("found"))
+    kept = keyed.join(found, "key")
+    return kept.select(*[F.col("found").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -168,7 +168,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees:
 def training_rows(rows: DataFrame, labels: DataFrame, label: str, held_out: Column, limit: int) -> DataFrame:
     """The labelled rows outside the held-out ones, with label y: the `limit` least by a hash of the key."""
     key = F.col("doc_id").cast("long")
-    marked = labels.where(F.col(label).isNotNull()).groupBy(key.alias("doc_id")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
+    marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(key.alias("doc_id")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     return rows.join(marked.where(~held_out), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 

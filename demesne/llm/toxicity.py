@@ -151,9 +151,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, held_out: Column, cut_at
     held = F.coalesce(held_out, F.lit(False))
     key = F.col("doc_id").cast("long").alias("doc_id")
     own = docs.select(key, "text")
-    marked = labels.where(F.col("toxic").isNotNull()).groupBy(key).agg((F.avg("toxic") >= 0.5).cast("int").alias("y")).where(~held)
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).toPandas()
-    sample = docs.sparkSession.createDataFrame(sample, "doc_id bigint, y int")
+    marked = labels.where("toxic is not null and doc_id is not null").groupBy(key).agg((F.avg("toxic") >= 0.5).cast("int").alias("y")).where(~held)
+    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).collect()
+    sample = docs.sparkSession.createDataFrame([tuple(r) for r in sample], "doc_id bigint, y int")
     learn = own.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
 
     def tally(part, col, totals):
