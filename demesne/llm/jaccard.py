@@ -29,6 +29,8 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +42,8 @@ from demesne.session import cut
 SLOT_BITS = 18
 #: Jaccard distance within which differences from a leader are kept.
 NEAR = 0.3
+#: Pairs that one copy of a class is compared in, and most keys that are sent to every task.
+SHARE, BROADCAST_ROWS = 2_000, 200_000
 
 
 def sets_of(col: pa.Array, n: int) -> list[np.ndarray]:
@@ -69,20 +73,25 @@ def prefix_size(n: int, least: int) -> int:
     return n - -(-n * least // 100) + 1
 
 
+def _name(s: np.ndarray) -> bytes | None:
+    """The 128-bit name of a set: sums of two scramblings, which do not depend on the order."""
+    if not len(s):
+        return None
+    return np.array([mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64)]).tobytes()
+
+
 def _profiles(counts: np.ndarray, n: int, least: int):
-    """(doc_id, text) -> doc_id, size of the set, its 128-bit name, its prefix in order."""
+    """(doc_id, text) -> doc_id, size of the set, its name, its prefix in order, and the group of that prefix and size."""
 
     def run(part, col):
-        size, name, prefix = [], [], []
-        for s in sets_of(col, n):
-            size.append(len(s))
-            # Sums of two scramblings do not depend on the order.
-            two = np.array([mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64)])
-            name.append(two.tobytes() if len(s) else None)
+        found = sets_of(col, n)
+        prefix = []
+        for s in found:
             order = np.lexsort((s, counts[_slots(s)]))[: prefix_size(len(s), least)] if len(s) else []
             prefix.append(s[order].view(np.int64) if len(s) else np.zeros(0, np.int64))
-        cols = [part.column(0), pa.array(size, pa.int64()), pa.array(name, pa.binary()), lists(prefix, pa.int64())]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "class", "prefix"])
+        gid = [int.from_bytes(hashlib.blake2b(p.tobytes() + len(s).to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True) for p, s in zip(prefix, found, strict=True)]
+        cols = [part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(map(_name, found), pa.binary()), lists(prefix, pa.int64()), pa.array(gid, pa.int64())]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "class", "prefix", "gid"])
 
     return per_piece(run)
 
@@ -92,23 +101,74 @@ def _distance_bound(n, m, least: int):
     return (100 - least) * (n + m) // (100 + least)
 
 
-PAIR_SETS = "x binary, y binary, n bigint, m bigint, away array<bigint>"
+COMPARED = "x binary, y binary, n bigint, m bigint, away array<bigint>"
+SIDES = "y binary, copy int, x binary, items array<bigint>"
+
+
+def _sides(n: int):
+    """(class, lead_copies, partners, text) -> the set of the text, once for each comparison (y, copy, x; x is null for y itself)."""
+
+    def run(part, col):
+        y, copy, x, items = [], [], [], []
+        for name, copies, partners, s in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), sets_of(col, n), strict=True):
+            if _name(s) != name:
+                continue  # another row of the same key
+            own = s.view(np.int64)
+            # Signed order, so that differences are merges of sorted arrays on both sides.
+            own = np.sort(own)
+            for k in range(copies or 0):
+                y.append(name)
+                copy.append(k)
+                x.append(None)
+                items.append(own)
+            pick = int.from_bytes(name[:4], "little")
+            for p in partners or []:
+                y.append(p["y"])
+                copy.append(pick % p["copies"])
+                x.append(name)
+                items.append(own)
+        return pa.RecordBatch.from_arrays([pa.array(y, pa.binary()), pa.array(copy, pa.int32()), pa.array(x, pa.binary()), lists(items, pa.int64())], ["y", "copy", "x", "items"])
+
+    return per_piece(run)
 
 
 def _differences(batches):
-    """(x, y, set of x, set of y) -> their sizes and the shingles that only one of them has."""
+    """Rows sorted by (y, copy, x), the set of y before those to compare it with -> sizes, and the shingles that only one has."""
+    lead, own = None, None
     for batch in batches:
-        n, m, away = [], [], []
-        a, b = batch.column(2), batch.column(3)
-        flat_a, flat_b = a.flatten().to_numpy(), b.flatten().to_numpy()
-        at_a = np.concatenate([[0], np.cumsum(a.value_lengths().to_numpy(zero_copy_only=False))])
-        at_b = np.concatenate([[0], np.cumsum(b.value_lengths().to_numpy(zero_copy_only=False))])
-        for i in range(batch.num_rows):
-            x, y = flat_a[at_a[i] : at_a[i + 1]], flat_b[at_b[i] : at_b[i + 1]]
-            n.append(len(x))
-            m.append(len(y))
-            away.append(np.setxor1d(x, y, assume_unique=True))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(m, pa.int64()), lists(away, pa.int64())], ["x", "y", "n", "m", "away"])
+        x, y, n, m, away = [], [], [], [], []
+        flat, at = batch.column(3).flatten().to_numpy(), np.concatenate([[0], np.cumsum(batch.column(3).value_lengths().to_numpy(zero_copy_only=False))])
+        for i, (to, name) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            items = flat[at[i] : at[i + 1]]
+            if name is None:
+                lead, own = to, items.copy()
+            elif to == lead:
+                x.append(name)
+                y.append(to)
+                n.append(len(items))
+                m.append(len(own))
+                away.append(np.setxor1d(items, own, assume_unique=True))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(n, pa.int64()), pa.array(m, pa.int64()), lists(away, pa.int64())], ["x", "y", "n", "m", "away"])
+
+
+def compare(docs: DataFrame, members: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(x, y, sizes n and m, away: the shingles that only one has) of pairs of classes, from the text of one document of each.
+
+    The set of x travels to y, once a pair; y is copied for every SHARE pairs it is in, so a class
+    that many meet is spread over tasks. The keys of the documents wanted are sent to every task
+    only if they are at most BROADCAST_ROWS; beyond that, texts are dealt out by key.
+    """
+    spark = docs.sparkSession
+    leads = pairs.groupBy("y").agg(F.count(F.lit(1)).alias("n")).select(F.col("y").alias("class"), F.ceil(F.col("n") / SHARE).cast("int").alias("lead_copies"))
+    known = pairs.join(leads.select(F.col("class").alias("y"), F.col("lead_copies").alias("copies")), "y")
+    partners = known.groupBy(F.col("x").alias("class")).agg(F.collect_list(F.struct("y", "copies")).alias("partners"))
+    wanted = partners.join(leads, "class", "full_outer").join(members.select("class", "low"), "class")
+    wanted = cut(wanted.select(F.col("low").alias("doc_id"), "class", "lead_copies", "partners"))
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    found = docs.join(F.broadcast(wanted) if small else wanted.hint("shuffle_merge"), "doc_id")
+    sides = found.select("class", "lead_copies", "partners", "text").mapInArrow(_sides(n), SIDES)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return sides.repartition(parts, "y", "copy").sortWithinPartitions("y", "copy", F.asc_nulls_first("x")).mapInArrow(_differences, COMPARED)
 
 
 def _spread(least: int):
@@ -148,42 +208,32 @@ def _spread(least: int):
 
 def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> DataFrame:
     """Links (a, b) between classes that give the components of all links."""
-    classes = profiles.where("n > 0 and doc_id is not null").groupBy("class").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("low"))
-    # One row for each prefix and size, with its members' least class; equal prefixes are one group.
-    gid = F.xxhash64("prefix", "n").alias("gid")
-    members = cut(classes.select("class", "low", "n", gid, "prefix"))
-    groups = members.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("class").alias("lead"), F.count(F.lit(1)).alias("size"))
-    seen = groups.select("gid", "n", "lead", "size", F.posexplode("prefix").alias("pos", "token"))
-    firsts = seen.groupBy("token").agg(F.min_by(F.struct("lead", "n"), "lead").alias("top"), F.sum("size").alias("size"))
-    firsts = firsts.where("size > 1").select("token", F.col("top.lead").alias("leader"), F.col("top.n").alias("m"))
-    met = cut(seen.select("token", "gid", "n", "pos").join(firsts, "token"))
+    sound = profiles.where("n > 0 and doc_id is not null")
+    members = cut(sound.groupBy("class").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("gid").alias("gid")))
+    groups = members.groupBy("gid").agg(F.min("class").alias("lead"), F.first("n").alias("m"), F.count(F.lit(1)).alias("size"))
+    seen = sound.select("gid", F.posexplode("prefix").alias("pos", "token"))
+    # Shingles in the prefixes of several groups, led by the least of these; and groups of several classes, as shingles of their own.
+    shared = seen.groupBy("token").agg(F.min("gid").alias("first"), F.max("gid").alias("last")).where("first <> last").select("token", "first")
+    met = seen.join(shared, "token").groupBy("token", "gid").agg(F.min("pos").alias("pos"), F.min("first").alias("first"))
+    own = groups.where("size > 1").select(F.xxhash64("gid").alias("token"), "gid", F.lit(0).alias("pos"), F.col("gid").alias("first"))
+    leads = groups.select(F.col("gid").alias("first"), F.col("lead").alias("leader"), "m")
+    met = cut(met.union(own).join(leads, "first").select("token", "gid", "pos", "leader", "m"))
     # Every class meets the leaders of its group's shingles, where the sizes allow it to be near.
-    low, high = F.least("n", "m"), F.greatest("n", "m")
-    stars = met.where(low >= (1 - NEAR) * high).select("gid", "leader").distinct()
-    stars = stars.join(members.select("gid", "class"), "gid").where("class <> leader").select(F.col("class").alias("x"), F.col("leader").alias("y"))
-    # Both members of any other pair are farther than this from the leader they share.
+    classes = members.select("gid", "class", "n")
+    at = met.select("gid", "leader", "m").distinct().join(classes, "gid").where(F.least("n", "m") >= (1 - NEAR) * F.greatest("n", "m"))
+    stars = cut(at.where("class <> leader").select(F.col("class").alias("x"), F.col("leader").alias("y")).distinct())
     away = F.size("away")
     union = (F.col("n") + F.col("m") + away) / 2
-    sets = None
-
-    def with_sets(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("class").alias("x"), F.col("items").alias("xs"))
-        b = sets.select(F.col("class").alias("y"), F.col("items").alias("ys"))
-        return pairs.join(a, "x").join(b, "y").select("x", "y", "xs", "ys").mapInArrow(_differences, PAIR_SETS)
-
-    stars = cut(stars)
-    wanted = stars.select(F.explode(F.array("x", "y")).alias("class")).distinct()
-    sets = cut(set_items(docs, members, wanted, n))
-    compared = cut(with_sets(stars).where(away <= NEAR * union))
+    compared = cut(compare(docs, members, stars, n).where(away <= NEAR * union))
     near_links = compared.groupBy("y").applyInArrow(_spread(least), "a binary, b binary")
-    # The rest: classes that share a shingle and are not both near its leader.
-    dist = compared.select(F.col("x").alias("class"), F.col("y").alias("leader"), (away / union).alias("dist"))
+    # The rest: classes that share a shingle and are not both near its leader. Both are farther from it than this.
     core = NEAR - (100 - least) / 100
-    expanded = met.where("gid is not null").join(members.select("gid", "class"), "gid")
-    far = expanded.join(dist, ["class", "leader"], "left").withColumn("dist", F.when(F.col("class") == F.col("leader"), 0.0).otherwise(F.col("dist")))
+    dist = compared.select(F.col("x").alias("class"), F.col("y").alias("leader"), (away / union).alias("dist"))
+    far = met.join(classes, "gid").join(dist, ["class", "leader"], "left")
+    far = far.withColumn("dist", F.when(F.col("class") == F.col("leader"), 0.0).otherwise(F.col("dist")))
     far = far.where(F.col("dist").isNull() | (F.col("dist") > core - 1e-9)).select("token", "class", "n", "pos", F.col("dist").isNotNull().alias("near"))
     x, y = far.alias("x"), far.alias("y")
-    # With p shingles before the shared one in x, and q in y, sets of n and m differ in p + q - (those shared there) or more.
+    # With p shingles before the shared one in x, and q in y, at most min(n - p, m - q) are shared if it is the first.
     total = F.col("x.n") + F.col("y.n")
     overlap = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     fits = (
@@ -191,31 +241,16 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
         & (100 * F.least("x.n", "y.n") >= least * F.greatest("x.n", "y.n")) & (overlap * (100 + least) >= least * total)
     )
     pairs = cut(x.join(y, (F.col("x.token") == F.col("y.token")) & fits).select(F.col("x.class").alias("x"), F.col("y.class").alias("y")).distinct())
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct()
-    sets = set_items(docs, members, wanted, n)
-    far_links = with_sets(pairs).where(away * (100 + least) <= (100 - least) * (F.col("n") + F.col("m"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    linked = away * (100 + least) <= (100 - least) * (F.col("n") + F.col("m"))
+    far_links = compare(docs, members, pairs, n).where(linked).select(F.col("x").alias("a"), F.col("y").alias("b"))
     return near_links.union(far_links)
 
 
-def set_items(docs: DataFrame, members: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(class, items) of the wanted classes, from the text of one document of each."""
-    chosen = members.join(wanted, "class", "left_semi").select(F.col("low").alias("doc_id"), "class")
-
-    def run(part, col):
-        items = [s.view(np.int64) for s in sets_of(col, n)]
-        names = [np.array([mix(s.view(np.uint64)).sum(dtype=np.uint64), mix(s.view(np.uint64) ^ np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64)]).tobytes() for s in items]
-        keep = [i for i, (a, b) in enumerate(zip(names, part.column(1).to_pylist(), strict=True)) if a == b]  # other rows of the same key
-        return pa.RecordBatch.from_arrays([pa.array([names[i] for i in keep], pa.binary()), lists([np.sort(items[i]) for i in keep], pa.int64())], ["class", "items"])
-
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("text", "class")
-    return found.mapInArrow(per_piece(run), "class binary, items array<bigint>").dropDuplicates(["class"])
-
-
 def link_documents(docs: DataFrame, n: int = 3, least: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; component_id is the least doc_id that links reach."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = slot_counts(own, n)
-    profiles = cut(own.mapInArrow(_profiles(counts, n, least), "doc_id bigint, n bigint, class binary, prefix array<bigint>"))
+    profiles = cut(own.mapInArrow(_profiles(counts, n, least), "doc_id bigint, n bigint, class binary, prefix array<bigint>, gid bigint"))
     roots = components(class_links(own, profiles, n, least))
     slim = profiles.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class"))
     named = slim.join(roots, slim["class"] == roots["node"], "left").select("doc_id", "n", F.coalesce("root", "class").alias("root"))
