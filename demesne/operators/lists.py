@@ -1,59 +1,22 @@
 """Child rows folded into ordered lists.
 
-A list is one value and must fit one task. Groups above `limit` rows are
-therefore cut into consecutive pieces of at most `limit` rows: they are
-range-partitioned on key and order, and numbered within each range. `piece` is
-0 for a list in one row, else a number that ascends in list order; nothing is
-dropped.
+A list is one value of one row, so these operators are for children that their
+source bounds: the columns of an index or a constraint, the steps and schedules
+of a job, the events of a trigger. For groups without such a bound the child
+rows themselves, with their key and order columns, are the relation to work on;
+counts and last values come from aggregates, never from the length of a list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demesne.functions.scalars import all_of
 
-PIECE = "piece"
-LIST_LIMIT = 1_000_000
-
-
-def _fold(df: DataFrame, keys: list[str], order: list[str], cols: list[str], aggs: list[Column]) -> DataFrame:
+def collect_ordered(df: DataFrame, keys: list[str], order: list[str], cols: list[str], aggs: list[Column] | None = None) -> DataFrame:
+    """Rows (keys, _items, aggs…), items sorted by the order columns; one row a key, one pass over the rows."""
     item = F.struct(*order, *[c for c in cols if c not in order])
-    return df.groupBy(*keys, PIECE).agg(F.array_sort(F.collect_list(item)).alias("_items"), *aggs)
-
-
-def collect_ordered(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    cols: list[str],
-    aggs: list[Column] | None = None,
-    limit: int = LIST_LIMIT,
-    rows: DataFrame | None = None,
-) -> DataFrame:
-    """Rows (keys, piece, _items, aggs…), items sorted by the order columns.
-
-    Group sizes are looked at first, in one pass over the keys alone, so that
-    the usual case of no oversized group is a single pass over the rows. `rows`
-    may name a cheaper relation with the same keys and at least as many rows
-    per key, such as the child before its joins.
-    """
-    aggs = aggs or []
-    sizes = (df if rows is None else rows).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.filter(F.col("_n") > limit).select(*[F.col(k).alias(f"_big_{k}") for k in keys])
-    if big.isEmpty():
-        return _fold(df.withColumn(PIECE, F.lit(0).cast("bigint")), keys, order, cols, aggs)
-    same = all_of([F.col(k).eqNullSafe(F.col(f"_big_{k}")) for k in keys])
-    small_rows = df.join(big, same, "left_anti").withColumn(PIECE, F.lit(0).cast("bigint"))
-    ranged = (
-        df.join(big, same, "left_semi").repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id() + 1)
-    )
-    # a range is a bounded slice of a hot group, so numbering it is a bounded, spillable sort
-    place = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order)) - 1
-    chunk = F.floor(place / F.lit(limit)).cast("bigint")
-    big_rows = ranged.withColumn(PIECE, F.shiftleft(F.col("_range").cast("bigint"), 32) + chunk).drop("_range")
-    return _fold(small_rows, keys, order, cols, aggs).unionByName(_fold(big_rows, keys, order, cols, aggs))
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_items"), *(aggs or []))
 
 
 def pick(col: str, condition=None) -> Column:
@@ -69,12 +32,10 @@ def ordered_list(
     keys: list[str],
     order: list[str],
     cols: list[str],
-    limit: int = LIST_LIMIT,
-    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Parallel ordered lists, one per column (key columns of a constraint, both sides of a foreign key)."""
-    folded = collect_ordered(df, keys, order, cols, limit=limit, rows=rows)
-    return folded.select(*keys, PIECE, *[pick(c).alias(c) for c in cols])
+    folded = collect_ordered(df, keys, order, cols)
+    return folded.select(*keys, *[pick(c).alias(c) for c in cols])
 
 
 def split_list(
@@ -84,16 +45,13 @@ def split_list(
     flag: str,
     name: str,
     descending: str,
-    limit: int = LIST_LIMIT,
-    rows: DataFrame | None = None,
 ) -> DataFrame:
     """One ordered column list split into key columns, their directions, and included columns."""
-    folded = collect_ordered(df, keys, order, [flag, name, descending], limit=limit, rows=rows)
+    folded = collect_ordered(df, keys, order, [flag, name, descending])
     is_key = lambda x: ~x[flag]
     sort = F.transform(F.filter("_items", is_key), lambda x: F.when(x[descending], "DESC").otherwise("ASC"))
     return folded.select(
         *keys,
-        PIECE,
         pick(name, is_key).alias("key_columns"),
         sort.alias("key_column_sort"),
         pick(name, lambda x: x[flag]).alias("included_columns"),
@@ -101,14 +59,14 @@ def split_list(
 
 
 def nest(
-    df: DataFrame, keys: list[str], order: list[str], cols: list[str], out: str, limit: int = LIST_LIMIT
+    df: DataFrame, keys: list[str], order: list[str], cols: list[str], out: str
 ) -> DataFrame:
     """Child rows as one ordered array of structs with their number."""
-    folded = collect_ordered(df, keys, order, cols, limit=limit)
+    folded = collect_ordered(df, keys, order, cols, [F.count(F.lit(1)).alias(f"{out}_count")])
     fields = F.transform("_items", lambda x: F.struct(*[x[c].alias(c) for c in cols]))
-    return folded.select(*keys, PIECE, fields.alias(out), F.size("_items").cast("bigint").alias(f"{out}_count"))
+    return folded.select(*keys, fields.alias(out), f"{out}_count")
 
 
-def distinct_list(df: DataFrame, keys: list[str], col: str, limit: int = LIST_LIMIT) -> DataFrame:
+def distinct_list(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     """Sorted list of distinct values per key."""
-    return ordered_list(df.select(*keys, col).distinct(), keys, [col], [col], limit)
+    return ordered_list(df.select(*keys, col).distinct(), keys, [col], [col])

@@ -180,6 +180,35 @@ def foreign_key_degrees(sys: Sys) -> DataFrame:
     )
 
 
+def _given(df: DataFrame, name: str) -> Column:
+    """A column that older servers do not have; NULL then."""
+    return F.col(name) if name in df.columns else F.lit(None).cast("int").alias(name)
+
+
+def table_features(sys: Sys) -> DataFrame:
+    """Temporal, memory-optimised, change-data-capture, change-tracking and partition facts of tables, one aggregate."""
+    t = sys["tables"]
+    flags = t.select(
+        *OBJ,
+        (_given(t, "temporal_type") == 2).alias("temporal"),
+        _given(t, "is_memory_optimized").cast("boolean").alias("memory"),
+        _given(t, "is_tracked_by_cdc").cast("boolean").alias("cdc"),
+        F.lit(None).cast("boolean").alias("tracked"),
+        F.lit(None).cast("bigint").alias("partition"),
+    )
+    none = F.lit(None).cast("boolean")
+    tracked = sys["change_tracking_tables"].select(*OBJ, none, none, none, F.lit(True), F.lit(None).cast("bigint"))
+    own = sys["partitions"].filter(F.col("index_id").isin(0, 1))
+    parts = own.select(*OBJ, none, none, none, none, F.col("partition_number").cast("bigint"))
+    return flags.union(tracked).union(parts).groupBy(*OBJ).agg(
+        F.bool_or("temporal").alias("is_temporal_table"),
+        F.bool_or("memory").alias("_memory"),
+        F.bool_or("cdc").alias("is_cdc_enabled"),
+        F.bool_or("tracked").alias("_tracked"),
+        F.max("partition").alias("partition_count"),
+    )
+
+
 def column_marks(sys: Sys) -> DataFrame:
     """Columns with their identity, computed and sparse marks."""
     computed = sys["computed_columns"].select(*OBJ, "column_id", F.lit(True).alias("computed"))
@@ -197,14 +226,13 @@ def column_totals(marks: DataFrame) -> DataFrame:
     return marks.groupBy(*OBJ).agg(F.count(F.lit(1)).alias("column_count"))
 
 
-def column_lists(marks: DataFrame, columns: DataFrame) -> DataFrame:
-    """Names of marked columns per table, in column order; see lists.py on `piece`."""
+def column_lists(marks: DataFrame) -> DataFrame:
+    """Names of marked columns per table, in column order; a table's columns are bounded by its source."""
     marked = marks.filter("identity or computed or sparse")
-    folded = collect_ordered(marked, OBJ, ["column_id"], ["name", "identity", "computed", "sparse"], rows=columns)
+    folded = collect_ordered(marked, OBJ, ["column_id"], ["name", "identity", "computed", "sparse"])
     names = lambda flag: F.transform(F.filter("_items", lambda x: x[flag]), lambda x: x["name"])
     return folded.select(
         *OBJ,
-        "piece",
         names("identity").alias("identity_columns"),
         names("computed").alias("computed_columns"),
         names("sparse").alias("sparse_columns"),
@@ -212,11 +240,7 @@ def column_lists(marks: DataFrame, columns: DataFrame) -> DataFrame:
 
 
 def tables(sys: Sys) -> DataFrame:
-    """Tables with kind, storage, child counts, degrees, marked columns and share of the database.
-
-    A table with more marked columns than one list may hold (lists.LIST_LIMIT)
-    has a row per piece of its lists; `piece` is 0 in every other case.
-    """
+    """Tables with kind, storage, child counts, degrees, marked columns, features and share of the database; one row each."""
     base = _named(sys["tables"], sys)
     heaps = sys["indexes"].filter(F.col("type_desc") == "HEAP")
     base = exists_flag(base, heaps, OBJ, "_heap")
@@ -229,7 +253,7 @@ def tables(sys: Sys) -> DataFrame:
         },
     )
     marks = column_marks(sys)
-    for part in (table_storage(sys), foreign_key_degrees(sys), column_totals(marks), column_lists(marks, sys["columns"])):
+    for part in (table_storage(sys), foreign_key_degrees(sys), column_totals(marks), column_lists(marks), table_features(sys)):
         base = base.join(part, OBJ, "left")
     return base.join(database_pages(sys), "database", "left").select(
         "database",
@@ -253,20 +277,27 @@ def tables(sys: Sys) -> DataFrame:
         or_empty("identity_columns").alias("identity_columns"),
         or_empty("computed_columns").alias("computed_columns"),
         or_empty("sparse_columns").alias("sparse_columns"),
-        F.coalesce("piece", F.lit(0).cast("bigint")).alias("piece"),
+        "is_temporal_table",
+        F.col("_memory").alias("is_memory_optimized"),
+        "is_cdc_enabled",
+        F.coalesce("_tracked", F.lit(False)).alias("is_change_tracking_enabled"),
+        (or_zero("partition_count") > 1).alias("is_partitioned"),
+        or_zero("partition_count").alias("partition_count"),
     )
 
 
 def typed_columns(sys: Sys) -> DataFrame:
     """Columns with their table, type, computed text and XML binding."""
     types = sys["types"].select("database", "user_type_id", F.col("name").alias("data_type"), "is_assembly_type")
-    computed = sys["computed_columns"].select(
-        *OBJ, "column_id", F.col("definition").alias("computed_expression")
-    )
+    raw = sys["computed_columns"]
+    persisted = _given(raw, "is_persisted").cast("boolean").alias("is_persisted")
+    computed = raw.select(*OBJ, "column_id", F.col("definition").alias("computed_expression"), persisted)
     collections = _named(sys["xml_schema_collections"], sys).select(
         "database", "xml_collection_id", qualify("schema", "name").alias("xml_schema_collection")
     )
-    plain = sys["columns"].join(types, ["database", "user_type_id"]).join(_tables(sys), OBJ)
+    cols = sys["columns"]
+    cols = cols.withColumns({"collation_name": _given(cols, "collation_name").cast("string"), "is_rowguid": _given(cols, "is_rowguidcol").cast("boolean")})
+    plain = cols.join(types, ["database", "user_type_id"]).join(_tables(sys), OBJ)
     plain = plain.join(computed, [*OBJ, "column_id"], "left")
     # columns without an XML binding would all meet under the NULL key, so they skip that join
     bound = plain.filter("xml_collection_id is not null").join(collections, ["database", "xml_collection_id"], "left")
@@ -303,6 +334,9 @@ def columns(sys: Sys) -> DataFrame:
             F.col("identity_seed").cast("bigint").alias("identity_seed"),
             F.col("identity_increment").cast("bigint").alias("identity_increment"),
             "computed_expression",
+            "is_persisted",
+            "collation_name",
+            "is_rowguid",
             tri_state("is_sparse").alias("is_sparse"),
             tri_state("is_nullable").alias("is_nullable"),
             tri_state("is_filestream").alias("is_filestream"),
@@ -384,11 +418,11 @@ def triggers(sys: Sys) -> DataFrame:
 
 
 def job_schedules(sys: Sys) -> DataFrame:
-    """Schedule names and their labels as parallel lists."""
+    """Schedule names and their labels as parallel lists; a job's schedules are few by nature."""
     rows = sys["job_schedules"].join(sys["schedules"], "schedule_id").select(
         "job_id", "schedule_name", schedule_label("freq_type", "freq_interval").alias("schedule_frequency"), "schedule_id"
     )
-    lists = ordered_list(rows, ["job_id"], ["schedule_id"], ["schedule_name", "schedule_frequency"], rows=sys["job_schedules"])
+    lists = ordered_list(rows, ["job_id"], ["schedule_id"], ["schedule_name", "schedule_frequency"])
     return lists.withColumnsRenamed({"schedule_name": "schedule_names"})
 
 
@@ -428,13 +462,12 @@ def job_steps(sys: Sys) -> DataFrame:
     )
     cols = [c for c in steps.columns if c != "job_id"]
     last = F.max_by(F.struct("retry_attempts", "retry_interval"), "step_id").alias("_last")
-    folded = collect_ordered(steps, ["job_id"], ["step_id"], cols, [last])
+    folded = collect_ordered(steps, ["job_id"], ["step_id"], cols, [last, F.count(F.lit(1)).alias("step_count")])
     details = F.transform("_items", lambda x: F.struct(*[x[c].alias(c) for c in cols]))
     return folded.select(
         "job_id",
-        "piece",
         details.alias("step_details"),
-        F.size("_items").cast("bigint").alias("step_count"),
+        "step_count",
         F.coalesce(F.col("_last.retry_attempts"), F.lit(0)).alias("retry_attempts"),
         F.coalesce(F.col("_last.retry_interval"), F.lit(0)).alias("retry_interval"),
     )
@@ -444,7 +477,7 @@ def agent_jobs(sys: Sys) -> DataFrame:
     """Jobs that have steps, with schedules, next and last run where known."""
     category = sys["job_categories"].select("category_id", F.col("name").alias("category"))
     operator = sys["job_operators"].select(F.col("id").alias("operator_id"), F.col("name").alias("notification_operator"))
-    schedules = job_schedules(sys).withColumnRenamed("piece", "schedule_piece")
+    schedules = job_schedules(sys)
     return (
         sys["jobs"]
         .join(job_steps(sys), "job_id")
@@ -455,7 +488,6 @@ def agent_jobs(sys: Sys) -> DataFrame:
         .join(job_last_run(sys), "job_id", "left")
         .select(
             "name",
-            "piece",
             tri_state("enabled").alias("enabled"),
             F.col("owner").cast("string").alias("owner"),
             "category",
@@ -474,7 +506,6 @@ def agent_jobs(sys: Sys) -> DataFrame:
             or_empty("schedule_names").alias("schedule_names"),
             or_empty("schedule_frequency").alias("schedule_frequency"),
             "step_details",
-            F.coalesce("schedule_piece", F.lit(0).cast("bigint")).alias("schedule_piece"),
         )
     )
 
@@ -508,9 +539,7 @@ def indexes(sys: Sys) -> DataFrame:
         F.col("is_descending_key").cast("boolean").alias("is_descending"),
         "column_name",
     )
-    lists = split_list(
-        cols, IDX, ["key_ordinal", "index_column_id"], "is_included", "column_name", "is_descending", rows=sys["index_columns"]
-    )
+    lists = split_list(cols, IDX, ["key_ordinal", "index_column_id"], "is_included", "column_name", "is_descending")
     physical = sys["index_physical_stats"].select(
         *IDX, "avg_fragmentation_in_percent", "page_count", "avg_page_space_used_in_percent", "record_count"
     )
@@ -551,7 +580,6 @@ def indexes(sys: Sys) -> DataFrame:
         "user_updates",
         percent_if_any(F.col("page_count"), F.col("table_pages")).alias("percent_of_table"),
         percent_if_any(F.col("page_count"), F.col("database_pages")).alias("percent_of_database"),
-        F.coalesce("piece", F.lit(0).cast("bigint")).alias("piece"),
     )
 
 
@@ -570,14 +598,14 @@ def foreign_keys(sys: Sys) -> DataFrame:
 
 
 _CONSTRAINT = [
-    "database", "schema", "table", "name", "constraint_type", "piece", "columns", "referenced_table",
+    "database", "schema", "table", "name", "constraint_type", "columns", "referenced_table",
     "referenced_columns", "delete_action", "update_action", "is_trusted", "is_disabled", "is_system_named", "definition",
 ]
 
 
 def _constraint(df: DataFrame, **given: Column) -> DataFrame:
     types = {
-        "piece": "bigint", "columns": "array<string>", "referenced_columns": "array<string>", "is_trusted": "boolean",
+        "columns": "array<string>", "referenced_columns": "array<string>", "is_trusted": "boolean",
         "is_disabled": "boolean", "is_system_named": "boolean",
     }
     cols = []
@@ -602,7 +630,7 @@ def key_constraints(sys: Sys) -> DataFrame:
         "type",
         F.col("is_system_named").cast("boolean").alias("is_system_named"),
     )
-    lists = ordered_list(cols, IDX, ["key_ordinal"], ["column_name"], rows=sys["index_columns"])
+    lists = ordered_list(cols, IDX, ["key_ordinal"], ["column_name"])
     rows = keys.join(lists, IDX).join(_tables(sys), OBJ)
     kind = F.when(F.col("type") == "PK", "PRIMARY_KEY").otherwise("UNIQUE")
     return _constraint(rows, constraint_type=kind, columns=F.col("column_name"), referenced_columns=or_empty(F.lit(None)))
@@ -619,7 +647,7 @@ def foreign_key_constraints(sys: Sys) -> DataFrame:
         .join(other, ["database", "referenced_object_id", "referenced_column_id"])
         .select("database", "constraint_object_id", "constraint_column_id", "parent_column", "referenced_column")
     )
-    lists = ordered_list(pairs, ["database", "constraint_object_id"], ["constraint_column_id"], ["parent_column", "referenced_column"], rows=sys["foreign_key_columns"])
+    lists = ordered_list(pairs, ["database", "constraint_object_id"], ["constraint_column_id"], ["parent_column", "referenced_column"])
     t = _tables(sys)
     from_t = t.withColumnRenamed("object_id", "parent_object_id")
     to_t = t.select("database", F.col("object_id").alias("referenced_object_id"), qualify("schema", "table").alias("referenced_table"))
@@ -655,7 +683,6 @@ def check_constraints(sys: Sys) -> DataFrame:
     return _constraint(
         _on_column(sys, "check_constraints"),
         constraint_type=F.lit("CHECK"),
-        piece=F.lit(0).cast("bigint"),
         columns=_one_column(),
         referenced_columns=or_empty(F.lit(None)),
         is_trusted=inverted("is_not_trusted"),
@@ -668,7 +695,6 @@ def default_constraints(sys: Sys) -> DataFrame:
     return _constraint(
         _on_column(sys, "default_constraints"),
         constraint_type=F.lit("DEFAULT"),
-        piece=F.lit(0).cast("bigint"),
         columns=_one_column(),
         referenced_columns=or_empty(F.lit(None)),
         is_system_named=F.coalesce(F.col("is_system_named").cast("boolean"), F.lit(False)),

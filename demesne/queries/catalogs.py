@@ -71,6 +71,7 @@ co AS (SELECT c.database, c.object_id, count(*) AS n,
               string_agg(CASE WHEN is_sparse = 1 THEN c.name END, '; ' ORDER BY c.column_id, c.name) AS sc
        FROM sys_columns c LEFT JOIN (SELECT database, object_id, column_id FROM sys_computed_columns ) k USING (database, object_id, column_id)
        GROUP BY 1, 2)
+, pn AS (SELECT database, object_id, max(partition_number) AS n FROM sys_partitions WHERE index_id IN (0, 1) GROUP BY 1, 2)
 SELECT tn.database, tn.sch AS schema, tn.tab AS name, CAST(coalesce(rc, 0) AS BIGINT) AS row_count, {mb('coalesce(tp, 0)')} AS size_mb,
        CAST(coalesce(co.n, 0) AS BIGINT) AS column_count, strftime(t.create_date, {ISO}) AS create_date, strftime(t.modify_date, {ISO}) AS modify_date,
        CASE WHEN EXISTS (SELECT 1 FROM sys_indexes i WHERE i.database = t.database AND i.object_id = t.object_id AND i.type_desc = 'HEAP') THEN 'HEAP' ELSE 'CLUSTERED' END AS table_type,
@@ -81,10 +82,13 @@ SELECT tn.database, tn.sch AS schema, tn.tab AS name, CAST(coalesce(rc, 0) AS BI
        CAST((SELECT count(*) FROM sys_triggers g WHERE g.database = t.database AND g.parent_id = t.object_id) AS BIGINT) AS trigger_count,
        CAST(coalesce(rp, 0) AS BIGINT) AS estimated_reserved_pages, CAST(coalesce(up, 0) AS BIGINT) AS used_pages, CAST(coalesce(dp, 0) AS BIGINT) AS data_pages,
        {pct('coalesce(tp, 0)', 'dbp.pages')} AS percent_of_database_occupied,
-       coalesce(idc, '') AS identity_columns, coalesce(cc, '') AS computed_columns, coalesce(sc, '') AS sparse_columns, CAST(0 AS BIGINT) AS piece
+       coalesce(idc, '') AS identity_columns, coalesce(cc, '') AS computed_columns, coalesce(sc, '') AS sparse_columns,
+       t.temporal_type = 2 AS is_temporal_table, CAST(t.is_memory_optimized AS BOOLEAN) AS is_memory_optimized, CAST(t.is_tracked_by_cdc AS BOOLEAN) AS is_cdc_enabled,
+       EXISTS (SELECT 1 FROM sys_change_tracking_tables k WHERE k.database = t.database AND k.object_id = t.object_id) AS is_change_tracking_enabled,
+       coalesce(pn.n, 0) > 1 AS is_partitioned, CAST(coalesce(pn.n, 0) AS BIGINT) AS partition_count
 FROM sys_tables t JOIN tn ON tn.database = t.database AND tn.object_id = t.object_id
 LEFT JOIN st ON st.database = t.database AND st.object_id = t.object_id LEFT JOIN co ON co.database = t.database AND co.object_id = t.object_id
-LEFT JOIN dbp ON dbp.database = t.database"""
+LEFT JOIN dbp ON dbp.database = t.database LEFT JOIN pn ON pn.database = t.database AND pn.object_id = t.object_id"""
 
 
 @query("catalog_tables", with_raw(TABLES_SQL))
@@ -97,6 +101,7 @@ xc AS (SELECT x.database, x.xml_collection_id, s.name || '.' || x.name AS q FROM
 ck AS (SELECT database, parent_object_id, parent_column_id, min(definition) AS d FROM sys_check_constraints GROUP BY 1, 2, 3)
 SELECT c.database, tn.sch AS schema, tn.tab AS "table", c.name, ty.name AS data_type, CAST(c.is_nullable AS BOOLEAN) AS nullable, c.column_id AS ordinal_position,
        dc.definition AS default_constraint, ck.d AS check_constraint, c.identity_seed, c.identity_increment, cc.definition AS computed_expression,
+       CAST(cc.is_persisted AS BOOLEAN) AS is_persisted, c.collation_name, CAST(c.is_rowguidcol AS BOOLEAN) AS is_rowguid,
        CAST(is_sparse AS BOOLEAN) AS is_sparse, CAST(c.is_nullable AS BOOLEAN) AS is_nullable, CAST(is_filestream AS BOOLEAN) AS is_filestream,
        CAST(ty.is_assembly_type AS BOOLEAN) AS is_clr_type, c.max_length, xc.q AS xml_schema_collection
 FROM sys_columns c JOIN sys_types ty USING (database, user_type_id) JOIN tn USING (database, object_id)
@@ -176,12 +181,12 @@ sc AS (SELECT j.job_id, string_agg(schedule_name, '; ' ORDER BY j.schedule_id) A
        FROM sys_job_schedules j JOIN sys_schedules s ON s.schedule_id = j.schedule_id GROUP BY 1),
 nx AS (SELECT job_id, min(next_run_date * CAST(1000000 AS BIGINT) + next_run_time) AS p FROM sys_job_schedules WHERE next_run_date > 0 GROUP BY 1),
 lr AS (SELECT h.* FROM sys_job_history h JOIN (SELECT job_id, max(instance_id) AS m FROM sys_job_history WHERE step_id = 0 GROUP BY 1) x ON x.job_id = h.job_id AND x.m = h.instance_id)
-SELECT j.name, CAST(0 AS BIGINT) AS piece, CAST(enabled AS BOOLEAN) AS enabled, owner, c.name AS category, description, strftime(date_created, {ISO}) AS date_created,
+SELECT j.name, CAST(enabled AS BOOLEAN) AS enabled, owner, c.name AS category, description, strftime(date_created, {ISO}) AS date_created,
        strftime(date_modified, {ISO}) AS date_modified, CAST(ra AS BIGINT) AS retry_attempts, CAST(ri AS BIGINT) AS retry_interval, op.name AS notification_operator,
        {_case('notify_level', catalog.NOTIFY_LEVEL)} AS notification_method, {_PACKED_DATE.format('lr.run_date')} AS last_run_date,
        {_PACKED_TIME.format('lr.run_time')} AS last_run_time, {_case('lr.run_status', catalog.RUN_STATUS)} AS last_run_status,
        {_PACKED_DATE.format('(nx.p // 1000000)')} || 'T' || {_PACKED_TIME.format('(nx.p % 1000000)')} AS next_scheduled_run,
-       CAST(st.n AS BIGINT) AS step_count, coalesce(sc.names, '') AS schedule_names, coalesce(sc.freqs, '') AS schedule_frequency, st.steps AS steps, CAST(0 AS BIGINT) AS schedule_piece
+       CAST(st.n AS BIGINT) AS step_count, coalesce(sc.names, '') AS schedule_names, coalesce(sc.freqs, '') AS schedule_frequency, st.steps AS steps
 FROM sys_jobs j JOIN st ON st.job_id = j.job_id LEFT JOIN sys_job_categories c ON c.category_id = j.category_id
 LEFT JOIN sys_job_operators op ON op.id = j.operator_id LEFT JOIN sc ON sc.job_id = j.job_id LEFT JOIN nx ON nx.job_id = j.job_id LEFT JOIN lr ON lr.job_id = j.job_id"""
 
@@ -212,7 +217,7 @@ SELECT i.database, tn.sch AS schema, tn.tab AS "table", i.name, i.type_desc = 'C
        avg_fragmentation_in_percent AS fragmentation_pct, CAST(ph.page_count AS BIGINT) AS page_count, {mb('ph.page_count')} AS index_size_mb,
        avg_page_space_used_in_percent AS avg_page_space_used_pct, CAST(ph.record_count AS BIGINT) AS record_count,
        us.user_seeks, us.user_scans, us.user_lookups, CAST(us.user_updates AS BIGINT) AS user_updates,
-       {pct('nullif(ph.page_count, 0)', 'ts.pages')} AS percent_of_table, {pct('nullif(ph.page_count, 0)', 'dbp.pages')} AS percent_of_database, CAST(0 AS BIGINT) AS piece
+       {pct('nullif(ph.page_count, 0)', 'ts.pages')} AS percent_of_table, {pct('nullif(ph.page_count, 0)', 'dbp.pages')} AS percent_of_database
 FROM sys_indexes i JOIN tn USING (database, object_id)
 LEFT JOIN sys_filegroups g ON g.database = i.database AND g.data_space_id = i.data_space_id
 LEFT JOIN ic ON ic.database = i.database AND ic.object_id = i.object_id AND ic.index_id = i.index_id
@@ -245,20 +250,20 @@ pk AS (SELECT k.database, k.name, k.parent_object_id, k.type, k.is_system_named,
 fc AS (SELECT x.database, x.constraint_object_id, string_agg(p.name, '; ' ORDER BY x.constraint_column_id, p.name, r.name) AS cols, string_agg(r.name, '; ' ORDER BY x.constraint_column_id, p.name, r.name) AS rcols
        FROM sys_foreign_key_columns x JOIN sys_columns p ON p.database = x.database AND p.object_id = x.parent_object_id AND p.column_id = x.parent_column_id
        JOIN sys_columns r ON r.database = x.database AND r.object_id = x.referenced_object_id AND r.column_id = x.referenced_column_id GROUP BY 1, 2)
-SELECT pk.database, tn.sch AS schema, tn.tab AS "table", pk.name, CASE WHEN pk.type = 'PK' THEN 'PRIMARY_KEY' ELSE 'UNIQUE' END AS constraint_type, CAST(0 AS BIGINT) AS piece, pk.cols AS columns,
+SELECT pk.database, tn.sch AS schema, tn.tab AS "table", pk.name, CASE WHEN pk.type = 'PK' THEN 'PRIMARY_KEY' ELSE 'UNIQUE' END AS constraint_type, pk.cols AS columns,
        CAST(NULL AS VARCHAR) AS referenced_table, '' AS referenced_columns, CAST(NULL AS VARCHAR) AS delete_action, CAST(NULL AS VARCHAR) AS update_action,
        CAST(NULL AS BOOLEAN) AS is_trusted, CAST(NULL AS BOOLEAN) AS is_disabled, CAST(pk.is_system_named AS BOOLEAN) AS is_system_named, CAST(NULL AS VARCHAR) AS definition
 FROM pk JOIN tn ON tn.database = pk.database AND tn.object_id = pk.parent_object_id
 UNION ALL
-SELECT f.database, a.sch, a.tab, f.name, 'FOREIGN_KEY', 0, fc.cols, b.sch || '.' || b.tab, fc.rcols, delete_action, update_action, is_not_trusted = 0, CAST(is_disabled AS BOOLEAN), CAST(is_system_named AS BOOLEAN), NULL
+SELECT f.database, a.sch, a.tab, f.name, 'FOREIGN_KEY', fc.cols, b.sch || '.' || b.tab, fc.rcols, delete_action, update_action, is_not_trusted = 0, CAST(is_disabled AS BOOLEAN), CAST(is_system_named AS BOOLEAN), NULL
 FROM sys_foreign_keys f JOIN fc ON fc.database = f.database AND fc.constraint_object_id = f.object_id
 JOIN tn a ON a.database = f.database AND a.object_id = f.parent_object_id JOIN tn b ON b.database = f.database AND b.object_id = f.referenced_object_id
 UNION ALL
-SELECT k.database, tn.sch, tn.tab, k.name, 'CHECK', 0, coalesce(c.name, ''), NULL, '', NULL, NULL, is_not_trusted = 0, CAST(is_disabled AS BOOLEAN), CAST(is_system_named AS BOOLEAN), k.definition
+SELECT k.database, tn.sch, tn.tab, k.name, 'CHECK', coalesce(c.name, ''), NULL, '', NULL, NULL, is_not_trusted = 0, CAST(is_disabled AS BOOLEAN), CAST(is_system_named AS BOOLEAN), k.definition
 FROM sys_check_constraints k JOIN tn ON tn.database = k.database AND tn.object_id = k.parent_object_id
 LEFT JOIN sys_columns c ON c.database = k.database AND c.object_id = k.parent_object_id AND c.column_id = k.parent_column_id
 UNION ALL
-SELECT k.database, tn.sch, tn.tab, k.name, 'DEFAULT', 0, coalesce(c.name, ''), NULL, '', NULL, NULL, NULL, NULL, CAST(is_system_named AS BOOLEAN), k.definition
+SELECT k.database, tn.sch, tn.tab, k.name, 'DEFAULT', coalesce(c.name, ''), NULL, '', NULL, NULL, NULL, NULL, CAST(is_system_named AS BOOLEAN), k.definition
 FROM sys_default_constraints k JOIN tn ON tn.database = k.database AND tn.object_id = k.parent_object_id
 LEFT JOIN sys_columns c ON c.database = k.database AND c.object_id = k.parent_object_id AND c.column_id = k.parent_column_id"""
 

@@ -70,8 +70,13 @@ RAW: dict[str, str] = {
         FROM {{orders}} GROUP BY {_db('o_orderkey')}, substr(o_orderpriority, 1, 1)""",
     "tables": f"""
         SELECT {_db('o_orderkey')} AS database, o_orderkey AS object_id, CAST(substr(o_orderpriority, 1, 1) AS INT) AS schema_id,
-               concat('t', o_orderkey) AS name, o_orderdate AS create_date, o_orderdate AS modify_date
+               concat('t', o_orderkey) AS name, o_orderdate AS create_date, o_orderdate AS modify_date,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 0 END AS temporal_type,
+               CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS is_tracked_by_cdc,
+               CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'O' THEN 1 ELSE 0 END AS is_memory_optimized
         FROM {{orders}}""",
+    "change_tracking_tables": f"""
+        SELECT {_db('o_orderkey')} AS database, o_orderkey AS object_id FROM {{orders}} WHERE o_orderpriority = '3-MEDIUM'""",
     "columns": f"""
         SELECT {_db('l_orderkey')} AS database, l_orderkey AS object_id, {_COLUMN} AS column_id, concat('c', l_partkey) AS name,
                CAST(l_linenumber AS INT) AS user_type_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_nullable,
@@ -80,7 +85,9 @@ RAW: dict[str, str] = {
                CASE WHEN l_discount = 0 THEN CAST(1 AS BIGINT) END AS identity_seed,
                CASE WHEN l_discount = 0 THEN CAST(l_suppkey AS BIGINT) END AS identity_increment,
                CASE WHEN l_quantity > 45 THEN CAST(-1 AS BIGINT) ELSE CAST(l_quantity AS BIGINT) END AS max_length,
-               CASE WHEN l_linenumber = 4 THEN l_suppkey END AS xml_collection_id
+               CASE WHEN l_linenumber = 4 THEN l_suppkey END AS xml_collection_id,
+               CASE WHEN l_linenumber IN (2, 3) THEN 'CI_AS' END AS collation_name,
+               CASE WHEN l_tax = 0.04 AND l_discount > 0.05 THEN 1 ELSE 0 END AS is_rowguidcol
         FROM {{lineitem}}""",
     "types": f"""
         SELECT {_db('l_orderkey')} AS database, CAST(l_linenumber AS INT) AS user_type_id,
@@ -166,7 +173,8 @@ RAW: dict[str, str] = {
         FROM {{lineitem}} WHERE l_linenumber = 4""",
     "computed_columns": f"""
         SELECT {_db('l_orderkey')} AS database, l_orderkey AS object_id, {_COLUMN} AS column_id,
-               concat('([s2].[f', l_suppkey, ']([c', min(l_partkey), ']))') AS definition
+               concat('([s2].[f', l_suppkey, ']([c', min(l_partkey), ']))') AS definition,
+               CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 0 END AS is_persisted
         FROM {{lineitem}} WHERE l_linenumber = 5 GROUP BY l_orderkey, l_suppkey, {_COLUMN}""",
     "triggers": f"""
         SELECT {_db('o_orderkey')} AS database, {_TRIG} + o_orderkey AS object_id, concat('g', o_orderkey) AS name, o_orderkey AS parent_id

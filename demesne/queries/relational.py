@@ -451,7 +451,7 @@ _ITEM_ORDER = "l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus"
 
 @query(
     "ordered_key_lists",
-    f"""SELECT l_orderkey, CAST(0 AS BIGINT) AS piece, coalesce(string_agg(CASE WHEN l_returnflag <> 'R' THEN 'c' || l_partkey END, '; ' ORDER BY {_ITEM_ORDER}), '') AS key_columns,
+    f"""SELECT l_orderkey, coalesce(string_agg(CASE WHEN l_returnflag <> 'R' THEN 'c' || l_partkey END, '; ' ORDER BY {_ITEM_ORDER}), '') AS key_columns,
   coalesce(string_agg(CASE WHEN l_returnflag <> 'R' THEN CASE WHEN l_linestatus = 'F' THEN 'DESC' ELSE 'ASC' END END, '; ' ORDER BY {_ITEM_ORDER}), '') AS key_column_sort,
   coalesce(string_agg(CASE WHEN l_returnflag = 'R' THEN 'c' || l_partkey END, '; ' ORDER BY {_ITEM_ORDER}), '') AS included_columns FROM lineitem GROUP BY 1""",
 )
@@ -461,12 +461,12 @@ def ordered_key_lists(t):
         (F.col("l_linestatus") == "F").alias("desc"), "l_returnflag", "l_linestatus",
     )
     out = lists.split_list(rows, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"], "inc", "name", "desc")
-    return out.select("l_orderkey", "piece", *[F.array_join(c, "; ").alias(c) for c in ("key_columns", "key_column_sort", "included_columns")])
+    return out.select("l_orderkey", *[F.array_join(c, "; ").alias(c) for c in ("key_columns", "key_column_sort", "included_columns")])
 
 
 @query(
     "paired_lists",
-    """SELECT l_orderkey, l_suppkey, CAST(0 AS BIGINT) AS piece, string_agg('c' || l_partkey, '; ' ORDER BY l_linenumber, l_partkey) AS parent_columns, string_agg('r' || l_partkey, '; ' ORDER BY l_linenumber, l_partkey) AS referenced_columns FROM lineitem GROUP BY 1, 2""",
+    """SELECT l_orderkey, l_suppkey, string_agg('c' || l_partkey, '; ' ORDER BY l_linenumber, l_partkey) AS parent_columns, string_agg('r' || l_partkey, '; ' ORDER BY l_linenumber, l_partkey) AS referenced_columns FROM lineitem GROUP BY 1, 2""",
 )
 def paired_lists(t):
     rows = t["lineitem"].select("l_orderkey", "l_suppkey", "l_linenumber", "l_partkey", F.concat(F.lit("c"), "l_partkey").alias("parent_columns"), F.concat(F.lit("r"), "l_partkey").alias("referenced_columns"))
@@ -476,7 +476,7 @@ def paired_lists(t):
 
 @query(
     "nested_steps",
-    """SELECT conv_id, CAST(0 AS BIGINT) AS piece, string_agg(turn || ':' || role || ':' || length(text), '; ' ORDER BY turn) AS steps, count(*) AS steps_count FROM conversations GROUP BY 1""",
+    """SELECT conv_id, string_agg(turn || ':' || role || ':' || length(text), '; ' ORDER BY turn) AS steps, count(*) AS steps_count FROM conversations GROUP BY 1""",
 )
 def nested_steps(t):
     rows = t["conversations"].select("conv_id", "turn", "role", F.length("text").alias("size"))
@@ -487,7 +487,7 @@ def nested_steps(t):
 
 @query(
     "distinct_lists",
-    "SELECT user_id, CAST(0 AS BIGINT) AS piece, string_agg(DISTINCT event_type, '; ' ORDER BY event_type) AS event_type FROM events GROUP BY 1",
+    "SELECT user_id, string_agg(DISTINCT event_type, '; ' ORDER BY event_type) AS event_type FROM events GROUP BY 1",
 )
 def distinct_lists(t):
     return lists.distinct_list(t["events"], ["user_id"], "event_type").withColumn("event_type", F.array_join("event_type", "; "))

@@ -13,6 +13,7 @@ RAW = {
     "restorehistory": "destination_database_name string, restore_date timestamp",
     "schemas": "database string, schema_id int, name string",
     "tables": "database string, object_id long, schema_id int, name string, create_date timestamp, modify_date timestamp",
+    "change_tracking_tables": "database string, object_id long",
     "columns": "database string, object_id long, column_id long, name string, user_type_id int, is_nullable int, is_sparse int, is_filestream int, identity_seed long, identity_increment long, max_length long, xml_collection_id long",
     "computed_columns": "database string, object_id long, column_id long, definition string",
     "indexes": "database string, object_id long, index_id long, name string, type_desc string, is_unique int, has_filter int, is_disabled int, fill_factor int, data_space_id int, filter_definition string, is_primary_key int",

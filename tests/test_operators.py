@@ -49,21 +49,21 @@ def test_top_n_cuts_before_the_shuffle(hot):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_lists_of_ordinary_groups_have_one_piece(make):
+def test_lists_keep_their_order(make):
     df = make([("fk", 2, "b", "y"), ("fk", 1, "a", "x")], "name string, ord int, p string, r string")
     got = lists.ordered_list(df, ["name"], ["ord"], ["p", "r"]).collect()
-    assert [tuple(r) for r in got] == [("fk", 0, ["a", "b"], ["x", "y"])]
+    assert [tuple(r) for r in got] == [("fk", ["a", "b"], ["x", "y"])]
 
 
-def test_hot_groups_are_cut_in_ordered_pieces_and_stay_whole(hot):
+def test_lists_stay_whole_and_are_planned_without_a_job(hot, spark):
     df, rows = hot
-    got = lists.ordered_list(df, ["k"], ["i"], ["i"], limit=200).collect()
-    for key in {r["k"] for r in got}:
-        pieces = sorted((r["piece"], r["i"]) for r in got if r["k"] == key)
-        assert [i for _, part in pieces for i in part] == sorted(i for k, i in rows if k == key)
-    hot_pieces = [r["piece"] for r in got if r["k"] == "hot"]
-    assert len(hot_pieces) > 1 and min(hot_pieces) > 0
-    assert all(r["piece"] == 0 for r in got if r["k"] != "hot")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job may run")
+    listed = lists.nest(df, ["k"], ["i"], ["i"], "items")
+    assert not tracker.getJobIdsForGroup("planning")
+    for r in listed.collect():
+        want = sorted(i for k, i in rows if k == r["k"])
+        assert [x["i"] for x in r["items"]] == want and r["items_count"] == len(want)
 
 
 def test_split_and_nest(make):
