@@ -8,15 +8,15 @@ similarity of at least `least` (in percent), and a component is what links reach
    one puts passages that many documents share last.
 2. Equal sets are one class. The prefix of a set of n shingles is its first n - ceil(least n) + 1:
    linked sets share a shingle of their prefixes. Classes with the same prefix and size are one group.
-3. Groups meet on the shingles of their prefixes. For each shared shingle one class leads (the least
+3. Groups meet on the shingles of their prefixes. Where more than `FEW` classes share a shingle, one class leads (the least
    one), and every class of the groups there is compared with the leaders it meets: a number of pairs in
    proportion to the prefixes. Verified pairs give links and, for classes within `NEAR` of the leader, the few
    shingles by which they differ from it. Classes near the same leader are compared by these differences
    alone (|x ^ y| = |Dx ^ Dy|), spreading from linked class to linked class over those not reached
    yet, so that no pair inside a component is asked for again.
 4. Two linked sets at most one of which is near a leader are both farther than NEAR - (1 - least)
-   from it, by the triangle inequality of the Jaccard distance. Only such classes are paired with
-   each other directly, with filters by size and by position, and verified.
+   from it, by the triangle inequality of the Jaccard distance. Only such classes, and those that
+   share a shingle with few others, are paired directly, with filters by size and by position, and verified.
 5. Components of classes come from alternating star rounds.
 
 A set is represented by 64-bit hashes of its shingles, a class by 128 bits.
@@ -42,6 +42,8 @@ from demesne.session import cut
 SLOT_BITS = 18
 #: Jaccard distance within which differences from a leader are kept.
 NEAR = 0.3
+#: Classes with a shared shingle that are paired directly.
+FEW = 12
 #: Pairs that one copy of a class is compared in, and most keys that are sent to every task.
 SHARE, BROADCAST_ROWS = 2_000, 200_000
 
@@ -217,10 +219,14 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
     met = seen.join(shared, "token").groupBy("token", "gid").agg(F.min("pos").alias("pos"), F.min("first").alias("first"))
     own = groups.where("size > 1").select(F.xxhash64("gid").alias("token"), "gid", F.lit(0).alias("pos"), F.col("gid").alias("first"))
     leads = groups.select(F.col("gid").alias("first"), F.col("lead").alias("leader"), "m")
-    met = cut(met.union(own).join(leads, "first").select("token", "gid", "pos", "leader", "m"))
+    # Few classes that share a shingle are paired directly; more meet by their leader.
+    met = met.union(own).join(groups.select("gid", "size"), "gid")
+    many = met.groupBy("token").agg(F.sum("size").alias("all")).where(F.col("all") > FEW).select("token", F.lit(True).alias("led"))
+    met = met.join(many, "token", "left").join(leads, "first")
+    met = cut(met.select("token", "gid", "pos", F.when(F.col("led"), F.col("leader")).alias("leader"), "m"))
     # Every class meets the leaders of its group's shingles, where the sizes allow it to be near.
     classes = members.select("gid", "class", "n")
-    at = met.select("gid", "leader", "m").distinct().join(classes, "gid").where(F.least("n", "m") >= (1 - NEAR) * F.greatest("n", "m"))
+    at = met.where("leader is not null").select("gid", "leader", "m").distinct().join(classes, "gid").where(F.least("n", "m") >= (1 - NEAR) * F.greatest("n", "m"))
     stars = cut(at.where("class <> leader").select(F.col("class").alias("x"), F.col("leader").alias("y")).distinct())
     away = F.size("away")
     union = (F.col("n") + F.col("m") + away) / 2
