@@ -104,57 +104,81 @@ def _distance_bound(n, m, least: int):
 
 
 COMPARED = "x binary, y binary, n bigint, m bigint, away array<bigint>"
-SIDES = "y binary, copy int, x binary, items array<bigint>"
+SIDES = "y binary, copy int, x binary, size bigint, items array<{}>"
 
 
-def _sides(n: int):
-    """(class, lead_copies, partners, text) -> the set of the text, once for each comparison (y, copy, x; x is null for y itself)."""
+def _sides(n: int, brief: bool):
+    """(class, lead_copies, partners, text) -> the set of the text, once for each comparison (y, copy, x; x is null for y itself).
+
+    A brief set is what a quarter of all shingles, told by their hash, has of it, each cut to 32 bits.
+    """
 
     def run(part, col):
-        y, copy, x, items = [], [], [], []
+        y, copy, x, size, items = [], [], [], [], []
         for name, copies, partners, s in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), sets_of(col, n), strict=True):
             if _name(s) != name:
                 continue  # another row of the same key
             own = s.view(np.int64)
             # Signed order, so that differences are merges of sorted arrays on both sides.
-            own = np.sort(own)
+            size_ = len(own)
+            own = np.unique(s[s >> np.uint64(62) == 0] & np.uint64(0xFFFFFFFF)).astype(np.int32) if brief else np.sort(own)
             for k in range(copies or 0):
                 y.append(name)
                 copy.append(k)
                 x.append(None)
+                size.append(size_)
                 items.append(own)
             pick = int.from_bytes(name[:4], "little")
             for p in partners or []:
                 y.append(p["y"])
                 copy.append(pick % p["copies"])
                 x.append(name)
+                size.append(size_)
                 items.append(own)
-        return pa.RecordBatch.from_arrays([pa.array(y, pa.binary()), pa.array(copy, pa.int32()), pa.array(x, pa.binary()), lists(items, pa.int64())], ["y", "copy", "x", "items"])
+        kind = pa.int32() if brief else pa.int64()
+        return pa.RecordBatch.from_arrays([pa.array(y, pa.binary()), pa.array(copy, pa.int32()), pa.array(x, pa.binary()), pa.array(size, pa.int64()), lists(items, kind)], ["y", "copy", "x", "size", "items"])
 
     return per_piece(run)
 
 
-def _differences(batches):
-    """Rows sorted by (y, copy, x), the set of y before those to compare it with -> sizes, and the shingles that only one has."""
-    lead, own = None, None
-    for batch in batches:
-        x, y, n, m, away = [], [], [], [], []
-        flat, at = batch.column(3).flatten().to_numpy(), np.concatenate([[0], np.cumsum(batch.column(3).value_lengths().to_numpy(zero_copy_only=False))])
-        for i, (to, name) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            items = flat[at[i] : at[i + 1]]
-            if name is None:
-                lead, own = to, items.copy()
-            elif to == lead:
-                x.append(name)
-                y.append(to)
-                n.append(len(items))
-                m.append(len(own))
-                away.append(np.setxor1d(items, own, assume_unique=True))
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(n, pa.int64()), pa.array(m, pa.int64()), lists(away, pa.int64())], ["x", "y", "n", "m", "away"])
+def _differences(limit: float, brief: bool):
+    """Rows sorted by (y, copy, x), the set of y before those to compare it with -> pairs that differ in at most limit (n + m)."""
+
+    def run(batches):
+        lead, own, own_size = None, None, 0
+        kind = pa.int32() if brief else pa.int64()
+        for batch in batches:
+            x, y, n, m, away = [], [], [], [], []
+            flat, at = batch.column(4).flatten().to_numpy(), np.concatenate([[0], np.cumsum(batch.column(4).value_lengths().to_numpy(zero_copy_only=False))])
+            for i, (to, name, size) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                items = flat[at[i] : at[i + 1]]
+                if name is None:
+                    lead, own, own_size = to, items.copy(), size
+                elif to == lead:
+                    apart = np.setxor1d(items, own, assume_unique=True)
+                    if len(apart) <= limit * (size + own_size) + 1e-9:
+                        x.append(name)
+                        y.append(to)
+                        n.append(size)
+                        m.append(own_size)
+                        away.append(apart[:0] if brief else apart)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(n, pa.int64()), pa.array(m, pa.int64()), lists(away, kind).cast(pa.list_(pa.int64()))], ["x", "y", "n", "m", "away"])
+
+    return run
+
+
+def compare(docs: DataFrame, members: DataFrame, pairs: DataFrame, n: int, limit: float) -> DataFrame:
+    """(x, y, sizes n and m, away: the shingles that only one has) of the pairs of classes with |away| <= limit (n + m).
+
+    First on brief sets, an eighth of the bytes: what differs there differs in whole, so pairs that
+    differ too much are told without more; then the rest on whole sets.
+    """
+    near = cut(_compare(docs, members, pairs, n, limit, True).select("x", "y").distinct())
+    return _compare(docs, members, near, n, limit, False)
 
 
-def compare(docs: DataFrame, members: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """(x, y, sizes n and m, away: the shingles that only one has) of pairs of classes, from the text of one document of each.
+def _compare(docs: DataFrame, members: DataFrame, pairs: DataFrame, n: int, limit: float, brief: bool) -> DataFrame:
+    """One comparison of the sets, brief or whole, of pairs of classes, from the text of one document of each.
 
     The set of x travels to y, once a pair; y is copied for every SHARE pairs it is in, so a class
     that many meet is spread over tasks. The keys of the documents wanted are sent to every task
@@ -168,9 +192,9 @@ def compare(docs: DataFrame, members: DataFrame, pairs: DataFrame, n: int) -> Da
     wanted = cut(wanted.select(F.col("low").alias("doc_id"), "class", "lead_copies", "partners"))
     small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     found = docs.join(F.broadcast(wanted) if small else wanted.hint("shuffle_merge"), "doc_id")
-    sides = found.select("class", "lead_copies", "partners", "text").mapInArrow(_sides(n), SIDES)
+    sides = found.select("class", "lead_copies", "partners", "text").mapInArrow(_sides(n, brief), SIDES.format("int" if brief else "bigint"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return sides.repartition(parts, "y", "copy").sortWithinPartitions("y", "copy", F.asc_nulls_first("x")).mapInArrow(_differences, COMPARED)
+    return sides.repartition(parts, "y", "copy").sortWithinPartitions("y", "copy", F.asc_nulls_first("x")).mapInArrow(_differences(limit, brief), COMPARED)
 
 
 def _spread(least: int):
@@ -230,7 +254,7 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
     stars = cut(at.where("class <> leader").select(F.col("class").alias("x"), F.col("leader").alias("y")).distinct())
     away = F.size("away")
     union = (F.col("n") + F.col("m") + away) / 2
-    compared = cut(compare(docs, members, stars, n).where(away <= NEAR * union))
+    compared = cut(compare(docs, members, stars, n, NEAR / (2 - NEAR)))  # a distance of NEAR, as |away| over the sum of sizes
     near_links = compared.groupBy("y").applyInArrow(_spread(least), "a binary, b binary")
     # The rest: classes that share a shingle and are not both near its leader. Both are farther from it than this.
     core = NEAR - (100 - least) / 100
@@ -248,7 +272,7 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
     )
     pairs = cut(x.join(y, (F.col("x.token") == F.col("y.token")) & fits).select(F.col("x.class").alias("x"), F.col("y.class").alias("y")).distinct())
     linked = away * (100 + least) <= (100 - least) * (F.col("n") + F.col("m"))
-    far_links = compare(docs, members, pairs, n).where(linked).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    far_links = compare(docs, members, pairs, n, (100 - least) / (100 + least)).where(linked).select(F.col("x").alias("a"), F.col("y").alias("b"))
     return near_links.union(far_links)
 
 
