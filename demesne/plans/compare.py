@@ -64,14 +64,17 @@ def engine_stats(results: DataFrame) -> DataFrame:
 
 
 def object_report(corpus: DataFrame, results: DataFrame, engines: list[str]) -> DataFrame:
-    """One wide row per object: every extractor's outcome, and how the first two differ on tables."""
+    """One wide row per object: every extractor's outcome, and how the first two differ on tables.
+
+    Objects are told apart by database and name where both sides know the
+    database; of several results of one extractor the greatest counts.
+    """
+    keys = [c for c in ("database", "object_name") if c in corpus.columns and c in results.columns]
     fields = F.struct("status", "referenced_tables", "referenced_procs", "notes")
-    wide = results.groupBy("object_name").agg(
-        *[F.first(F.when(F.col("engine") == e, fields), ignorenulls=True).alias(f"_{e}") for e in engines]
-    )
-    joined = corpus.select("object_name").distinct().join(wide, "object_name", "left")
+    wide = results.groupBy(*keys).agg(*[F.max(F.when(F.col("engine") == e, fields)).alias(f"_{e}") for e in engines])
+    joined = corpus.select(*keys).distinct().join(wide, keys, "left")
     none = F.array().cast("array<string>")
-    cols = ["object_name"]
+    cols = list(keys)
     for e in engines:
         r = F.col(f"_{e}")
         cols += [
@@ -133,9 +136,12 @@ def run_comparison(corpus: DataFrame, extractors: dict, name: str = "object_name
     parts = []
     for engine, extract in extractors.items():
         try:
-            parts.append(extract(corpus).select("engine", "object_name", "status", "referenced_tables", "referenced_procs", "notes"))
+            found = extract(corpus)
+            scope = [c for c in ("database",) if c in corpus.columns and c in found.columns]
+            parts.append(found.select("engine", *scope, "object_name", "status", "referenced_tables", "referenced_procs", "notes"))
         except Exception as exc:
             parts.append(failed_results(corpus, engine, ERROR, f"{type(exc).__name__}: {exc}", name))
-    results = reduce(DataFrame.unionByName, parts)
-    spine = corpus.select(F.col(name).alias("object_name"))
+    shared = [c for c in parts[0].columns if all(c in p.columns for p in parts)]
+    results = reduce(DataFrame.unionByName, [p.select(*shared) for p in parts])
+    spine = corpus.select(*[c for c in ("database",) if c in corpus.columns], F.col(name).alias("object_name"))
     return results, engine_stats(results), object_report(spine, results, list(extractors))

@@ -249,7 +249,7 @@ def run_discovery(
     writers.write_rollup(rolled, f"{root}/rollup_csv")
     writers.write_log(written["run_log"], f"{root}/log_csv")
 
-    weights = tasks.groupBy(F.concat_ws(".", "project", "name").alias("object_id")).agg((F.count(F.lit(1)) + 1).alias("_tasks"))
+    weights = K.own_tasks(tasks).groupBy(F.concat_ws(".", "project", "name").alias("object_id")).agg((F.count(F.lit(1)) + 1).alias("_tasks"))
     weighed = change.join(weights, "object_id", "left")
     rest = mined.filter("object_type in ('view', 'function', 'trigger')").select(
         F.lit(run_id).alias("run_id"), F.lit("scanned").alias("action"), F.lit(1).cast("bigint").alias("weight")

@@ -1,19 +1,26 @@
 """Package XML shredded into flat relations.
 
-The XML is read once per package by from_xml with a declared, fixed-depth
-schema; nested containers are then flattened by higher-order functions inside
-the row. Nothing is shuffled. Containers nested deeper than the schema come
-out as rows flagged `overflow` that hold their raw inner XML; `shred_deep`
-feeds them through the same step again until none are left.
+The XML is read by from_xml with a declared schema of `LEVELS` levels; nested
+tasks are then flattened by higher-order functions inside the row. Nothing is
+shuffled. Packages that are nested deeper are read again with twice as many
+levels, until none is left: every relation here holds every level.
+
+SQL anywhere below a task that is no container (in a For Loop, in its event
+handlers) belongs to that task: such rows have an `owner`, and only their
+statements and written tables count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.functions.scalars import drop_suffix, last_path_part, redact
 from demesne.schemas import XML_PARSED
+from demesne.session import cut
 
 # --- fixed values: task type codes, their labels, and which of them are containers ---
 TASK_LABELS = {
@@ -29,7 +36,10 @@ CONTAINERS = ["STOCK:SEQUENCE", "STOCK:FOREACHLOOP"]
 SCRIPT_TASK = "Microsoft.ScriptTask"
 PACKAGE_TASK = "Microsoft.ExecutePackageTask"
 
-DEPTH = 6
+#: Levels that one reading of a document opens; not a bound on nesting.
+LEVELS = 6
+#: Fixed value: the namespace of package elements.
+NAMESPACE = "www.microsoft.com/SqlServer/Dts"
 CORRUPT = "_corrupt_record"
 
 _PROPERTY = "`DTS:Property`:array<struct<`_DTS:Name`:string,`_VALUE`:string>>"
@@ -48,7 +58,7 @@ _TASK_DATA = (
 
 def _executable(depth: int) -> str:
     inner = "string" if depth <= 1 else f"struct<`DTS:Executable`:array<{_executable(depth - 1)}>>"
-    return f"struct<`_DTS:ExecutableType`:string,{_PROPERTY},{_TASK_DATA},`DTS:Executables`:{inner}>"
+    return f"struct<`_DTS:ExecutableType`:string,{_PROPERTY},{_TASK_DATA},`DTS:EventHandlers`:string,`DTS:Executables`:{inner}>"
 
 
 _PARTS = {
@@ -63,7 +73,7 @@ _PARTS = {
 ALL_PARTS = ("connections", "variables", "precedence", "tasks")
 
 
-def package_schema(depth: int = DEPTH, parts: tuple[str, ...] = ALL_PARTS) -> str:
+def package_schema(depth: int = LEVELS, parts: tuple[str, ...] = ALL_PARTS) -> str:
     """Schema of the parts asked for; the reader skips the rest of the document."""
     fields = [_PROPERTY] + [_PARTS[p] for p in parts if p in _PARTS]
     if "tasks" in parts:
@@ -71,23 +81,34 @@ def package_schema(depth: int = DEPTH, parts: tuple[str, ...] = ALL_PARTS) -> st
     return f"struct<{','.join(fields)},`{CORRUPT}`:string>"
 
 
-def parse(packages: DataFrame, xml: str = "xml", depth: int = DEPTH, parts: tuple[str, ...] = ALL_PARTS) -> DataFrame:
-    """Packages with their parsed document `_doc`; malformed or missing XML is told apart by `error`."""
+def parse(packages: DataFrame, xml: str = "xml", depth: int = LEVELS, parts: tuple[str, ...] = ALL_PARTS) -> DataFrame:
+    """Packages with their parsed document `_doc`; missing, malformed and foreign XML is told apart by `error`.
+
+    Elements are known by their namespace: another prefix for it is read like the
+    usual one.
+    """
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         "ignoreSurroundingSpaces": "false",
     }
-    doc = F.from_xml(F.col(xml), package_schema(depth, parts), options)
+    text = F.col(xml)
+    prefix = F.regexp_extract(text, r"\sxmlns:([\w.-]+)\s*=\s*[\"']" + NAMESPACE.replace(".", r"\.") + r"[\"']", 1)
+    foreign = prefix == ""
+    usual = F.regexp_replace(text, F.concat(F.lit(r"(<|</|\s|xmlns:)"), prefix, F.lit(r"(?=[:=])")), F.lit("$1DTS"))
+    text = F.when(foreign | (prefix == "DTS"), text).otherwise(usual)
+    doc = F.from_xml(text, package_schema(depth, parts), options)
     kept = [c for c in packages.columns if c != xml]
     # out of a generator the document is computed once; a plain column would be
     # parsed again by every filter that is pushed below it
-    parsed = packages.select(*kept, F.explode(F.array(doc)).alias("_doc"))
+    parsed = packages.select(*kept, F.explode(F.array(F.struct(doc.alias("doc"), foreign.alias("foreign")))).alias("_read"))
+    parsed = parsed.select(*kept, F.col("_read.doc").alias("_doc"), F.col("_read.foreign").alias("_foreign"))
     error = (
         F.when(F.col("_doc").isNull(), "no package text")
         .when(F.col("_doc").getField(CORRUPT).isNotNull(), "malformed package text")
+        .when(F.col("_foreign"), "no package: its namespace is not declared")
     )
-    return parsed.withColumn("error", error)
+    return parsed.withColumn("error", error).drop("_foreign")
 
 
 def parse_log(parsed: DataFrame, name: str = "name") -> DataFrame:
@@ -159,8 +180,19 @@ def _label(kind: Column) -> Column:
     return label
 
 
-def _tasks(executables: Column, parent: Column, path: Column, depth: int) -> Column:
-    """Tasks in document order, a container before its children."""
+def _handler_sql(raw: Column, name: Column, label: Column) -> Column:
+    """SQL of a task's event handlers, from their inner XML (which has its escapes resolved): of SQL tasks, then of components."""
+    found = F.concat(
+        F.regexp_extract_all(raw, F.lit(r'(?s)SqlStatementSource\s*=\s*"(.*?)"(?=\s*/?>|\s+[\w:.-]+\s*=\s*")'), F.lit(1)),
+        F.regexp_extract_all(raw, F.lit(r'(?s)<property\s[^>]*\bname\s*=\s*"SqlCommand"[^>]*>(.*?)</property>'), F.lit(1)),
+    )
+    texts = F.filter(F.transform(found, _trimmed), lambda s: s != "")
+    rows = F.transform(texts, lambda s: F.struct(name.alias("task_name"), label.alias("task_type"), s.alias("sql_text")))
+    return F.coalesce(rows, F.array().cast(_STATEMENTS))
+
+
+def _tasks(executables: Column, parent: Column, path: Column, owner: Column, depth: int) -> Column:
+    """Executables in document order, each before those below it; `owner` is the task that a nested one belongs to."""
 
     def of_one(task: Column, i: Column) -> Column:
         kind = F.coalesce(task["_DTS:ExecutableType"], F.lit("Unknown"))
@@ -170,6 +202,9 @@ def _tasks(executables: Column, parent: Column, path: Column, depth: int) -> Col
     def with_name(task: Column, i: Column, kind: Column, name: Column) -> Column:
         here = F.concat(path, F.array(i.cast("int")))
         inner = task["DTS:Executables"]
+        opens = owner["name"].isNull() & kind.isin(*CONTAINERS)
+        mine = F.struct(name.alias("name"), _label(kind).alias("label"))
+        below_owner = F.when(opens | owner["name"].isNotNull(), owner).otherwise(mine)
         deepest = depth <= 1
         row = F.array(
             F.struct(
@@ -178,42 +213,46 @@ def _tasks(executables: Column, parent: Column, path: Column, depth: int) -> Col
                 kind.alias("kind"),
                 parent.alias("parent_container"),
                 task["DTS:ObjectData"].alias("data"),
-                F.when(kind.isin(*CONTAINERS) & (inner != ""), inner).alias("overflow_xml")
-                if deepest
-                else F.lit(None).cast("string").alias("overflow_xml"),
+                F.when(~opens, task["DTS:EventHandlers"]).alias("handlers"),
+                owner.alias("owner"),
+                (F.coalesce(inner != "", F.lit(False)) if deepest else F.lit(False)).alias("cut"),
             )
         )
         if deepest:
             return row
-        below = _tasks(inner["DTS:Executable"], name, here, depth - 1)
-        return F.when(kind.isin(*CONTAINERS) & inner["DTS:Executable"].isNotNull(), F.concat(row, below)).otherwise(row)
+        below = _bind(below_owner, lambda o: _tasks(inner["DTS:Executable"], name, here, o, depth - 1))
+        return F.when(inner["DTS:Executable"].isNotNull(), F.concat(row, below)).otherwise(row)
 
     return F.flatten(F.transform(executables, of_one))
 
 
-def _flat_tasks(depth: int, parent: Column | None = None, path: Column | None = None) -> Column:
-    parent = F.lit(None).cast("string") if parent is None else parent
-    path = F.array().cast("array<int>") if path is None else path
-    return _tasks(F.col("_doc")["DTS:Executables"]["DTS:Executable"], parent, path, depth)
+_OWNER = "struct<name:string,label:string>"
+
 
+def _flat_tasks(depth: int) -> Column:
+    top = F.lit(None).cast("string"), F.array().cast("array<int>"), F.lit(None).cast(_OWNER)
+    return _tasks(F.col("_doc")["DTS:Executables"]["DTS:Executable"], *top, depth)
 
-def _task_columns(kind: Column, name: Column, data: Column) -> dict[str, Column]:
+
+def _task_columns(kind: Column, name: Column, data: Column, handlers: Column, owner: Column) -> dict[str, Column]:
     """What a task holds besides its place in the control flow; containers hold nothing themselves."""
+    owned = owner["name"].isNotNull()
     container = kind.isin(*CONTAINERS)
+    of, as_ = F.coalesce(owner["name"], name), F.coalesce(owner["label"], _label(kind))
     child = data["ExecutePackageTask:ExecutePackageTaskData"]["_ExecutePackageTask:PackageName"]
     label = _label(kind)
     script = (kind == SCRIPT_TASK) & data["ScriptTask:ScriptTaskData"].isNotNull()
     return {
         "task_type": label,
-        "statements": F.when(container, F.array().cast(_STATEMENTS)).otherwise(_statements(data, name, label)),
-        "executed_package": F.when(kind == PACKAGE_TASK, drop_suffix(child, ".dtsx")),
-        "unparseable_body": F.coalesce(script, F.lit(False)),
+        "statements": F.when(container & ~owned, F.array().cast(_STATEMENTS)).otherwise(F.concat(_statements(data, of, as_), _handler_sql(handlers, of, as_))),
+        "executed_package": F.when((kind == PACKAGE_TASK) & ~owned, drop_suffix(child, ".dtsx")),
+        "unparseable_body": F.coalesce(script & ~owned, F.lit(False)),
         "written_tables": F.when(container, F.array().cast("array<string>")).otherwise(_writes(data)),
     }
 
 
 def _task_table(flat: DataFrame, keys: list[str]) -> DataFrame:
-    cols = _task_columns(F.col("kind"), F.col("task_name"), F.col("data"))
+    cols = _task_columns(F.col("kind"), F.col("task_name"), F.col("data"), F.col("handlers"), F.col("owner"))
     return flat.select(
         *keys,
         "package",
@@ -222,15 +261,45 @@ def _task_table(flat: DataFrame, keys: list[str]) -> DataFrame:
         cols["task_type"].alias("task_type"),
         "parent_container",
         *[cols[c].alias(c) for c in ("statements", "executed_package", "unparseable_body", "written_tables")],
-        "overflow_xml",
-        F.col("overflow_xml").isNotNull().alias("overflow"),
+        F.col("owner.name").alias("owner"),
     )
 
 
-def task_rows(parsed: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
-    """(keys, package, path, task_name, task_type, parent_container, …) of all sound packages."""
-    flat = parsed.filter("error is null").select(*keys, package_name().alias("package"), F.inline(_flat_tasks(depth)))
-    return _task_table(flat, keys)
+@contextmanager
+def _room_for(spark: SparkSession, depth: int):
+    """Analysis resolves a few nested functions a pass; while a deep expression is analysed, it may take more passes."""
+    name = "spark.sql.analyzer.maxIterations"
+    before = spark.conf.get(name)
+    spark.conf.set(name, max(int(before), 20 * depth))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def task_rows(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = LEVELS) -> DataFrame:
+    """(keys, package, path, task_name, task_type, parent_container, statements, …) of all sound packages, at any nesting.
+
+    `owner` is the task whose SQL a row holds, or NULL for a task of its own
+    (`own_tasks`). Only packages with more than `depth` levels are read again.
+    """
+    out, todo = [], packages.withColumn("_source", F.col(xml))
+    while True:
+        parsed = parse(todo, xml, depth, ("tasks",)).filter("error is null")
+        with _room_for(packages.sparkSession, depth):
+            # as the output of a generator, the tasks of a package are flattened once
+            flat = parsed.withColumn("package", package_name()).withColumn("_flat", F.explode(F.array(_flat_tasks(depth))))
+        open_ = F.coalesce(F.exists("_flat", lambda x: x["cut"]), F.lit(False))
+        out.append(_task_table(flat.filter(~open_).select(*keys, "package", F.inline("_flat")), keys))
+        deeper = cut(flat.filter(open_).select(*[c for c in todo.columns if c != xml]))
+        if deeper.isEmpty():
+            return reduce(DataFrame.unionByName, out)
+        todo, depth = deeper.withColumn(xml, F.col("_source")), 2 * depth
+
+
+def own_tasks(tasks: DataFrame) -> DataFrame:
+    """The tasks themselves, without the rows that only hold SQL of another task."""
+    return tasks.filter("owner is null").drop("owner")
 
 
 def package_name(hint: str = "name") -> Column:
@@ -288,73 +357,52 @@ def precedence_rows(parsed: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def shred_packages(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = DEPTH) -> dict[str, DataFrame]:
+def shred_packages(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = LEVELS) -> dict[str, DataFrame]:
     """Everything a package holds: log, packages, tasks, connections, variables, precedence.
 
-    Each relation reads only its part of the document. Embedded statements are
-    a column of the tasks; `statement_rows` lists them.
+    The heads of the documents are parsed once and written; the relations are
+    read from that. Embedded statements are a column of the tasks;
+    `statement_rows` lists them.
     """
-    head = parse(packages, xml, depth, ())
-    tasks = task_rows(parse(packages, xml, depth, ("tasks",)), keys, depth)
+    head = cut(parse(packages, xml, depth, ("connections", "variables", "precedence")))
     return {
         "log": parse_log(head),
         "packages": head.filter("error is null").withColumn("package", package_name()).drop("_doc", "error"),
-        "tasks": tasks,
-        "connections": connection_rows(parse(packages, xml, depth, ("connections",)), keys),
-        "variables": variable_rows(parse(packages, xml, depth, ("variables",)), keys),
-        "precedence": precedence_rows(parse(packages, xml, depth, ("precedence",)), keys),
+        "tasks": task_rows(packages, keys, xml, depth),
+        "connections": connection_rows(head, keys),
+        "variables": variable_rows(head, keys),
+        "precedence": precedence_rows(head, keys),
     }
 
 
-def open_overflow(tasks: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
-    """Task rows below the containers that were too deep for one step, paths continued."""
-    raw = tasks.filter("overflow").select(
-        *keys, "package", F.col("path").alias("_path"), F.col("task_name").alias("_parent"), "overflow_xml"
-    )
-    wrapped = F.concat(F.lit("<r><DTS:Executables>"), F.col("overflow_xml"), F.lit("</DTS:Executables></r>"))
-    parsed = parse(raw.withColumn("xml", wrapped).drop("overflow_xml"), "xml", depth, ("tasks",))
-    flat = parsed.filter("error is null").select(
-        *keys, "package", F.inline(_flat_tasks(depth, F.col("_parent"), F.col("_path")))
-    )
-    return _task_table(flat, keys)
-
-
-def shred_deep(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = DEPTH) -> DataFrame:
-    """All task rows at any nesting; one extra pass per `depth` levels, only while some row overflows."""
-    level = task_rows(parse(packages, xml, depth, ("tasks",)), keys, depth)
-    out = level
-    while not level.filter("overflow").isEmpty():
-        level = open_overflow(level, keys, depth)
-        out = out.unionByName(level)
-    return out.drop("overflow_xml", "overflow")
-
-
-def content_counts(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = DEPTH) -> DataFrame:
-    """What each package holds, in numbers, counted inside the row."""
-    parsed = parse(packages, xml, depth).filter("error is null")
-    doc = F.col("_doc")
+def content_counts(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = LEVELS) -> DataFrame:
+    """What each package holds, in numbers, over all levels; `keys` and the package name tell packages apart."""
     n = lambda arr: F.coalesce(F.nullif(F.size(arr), F.lit(-1)), F.lit(0)).cast("bigint")
-    marks = lambda x: _task_columns(x["kind"], x["task_name"], x["data"])
-    held = F.transform(
-        _flat_tasks(depth),
-        lambda x: F.struct(
-            F.size(marks(x)["statements"]).alias("statements"),
-            marks(x)["unparseable_body"].alias("script"),
-            marks(x)["executed_package"].isNotNull().alias("child"),
-        ),
+    own = F.col("owner").isNull()
+    held = task_rows(packages, keys, xml, depth).groupBy(*keys, "package").agg(
+        F.count_if(own).alias("task_count"),
+        F.sum(F.size("statements")).cast("bigint").alias("embedded_sql_extracted"),
+        F.count_if("unparseable_body").alias("script_tasks"),
+        F.count("executed_package").alias("child_packages"),
     )
-    counted = parsed.select(*keys, package_name().alias("package"), F.explode(F.array(held)).alias("_t"), "_doc")
-    t = F.col("_t")
-    return counted.select(
+    doc = F.col("_doc")
+    parsed = parse(packages, xml, depth, ("connections", "variables", "precedence")).filter("error is null")
+    heads = parsed.select(
         *keys,
-        "package",
-        n(t).alias("task_count"),
+        package_name().alias("package"),
         n(doc["DTS:ConnectionManagers"]["DTS:ConnectionManager"]).alias("connection_managers"),
         n(doc["DTS:Variables"]["DTS:Variable"]).alias("variables"),
         n(doc["DTS:PrecedenceConstraints"]["DTS:PrecedenceConstraint"]).alias("precedence_constraints"),
-        F.coalesce(F.aggregate(t, F.lit(0), lambda a, x: a + x["statements"]), F.lit(0)).cast("bigint").alias(
-            "embedded_sql_extracted"
-        ),
-        n(F.filter(t, lambda x: x["script"])).alias("script_tasks"),
-        n(F.filter(t, lambda x: x["child"])).alias("child_packages"),
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return heads.join(held, [*keys, "package"], "left").select(
+        *keys,
+        "package",
+        zero("task_count"),
+        "connection_managers",
+        "variables",
+        "precedence_constraints",
+        zero("embedded_sql_extracted"),
+        zero("script_tasks"),
+        zero("child_packages"),
     )

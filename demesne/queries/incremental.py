@@ -90,7 +90,7 @@ SELECT object_id, CAST(phase AS INTEGER) AS phase, package, CAST(part AS INTEGER
 )
 def review_queue(t):
     procs = mine(definitions(t)).select(F.concat(F.lit("o"), "o_orderkey").alias("object_id"), "parse_status")
-    tasks = cut(K.task_rows(K.parse(packages(t), parts=("tasks",)), ["project", "name"]))
+    tasks = cut(K.task_rows(packages(t), ["project", "name"]))
     package = F.concat_ws(".", "project", "package").alias("package")
     scripts = tasks.filter("unparseable_body").select(F.concat_ws("::", "name", "task_name").alias("object_id"), package, "path")
     statements = mine(K.statement_rows(tasks, ["project", "name"]).withColumn("object_type", F.lit("embedded_sql")), text="sql_text")

@@ -62,7 +62,7 @@ UNION ALL SELECT project, name, package, CASE WHEN scr THEN '2' ELSE '1' END, 'c
 UNION ALL SELECT project, name, package, CASE WHEN scr THEN '3' ELSE '2' END, 'unnamed_Custom.Task', 'Custom.Task', NULL, NULL, '', FALSE FROM s""",
 )
 def package_tasks(t):
-    tasks = K.task_rows(K.parse(packages(t), parts=("tasks",)), KEYS).drop("statements", "overflow_xml", "overflow")
+    tasks = K.own_tasks(K.task_rows(packages(t), KEYS)).drop("statements")
     path = F.array_join(F.transform("path", lambda i: i.cast("string")), ".")
     return tasks.withColumn("path", path).withColumn("written_tables", F.array_join("written_tables", "; "))
 
@@ -73,7 +73,7 @@ def package_tasks(t):
 UNION ALL SELECT project, name, package, '0.1.0', 0, 'flow :: src', 'Microsoft.OLEDBSource', 'SELECT a FROM s3.t' || c || ' WHERE a > ?' FROM s""",
 )
 def package_statements(t):
-    rows = K.statement_rows(K.task_rows(K.parse(packages(t), parts=("tasks",)), KEYS), KEYS)
+    rows = K.statement_rows(K.task_rows(packages(t), KEYS), KEYS)
     return rows.withColumn("path", F.array_join(F.transform("path", lambda i: i.cast("string")), "."))
 
 
@@ -121,7 +121,7 @@ r AS (SELECT package AS source_object, 's3.t' || c AS target_object, 'table' AS
 SELECT DISTINCT 'db0' AS database, source_object, 'package' AS source_type, target_object, target_type, relationship_type, discovery_method, CAST(edge_rank AS INTEGER) AS edge_rank FROM r""",
 )
 def package_edges(t):
-    tasks = cut(K.task_rows(K.parse(packages(t), parts=("tasks",)), KEYS).withColumn("database", F.lit("db0")))  # read by three streams
+    tasks = cut(K.task_rows(packages(t), KEYS).withColumn("database", F.lit("db0")))  # read by three streams
     mined = discovery.mine_statements(K.statement_rows(tasks, ["database"]))
     e = Estate(t)
     named = lambda df: df.select("database", F.concat_ws(".", "schema", "name").alias("name"))

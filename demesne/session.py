@@ -41,11 +41,13 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set, as in tests."""
+    """The shared folder the cluster names; a temporary one only in local mode where none is set, as in tests."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = context.getCheckpointDir()
+    if not root and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="spark-")
         context.setCheckpointDir(root)

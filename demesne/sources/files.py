@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.functions.scalars import drop_suffix, last_path_part
+from demesne.session import cut
 
 # workers may not have this package on their path, so its functions travel with the task
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -60,20 +61,22 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.ispac") -> Data
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for folder, project, content in zip(batch["folder"], batch["project"], batch["content"]):
-            rows, error = [], None
-            try:
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as archive:
-                    for member in archive.namelist():
-                        if member.lower().endswith(".dtsx"):
-                            rows.append((member[:-5], archive.read(member).decode("utf-8")))
-            except Exception as exc:  # one bad archive is one error row
-                rows, error = [], f"{type(exc).__name__}: {exc}"
-            if error is not None:
-                rows = [(None, None)]
-            yield pd.DataFrame(
-                [(folder, project, name, xml, error) for name, xml in rows],
-                columns=["folder", "project", "name", "xml", "error"],
-            )
+            for name, xml, error in _texts(content):
+                yield pd.DataFrame([(folder, project, name, xml, error)], columns=["folder", "project", "name", "xml", "error"])
+
+
+def _texts(content) -> Iterator[tuple[str | None, str | None, str | None]]:
+    """(name, text, error) of each package in an archive: a bad member is its own error, a bad archive one without a name."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(bytes(content))) as archive:
+            for member in archive.namelist():
+                if member.lower().endswith(".dtsx"):
+                    try:
+                        yield member[:-5], archive.read(member).decode("utf-8"), None
+                    except Exception as exc:
+                        yield member[:-5], None, f"{type(exc).__name__}: {exc}"
+    except Exception as exc:
+        yield None, None, f"{type(exc).__name__}: {exc}"
 
 
 def expand_archives(archives: DataFrame, expected: DataFrame | None = None) -> DataFrame:
@@ -86,11 +89,12 @@ def expand_archives(archives: DataFrame, expected: DataFrame | None = None) -> D
     if expected is None:
         return found
     keys = ["folder", "project"]
+    found = cut(found)  # both halves below read it, and an archive is opened once
     broken = found.filter("name is null").select(*keys, F.col("error").alias("_broken"))
-    members = found.filter("name is not null").select(*keys, "name", "xml")
+    members = found.filter("name is not null").select(*keys, "name", "xml", F.col("error").alias("_bad"))
     rows = expected.select(*keys, "name").join(members, [*keys, "name"], "left").join(broken, keys, "left")
     missing = F.concat(F.lit("member not in archive: "), F.col("name"), F.lit(".dtsx"))
-    error = F.when(F.col("xml").isNull(), F.coalesce("_broken", missing))
+    error = F.when(F.col("xml").isNull(), F.coalesce("_bad", "_broken", missing))
     return rows.select(*keys, "name", "xml", error.alias("error"))
 
 

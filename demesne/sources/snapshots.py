@@ -31,7 +31,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def read_optional(
     spark: SparkSession, root: str, name: str, fmt: str = "parquet", schema: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """A relation that may be absent, and its run-log row.
+    """A relation that may be absent, and its run-log row; absence is no failure.
 
     Absent gives the empty relation of the declared schema, so that later left
     joins yield NULLs and the rest of the run goes on.
@@ -44,7 +44,7 @@ def read_optional(
         found = spark.createDataFrame([], schema)
         error = exc.getCondition() or str(exc)
     entry = spark.createDataFrame(
-        [(name, root, "failed" if error else "success", None if error else "direct_metadata", error, None)],
+        [(name, root, "absent" if error else "success", None if error else "direct_metadata", error, None)],
         schema_of("run_log"),
     )
     return found, entry

@@ -24,7 +24,9 @@ OUTPUT = VERSION + ", change string"
 
 
 def _newest(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.sort_values(["version_at", "fingerprint"]).drop_duplicates("object_id", keep="last")
+    """The newest version of each object; a missing mark is older than any other of its time, a missing time no version."""
+    timed = rows[rows["version_at"].notna()]
+    return timed.sort_values(["version_at", "fingerprint"], na_position="first").drop_duplicates("object_id", keep="last")
 
 
 def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -46,12 +48,12 @@ class VersionProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         newest = None
         for batch in rows:
-            for mark, at in zip(batch["fingerprint"], batch["version_at"]):
-                if newest is None or (at, mark) > newest:
-                    newest = (at, mark)
-        if newest is None:
+            own = batch.assign(object_id=0) if newest is None else pd.concat([newest, batch.assign(object_id=0)])
+            newest = _newest(own)
+        if newest is None or newest.empty:
             return
-        at, mark = newest
+        mark, at = newest["fingerprint"].iloc[0], pd.Timestamp(newest["version_at"].iloc[0])
+        mark = None if pd.isna(mark) else mark
         last = self._last.get() if self._last.exists() else None
         if last is None:
             change = NEW

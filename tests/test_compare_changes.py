@@ -87,3 +87,13 @@ def test_review_cap_extremes_keep_all_items(make, cap):
     items = make([(f"o{i}", i) for i in range(10)], "object_id string, phase int")
     got = C.review_queue(items, ["phase", "object_id"], cap).collect()
     assert len(got) == 10 and sum(r["within_budget"] for r in got) == min(cap, 10)
+
+
+def test_same_name_in_two_databases_is_two_objects(make):
+    corpus = make([("d1", "s.p"), ("d2", "s.p")], "database string, object_name string")
+    results = make(
+        [("x", "d1", "s.p", "resolved", ["s.a"], [], None), ("y", "d1", "s.p", "resolved", ["s.a"], [], None), ("x", "d2", "s.p", "resolved", ["s.b"], [], None), ("y", "d2", "s.p", "resolved", ["s.c"], [], None)],
+        "engine string, database string, object_name string, status string, referenced_tables array<string>, referenced_procs array<string>, notes string",
+    )
+    got = {r["database"]: (r["x_referenced_tables"], r["tables_agree"]) for r in compare.object_report(corpus, results, ["x", "y"]).collect()}
+    assert got == {"d1": (["s.a"], True), "d2": (["s.b"], False)}

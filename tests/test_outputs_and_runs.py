@@ -117,7 +117,7 @@ def test_missing_relation_is_empty_with_a_failed_log_row(spark, estate, tmp_path
     found, entry = snapshots.read_optional(spark, str(tmp_path / "snap"), "views")
     assert found.count() == 1 and entry.first()["status"] == "success"
     found, entry = snapshots.read_optional(spark, str(tmp_path / "snap"), "triggers")
-    assert found.count() == 0 and "definition" in found.columns and entry.first()["status"] == "failed" and entry.first()["error"]
+    assert found.count() == 0 and "definition" in found.columns and entry.first()["status"] == "absent" and entry.first()["error"]
 
 
 def test_listing_truncate_and_engine_outputs(spark, make, tmp_path):

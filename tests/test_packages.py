@@ -27,7 +27,7 @@ def sql_task(name, text):
 
 
 def nested(levels):
-    body = sql_task("leaf", "EXEC s.leaf")
+    body = sql_task("leaf", "EXEC s.leaf 1 &lt; 2 &amp;amp; &quot;3")
     for i in range(levels, 0, -1):
         body = task("STOCK:SEQUENCE", f"c{i}", f"<DTS:Executables>{body}</DTS:Executables>")
     return body
@@ -38,7 +38,7 @@ def rows(make, *texts):
 
 
 def test_broken_package_is_a_failed_row_and_nothing_more(make):
-    out = K.shred_packages(rows(make, package(sql_task("a", "SELECT 1")), "<DTS:Executable this is not valid xml <<<", None), ["project", "name"])
+    out = K.shred_packages(rows(make, package(sql_task("a", "SELECT 1")), "<DTS:Executable><half of a package", None), ["project", "name"])
     log = {r["object_name"]: (r["status"], r["parse_status"], r["error"]) for r in out["log"].collect()}
     assert log["hint0"] == ("success", "xml_parsed", None)
     assert log["hint1"][0] == "failed" and log["hint1"][2] and log["hint2"][0] == "failed"
@@ -77,15 +77,37 @@ def test_order_containers_and_defaults(make):
 
 @pytest.mark.parametrize("levels", [2, 6, 9, 14])
 def test_any_nesting_depth_is_whole(make, levels):
-    got = K.shred_deep(rows(make, package(nested(levels))), ["name"]).collect()
+    got = K.own_tasks(K.task_rows(rows(make, package(nested(levels))), ["name"])).collect()
     assert sorted(r["task_name"] for r in got) == sorted([f"c{i}" for i in range(1, levels + 1)] + ["leaf"])
     leaf = next(r for r in got if r["task_name"] == "leaf")
     assert leaf["parent_container"] == f"c{levels}" and leaf["path"] == [0] * (levels + 1)
 
 
-def test_too_deep_rows_are_flagged(make):
-    tasks = K.task_rows(K.parse(rows(make, package(nested(8)))), ["name"])
-    assert tasks.filter("overflow").count() == 1 and tasks.count() == K.DEPTH
+def test_deep_statements_and_counts_are_whole(make):
+    deep = rows(make, package(nested(8)))
+    tasks = K.shred_packages(deep, ["name"])["tasks"]
+    assert tasks.count() == 9 and K.statement_rows(tasks, ["name"]).first()["sql_text"] == 'EXEC s.leaf 1 < 2 &amp; "3'
+    assert tuple(K.content_counts(deep, ["name"]).first())[2:] == (9, 0, 0, 0, 1, 0, 0)
+
+
+@pytest.mark.parametrize("levels", [1, 5, 8])
+def test_sql_below_a_task_belongs_to_it(make, levels):
+    flow = task("STOCK:PipelineTask", "flow", '<DTS:ObjectData><pipeline><components><component name="src" componentClassID="C"><properties><property name="SqlCommand">SELECT 2</property></properties></component></components></pipeline></DTS:ObjectData>')
+    inner = nested(levels) + flow
+    handler = f'<DTS:EventHandlers><DTS:EventHandler DTS:EventName="OnError"><DTS:Executables>{sql_task("log", "INSERT INTO s.log SELECT 1 WHERE 1 &lt; 2 &amp;amp; 3")}</DTS:Executables></DTS:EventHandler></DTS:EventHandlers>'
+    xml = package(task("STOCK:FORLOOP", "for", f"{handler}<DTS:Executables>{inner}</DTS:Executables>") + sql_task("last", "SELECT 3"))
+    tasks = K.task_rows(rows(make, xml), ["name"])
+    assert sorted(r["task_name"] for r in K.own_tasks(tasks).collect()) == ["for", "last"]
+    got = {(r["task_name"], r["sql_text"]) for r in K.statement_rows(tasks, ["name"]).collect()}
+    assert got == {("for", 'EXEC s.leaf 1 < 2 &amp; "3'), ("for :: src", "SELECT 2"), ("for", "INSERT INTO s.log SELECT 1 WHERE 1 < 2 &amp; 3"), ("last", "SELECT 3")}
+
+
+def test_elements_are_known_by_their_namespace(make):
+    other = package(sql_task("a", "SELECT 1")).replace("DTS:", "d:").replace("xmlns:DTS=", "xmlns:d=")
+    foreign = "<root><DTS>x</DTS></root>"
+    out = K.shred_packages(rows(make, other, foreign), ["name"])
+    assert [r["task_name"] for r in out["tasks"].collect()] == ["a"]
+    assert sorted((r["status"], r["error"]) for r in out["log"].collect()) == [("failed", "no package: its namespace is not declared"), ("success", None)]
 
 
 def test_counts(make):
@@ -104,11 +126,13 @@ def test_files_and_archives(spark, tmp_path, make):
     with zipfile.ZipFile(folder / "Proj.ispac", "w") as z:
         z.writestr("A.dtsx", package(sql_task("a", "SELECT 1"), "A"))
         z.writestr("Project.params", "x")
+        z.writestr("D.dtsx", b"\xff\xfe\xff")
     (folder / "Bad.ispac").write_bytes(b"no zip")
-    expected = make([("Fold", "Proj", "A"), ("Fold", "Proj", "B"), ("Fold", "Bad", "C")], "folder string, project string, name string")
+    expected = make([("Fold", "Proj", "A"), ("Fold", "Proj", "B"), ("Fold", "Bad", "C"), ("Fold", "Proj", "D")], "folder string, project string, name string")
     got = {r["name"]: r for r in files.expand_archives(files.read_archives(spark, str(folder)), expected).collect()}
     assert got["A"]["xml"] and got["A"]["error"] is None
     assert got["B"]["error"] == "member not in archive: B.dtsx" and "BadZipFile" in got["C"]["error"]
+    assert got["D"]["xml"] is None and "UnicodeDecodeError" in got["D"]["error"]
 
 
 def test_sql_files_and_batches(spark, tmp_path):

@@ -11,10 +11,11 @@ def test_stream_agrees_with_state_over_batches(spark, tmp_path):
         [("a", "1", 0), ("b", "1", 0)] + [("hot", str(i), i) for i in range(500)],
         [("a", "1", 10), ("b", "2", 10), ("c", "1", 10), ("hot", "499", 600)],
         [("a", "9", 5), ("b", "2", 20), ("b", "3", 30)],
+        [("a", None, 50), ("a", "7", 50), ("c", None, 60), ("d", None, None), ("d", "1", None)],
     ]
     ddl = "object_id string, fingerprint string, version_at timestamp"
     for rows in batches:
-        spark.createDataFrame([(k, m, T0 + timedelta(minutes=i)) for k, m, i in rows], ddl).coalesce(1).write.mode("append").parquet(source)
+        spark.createDataFrame([(k, m, None if i is None else T0 + timedelta(minutes=i)) for k, m, i in rows], ddl).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(ddl).parquet(source)
         V.run_available(V.stream_changes(stream), out, str(tmp_path / "ckpt"))
     got = {(r["batch"], r["object_id"]): (r["change"], r["fingerprint"]) for r in V.read_changes(spark, out).collect()}
@@ -22,4 +23,5 @@ def test_stream_agrees_with_state_over_batches(spark, tmp_path):
         (0, "a"): ("new", "1"), (0, "b"): ("new", "1"), (0, "hot"): ("new", "499"),
         (1, "a"): ("unchanged", "1"), (1, "b"): ("changed", "2"), (1, "c"): ("new", "1"), (1, "hot"): ("unchanged", "499"),
         (2, "a"): ("late", "9"), (2, "b"): ("changed", "3"),
+        (3, "a"): ("changed", "7"), (3, "c"): ("changed", None),
     }
