@@ -163,10 +163,21 @@ def run_discovery(
     With `previous` fingerprints and the `earlier_root` of the last run only
     changed procedures and packages are mined again; everything unchanged is
     carried forward, so the edges of a re-run equal those of a fresh run.
-    Each step is written before the next one reads it, so a lost executor
-    repeats a step and not the run.
+    The relations are written first and every later step reads what was
+    written, so no catalog plan runs twice and a lost executor repeats a step
+    and not the run. Package SQL names objects of `package_database`; it may be
+    left out where the estate has one database.
     """
+    if earlier_root is not None and earlier_root.rstrip("/") == root.rstrip("/"):
+        raise ValueError("a run cannot overwrite the outputs it carries forward; give it another root")
     started = datetime.now(timezone.utc)
+    if package_database is None:
+        known = [r[0] for r in relations["databases"].select("name").distinct().limit(2).collect()]
+        if len(known) > 1:
+            raise ValueError("several databases: name the one that package SQL refers to")
+        package_database = known[0] if known else None
+    base = writers.write_entities({k: v for k, v in relations.items() if k not in ("databases", "foreign_keys")}, root)
+    relations = {**relations, **{k: spark.read.parquet(v) for k, v in base.items() if k in relations and k != "foreign_keys"}}
     marks = object_marks(relations, packages)
     state = previous if previous is not None else marks.limit(0).select(
         "*", F.lit("").alias("last_run_id"), F.current_timestamp().alias("last_seen_at")
@@ -226,7 +237,7 @@ def run_discovery(
         ["phase", "package", "part", "path", "object_id"],
         review_cap,
     )
-    out = dict(relations)
+    out = {k: v for k, v in relations.items() if k not in base}
     out.update(
         databases=databases,
         dependencies=edges,
@@ -241,7 +252,7 @@ def run_discovery(
         fingerprints=C.upsert_fingerprints(state, marks, run_id, F.lit(started)),
         run_log=shredded["log"],
     )
-    paths = {**first, **writers.write_entities(out, root)}
+    paths = {**base, **first, **writers.write_entities(out, root)}
     written = {k: spark.read.parquet(paths[k]) for k in ("dependencies", "packages", "run_log")}
 
     procs = mined.filter("object_type = 'stored_procedure'").select("parse_status", "unresolved_reason")
