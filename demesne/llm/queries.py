@@ -84,11 +84,34 @@ def op10(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) == 1, 0.7)
 
 
-@register("op7_ngram_jaccard_join")
+_OP7 = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT DISTINCT doc_id AS d, doc_id AS m FROM documents UNION SELECT e.y, r.m FROM r JOIN e ON e.x = r.d)
+SELECT o.doc_id, coalesce(n.n, 0) AS n_shingles, k.m AS component_id FROM documents o LEFT JOIN n ON n.doc_id = o.doc_id JOIN (SELECT d, min(m) AS m FROM r GROUP BY 1) k ON k.d = o.doc_id"""
+
+_OP8 = """WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM b)),
+t AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+g AS (SELECT doc_id, p, sum(CASE WHEN p <= q + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM t)),
+u AS (SELECT doc_id, min(p) AS x, max(p) + 100 AS y FROM g GROUP BY doc_id, r),
+v AS (SELECT doc_id, count(*) AS c, sum(y - x) AS d FROM u GROUP BY 1),
+k AS (SELECT doc_id, 0 AS x, 0 AS y FROM b UNION ALL SELECT doc_id, x, y FROM u),
+f AS (SELECT doc_id, y, lead(x) OVER (PARTITION BY doc_id ORDER BY x, y) AS z FROM k),
+j AS (SELECT f.doc_id, string_agg(substr(h, 2 * y + 1, 2 * (coalesce(z, length(h) // 2) - y)), '' ORDER BY y, z) AS o FROM f JOIN b ON b.doc_id = f.doc_id GROUP BY 1)
+SELECT b.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(d, 0) AS BIGINT) AS n_removed, coalesce(c, 0) AS n_spans, sha256(unhex(coalesce(o, ''))) AS kept_sha256
+FROM b LEFT JOIN v ON v.doc_id = b.doc_id LEFT JOIN j ON j.doc_id = b.doc_id"""
+
+
+@register("op7_ngram_jaccard_join", _OP7)
 def op7(spark, sf_dir):
     return jaccard.link_documents(table(spark, sf_dir, "documents"), 3, 90)
 
 
-@register("op8_suffix_array_dedup")
+@register("op8_suffix_array_dedup", _OP8)
 def op8(spark, sf_dir):
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
