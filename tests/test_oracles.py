@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check_oracles import TABLES, compare
+from demesne.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,12 +18,13 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     result, _ = compare(spark, con, name, FOLDER)
     assert result.startswith("ok") and "TYPES" not in result, result
 
 
 def test_entry_and_registry(spark):
+    assert set(QUERIES) <= set(entry_point.queries())
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
     assert entry_point.entry(spark).count() > 0
