@@ -33,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demesne.llm.common import components, dense_counts, lists, lower, mix, per_piece, raw, shingles, span_hashes, words
@@ -237,10 +237,12 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
     sound = profiles.where("n > 0 and doc_id is not null")
     members = cut(sound.groupBy("class").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("gid").alias("gid")))
     groups = members.groupBy("gid").agg(F.min("class").alias("lead"), F.first("n").alias("m"), F.count(F.lit(1)).alias("size"))
+    # Dealt once by shingle, as rows of numbers: which are shared is seen in the same exchange.
     seen = sound.select("gid", F.posexplode("prefix").alias("pos", "token"))
+    same = Window.partitionBy("token")
     # Shingles in the prefixes of several groups, led by the least of these; and groups of several classes, as shingles of their own.
-    shared = seen.groupBy("token").agg(F.min("gid").alias("first"), F.max("gid").alias("last")).where("first <> last").select("token", "first")
-    met = seen.join(shared, "token").groupBy("token", "gid").agg(F.min("pos").alias("pos"), F.min("first").alias("first"))
+    seen = seen.withColumns({"first": F.min("gid").over(same), "last": F.max("gid").over(same)}).where("first <> last")
+    met = seen.groupBy("token", "gid").agg(F.min("pos").alias("pos"), F.min("first").alias("first"))
     own = groups.where("size > 1").select(F.xxhash64("gid").alias("token"), "gid", F.lit(0).alias("pos"), F.col("gid").alias("first"))
     leads = groups.select(F.col("gid").alias("first"), F.col("lead").alias("leader"), "m")
     # Few classes that share a shingle are paired directly; more meet by their leader.
@@ -290,7 +292,15 @@ def link_documents(docs: DataFrame, n: int = 3, least: int = 90) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int = 5, least: int = 80) -> DataFrame:
-    """The documents that are the least of their component, all columns kept; one row of each; rows with a null key are kept."""
-    dup = link_documents(docs, n, least).where("component_id < doc_id").select(F.col("doc_id").alias("_drop")).distinct()
-    kept = docs.join(dup, docs["doc_id"] == dup["_drop"], "left_anti")
-    return kept.where("doc_id is null").union(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    """The documents that are the least of their component, all columns kept; one row of each; rows with a null key are kept.
+
+    Texts stay where they are while the keys to leave out are at most BROADCAST_ROWS; beyond that they are dealt by key.
+    """
+    linked = cut(link_documents(docs, n, least).where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count(F.lit(1)).alias("rows")))
+    later = linked.where("low < doc_id").select(F.col("doc_id").alias("_drop"))
+    twice = linked.where("low = doc_id and rows > 1").select(F.col("doc_id").alias("_twice"))
+    small = lambda ids: F.broadcast(ids) if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ids
+    later, twice = small(later), small(twice)
+    kept = docs.join(later, docs["doc_id"] == later["_drop"], "left_anti")
+    same = kept["doc_id"] == twice["_twice"]
+    return kept.join(twice, same, "left_anti").union(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
