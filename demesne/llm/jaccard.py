@@ -241,15 +241,15 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
     seen = sound.select("gid", F.posexplode("prefix").alias("pos", "token"))
     same = Window.partitionBy("token")
     # Shingles in the prefixes of several groups, led by the least of these; and groups of several classes, as shingles of their own.
-    seen = seen.withColumns({"first": F.min("gid").over(same), "last": F.max("gid").over(same)}).where("first <> last")
-    met = seen.groupBy("token", "gid").agg(F.min("pos").alias("pos"), F.min("first").alias("first"))
-    own = groups.where("size > 1").select(F.xxhash64("gid").alias("token"), "gid", F.lit(0).alias("pos"), F.col("gid").alias("first"))
+    seen = seen.withColumns({"first": F.min("gid").over(same), "last": F.max("gid").over(same), "led": F.count(F.lit(1)).over(same) > FEW}).where("first <> last")
+    met = seen.groupBy("token", "gid").agg(F.min("pos").alias("pos"), F.min("first").alias("first"), F.bool_or("led").alias("led"))
+    own = groups.where("size > 1").select(F.xxhash64("gid").alias("token"), "gid", F.lit(0).alias("pos"), F.col("gid").alias("first"), F.col("size") > FEW)
     leads = groups.select(F.col("gid").alias("first"), F.col("lead").alias("leader"), "m")
-    # Few classes that share a shingle are paired directly; more meet by their leader.
-    met = met.union(own).join(groups.select("gid", "size"), "gid")
-    many = met.groupBy("token").agg(F.sum("size").alias("all")).where(F.col("all") > FEW).select("token", F.lit(True).alias("led"))
-    met = met.join(many, "token", "left").join(leads, "first")
-    met = cut(met.select("token", "gid", "pos", F.when(F.col("led"), F.col("leader")).alias("leader"), "m"))
+    # Few documents that share a shingle are paired directly; more meet by their leader.
+    met = cut(met.union(own).select("token", "gid", "pos", F.when(F.col("led"), F.col("first")).alias("first")))
+    led = met.where("first is not null").join(leads, "first").select("token", "gid", "pos", "leader", "m")
+    none = met.where("first is null").select("token", "gid", "pos", F.lit(None).cast("binary"), F.lit(None).cast("bigint"))
+    met = cut(led.union(none))
     # Every class meets the leaders of its group's shingles, where the sizes allow it to be near.
     classes = members.select("gid", "class", "n")
     at = met.where("leader is not null").select("gid", "leader", "m").distinct().join(classes, "gid").where(F.least("n", "m") >= (1 - NEAR) * F.greatest("n", "m"))
