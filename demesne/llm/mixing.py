@@ -1,18 +1,23 @@
 """Mixing sources to target weights by Pfair scheduling (operator 3), in DataFrame functions only.
 
 The documents of a source, in a hashed order, fill blocks of `block_chars` characters; a document
-belongs to the block in which it starts. Time is cut into frames. In a frame every source has a
-whole number of blocks in proportion to its weight (its last blocks, in the frame in which it runs
-out), so a source with c of the M blocks of a frame has weight c/M there: its block k is released
-at slot floor(k M / c) and due before slot ceil((k + 1) M / c). In each slot the released block with
-the earliest deadline goes next (ties: the source that comes first by name). With one slot at a time
-that keeps every source less than one block from its share at every slot. When a source is used up,
-the weights of the rest are scaled to one; nothing is dropped or repeated.
-
-Frames with the same counts have the same order, and counts change only where a source runs out, so
-there are at most two orders a source; each is computed once, and a block's slot follows from its
-number by arithmetic. Running sums inside a source are taken per hash bucket and then over buckets,
-so a source with a third of all rows is spread like any other.
+belongs to the block in which it starts. Sources flow at their weights; when one is used up, the
+weights of the rest are scaled to one, so by the virtual time v a source with weight w and b blocks
+has b or w v of them, and the slots passed are the sum of these over all sources. Block k of a source
+is released at the slot in which its flow reaches k and due when it reaches k + 1; weights are taken
+as they are. In each slot the released block with the earliest deadline goes next (ties: the source
+that comes first by name). That keeps every source less than one block from its share at every slot,
+whatever the number of sources; nothing is dropped or repeated.
+
+The slots are dealt one after the other, in one task, from a row of numbers for each source, and
+are sent to the documents as arrays of numbers: one number for `block_chars` characters.
+Running sums inside a source are taken per hash bucket and then over buckets, so a source with a
+third of all rows is spread like any other.
+
+`rounded` schedules cut time into frames instead, in which a source has a whole number of blocks, at
+least 1: the mixture that the SQL of op3_source_mixing states. Their shares are the rounded weights
+and miss the weights given, by more the more sources there are. Frames with the same counts have the
+same order, and counts change only where a source runs out, so there are at most two orders a source.
 
 Defined results: a null source is a source of its own, named ''; sources without a target weight
 share the least weight given (or 1); null and empty texts count as one character; equal keys order
@@ -24,8 +29,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Characters in a block and blocks in a whole frame.
-BLOCK_CHARS, FRAME = 20_000, 200
+#: Characters in a block, blocks in a whole frame (or dealt at a time), and slots of a source in a row.
+BLOCK_CHARS, FRAME, STRETCH = 20_000, 200, 256
+#: What sums of weights may be off by, in slots; and the deadline of a source without blocks.
+SLACK, NEVER = 1e-6, 1 << 62
 #: Leading hex digits of the hashed order that make a bucket inside a source.
 BUCKET_DIGITS = 3
 #: A power that flattens the shares of sources when no weights are given.
@@ -83,17 +90,67 @@ def block_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     return _sized(docs).groupBy("_s").agg(F.ceil(F.sum("_n") / block_chars).alias("_blocks"))
 
 
+def _weighted(counts: DataFrame, weights: DataFrame | None) -> DataFrame:
+    """Sources with their blocks and weights: _s, _blocks, _w."""
+    if weights is None:
+        return counts.select("_s", "_blocks", F.pow("_blocks", F.lit(TEMPERATURE)).alias("_w"))
+    given = weights.select(F.coalesce("source", F.lit("")).alias("_s"), F.col("weight").cast("double").alias("_w")).where("_w > 0")
+    given = given.groupBy("_s").agg(F.max("_w").alias("_w"))
+    return counts.join(given, "_s", "left").select("_s", "_blocks", F.coalesce("_w", F.min("_w").over(Window.partitionBy()), F.lit(1.0)).alias("_w"))
+
+
+def dealt(sources: Column, at_a_time: int = FRAME) -> Column:
+    """The slots in order, as arrays of at most at_a_time structs (i, k): block k of the i-th of sources (_s, _blocks, _w), from 0."""
+    zero = F.lit(0).cast("long")
+    total = F.aggregate(sources, zero, lambda a, x: a + x["_blocks"])
+    passed = lambda v: F.aggregate(sources, F.lit(0.0), lambda a, x: a + F.least(x["_blocks"].cast("double"), x["_w"] * v))
+
+    def block(i, k, x, begin):
+        """Block k of a source x; the flow reaches it at the slot `begin`."""
+        some = k < x["_blocks"]
+        return F.transform(
+            F.array(F.when(some, passed((k + 1) / x["_w"])).otherwise(0.0)),
+            lambda end: F.struct(
+                F.when(some, F.ceil(end - SLACK)).otherwise(F.lit(NEVER)).alias("due"), i.cast("long").alias("i"), k.cast("long").alias("k"),
+                F.when(some, F.floor(begin + SLACK)).otherwise(F.lit(NEVER)).alias("free"), end.alias("end"),
+            ),
+        )[0]
+
+    def step(state, t):
+        # An array of one binds the pick, so that it is found once a slot.
+        pick = F.array(F.array_min(F.filter(state["next"], lambda x: x["free"] <= t)))
+        after = lambda p: F.array(block(p["i"], p["k"] + 1, F.element_at(sources, (p["i"] + 1).cast("int")), p["end"]))
+        put = lambda p: F.transform(after(p), lambda new: F.transform(state["next"], lambda x: F.when(x["i"] == p["i"], new).otherwise(x)))[0]
+        return F.transform(pick, lambda p: F.struct(put(p).alias("next"), F.concat(state["order"], F.array(F.struct(p["i"], p["k"]))).alias("order")))[0]
+
+    def lot(state, f):
+        none = F.array().cast("array<struct<i:bigint,k:bigint>>")
+        slots = F.sequence(f * at_a_time, F.least((f + 1) * at_a_time, total) - 1)
+        done = F.array(F.aggregate(slots, F.struct(state["next"].alias("next"), none.alias("order")), step))
+        return F.transform(done, lambda d: F.struct(d["next"].alias("next"), F.concat(state["lots"], F.array(d["order"])).alias("lots")))[0]
+
+    none = F.array().cast("array<array<struct<i:bigint,k:bigint>>>")
+    start = F.struct(F.transform(sources, lambda x, i: block(i, zero, x, F.lit(0.0))).alias("next"), none.alias("lots"))
+    lots = F.sequence(zero, F.floor((total - 1) / at_a_time))
+    return F.when(total > 0, F.aggregate(lots, start, lot)["lots"]).otherwise(none)
+
+
+def slots(counts: DataFrame, weights: DataFrame | None = None, at_a_time: int = FRAME) -> DataFrame:
+    """The slot of each block, STRETCH blocks of a source in a row: _s, _stretch, _slots."""
+    packed = _weighted(counts, weights).agg(F.sort_array(F.collect_list(F.struct("_s", "_blocks", F.col("_w").cast("double").alias("_w")))).alias("_all"))
+    lots = packed.select(F.col("_all._s").alias("_names"), F.posexplode(dealt(F.col("_all"), at_a_time)).alias("_lot", "_order"))
+    each = lots.select("_names", "_lot", F.posexplode("_order").alias("_at", "_x"))
+    k, slot = F.col("_x.k"), F.col("_lot").cast("long") * at_a_time + F.col("_at")
+    each = each.select(F.element_at("_names", (F.col("_x.i") + 1).cast("int")).alias("_s"), F.floor(k / STRETCH).alias("_stretch"), F.struct(k.alias("k"), slot.alias("slot")).alias("_x"))
+    return each.groupBy("_s", "_stretch").agg(F.sort_array(F.collect_list("_x")).alias("_x")).select("_s", "_stretch", F.col("_x.slot").alias("_slots"))
+
+
 def frames(counts: DataFrame, weights: DataFrame | None = None, frame: int = FRAME) -> DataFrame:
     """Runs of frames with equal counts: _s, _c, _first (its first block there), _f0, _f1, _slot0, _order.
 
     counts has a row a source, so its collected lists are bounded by the number of sources.
     """
-    if weights is None:
-        raw = counts.select("_s", "_blocks", F.pow("_blocks", F.lit(TEMPERATURE)).alias("_w"))
-    else:
-        given = weights.select(F.coalesce("source", F.lit("")).alias("_s"), F.col("weight").cast("double").alias("_w")).where("_w > 0")
-        given = given.groupBy("_s").agg(F.max("_w").alias("_w"))
-        raw = counts.join(given, "_s", "left").select("_s", "_blocks", F.coalesce("_w", F.min("_w").over(Window.partitionBy()), F.lit(1.0)).alias("_w"))
+    raw = _weighted(counts, weights)
     every = Window.partitionBy()
     share = F.greatest(F.round(F.col("_w") / F.sum("_w").over(every) * frame), F.lit(1)).cast("long")
     per = raw.select("_s", "_blocks", share.alias("_a"))
@@ -113,6 +170,16 @@ def frames(counts: DataFrame, weights: DataFrame | None = None, frame: int = FRA
 
 def _placed(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame: int, carry: list[str]) -> DataFrame:
     """The columns to carry of each row as _row, with the global slot of its block and its place inside it."""
+    plan = slots(block_counts(docs, block_chars), weights, frame)
+    placed = blocks(docs, block_chars, carry).withColumn("_stretch", F.floor(F.col("_block") / STRETCH))
+    # Numbers only, one for each block: sent to every task, so that texts are not dealt again.
+    placed = placed.join(F.broadcast(plan), ["_s", "_stretch"])
+    slot = F.element_at("_slots", (F.col("_block") % STRETCH + 1).cast("int"))
+    return placed.select("_row", "_id", slot.alias("slot"), (F.col("_at") % block_chars).alias("place"))
+
+
+def _placed_in_frames(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame: int, carry: list[str]) -> DataFrame:
+    """As _placed, by the rounded weights of frames."""
     runs = frames(block_counts(docs, block_chars), weights, frame)
     # One row for each source and block of a frame: its slots inside the frame, in order.
     cells = runs.select("_f0", "_f1", "_m", "_slot0", "_order", F.posexplode("_cells").alias("_i", "_cell"))
@@ -128,10 +195,11 @@ def _placed(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame:
     return placed.select("_row", "_id", slot.alias("slot"), (F.col("_at") % block_chars).alias("place"))
 
 
-def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME, columns: list[str] | None = None) -> DataFrame:
+def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME, columns: list[str] | None = None, rounded: bool = False) -> DataFrame:
     """Each document with the global slot of its block and its place inside it: the columns asked for (all), slot, place."""
     carry = [c for c in columns or docs.columns if c.lower() not in ("slot", "place")]
-    return _placed(docs, weights, block_chars, frame, carry).select("_row.*", "slot", "place")
+    place = _placed_in_frames if rounded else _placed
+    return place(docs, weights, block_chars, frame, carry).select("_row.*", "slot", "place")
 
 
 def mix_in_order(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME) -> DataFrame:

@@ -60,7 +60,8 @@ FROM y JOIN c ON c.s = y.s AND c.f0 = y.f0 JOIN q ON q.f0 = y.f0 JOIN o ON o.f0
 
 @register("op3_source_mixing", _OP3)
 def op3(spark, sf_dir):
-    return mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id", "source"])
+    # Its SQL states the shares rounded to a frame.
+    return mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id", "source"], rounded=True)
 
 
 @register("op4_token_ids")

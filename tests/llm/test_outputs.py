@@ -51,6 +51,32 @@ def test_mixture_is_whole_and_follows_the_weights(spark):
         assert abs(done["a"] - 75 - (t + 1 - until) * 5 / 8) < 1
 
 
+def test_mixture_keeps_within_a_block_of_the_weights_given(spark):
+    """Weights that no frame divides: a third among many sources, a thousandth, and sources that run out."""
+    third = [("big", 150, 1 / 3), *[(f"s{i:03}", 1, 2 / 3 / 300) for i in range(300)]]
+    for sources in (third, [("a", 2997, 0.999), ("b", 3, 0.001)], [("a", 37, 0.37), ("b", 90, 0.41), ("c", 11, 0.153), ("d", 2, 0.067)]):
+        counts = spark.createDataFrame([x[:2] for x in sources], "_s string, _blocks long")
+        weights = spark.createDataFrame([(s, w) for s, _, w in sources], "source string, weight double")
+        of_slot = {}
+        for r in mixing.slots(counts, weights).collect():
+            of_slot |= dict.fromkeys(r["_slots"], r["_s"])
+        assert sorted(of_slot) == list(range(sum(b for _, b, _ in sources)))
+        flow, done = {s: 0.0 for s, _, _ in sources}, defaultdict(int)
+        for t in range(len(of_slot)):
+            done[of_slot[t]] += 1
+            left = 1.0  # of this slot, to be filled by the sources that still have blocks
+            while left > 1e-9:
+                live = [(s, b, w) for s, b, w in sources if flow[s] < b - 1e-9]
+                total = sum(w for _, _, w in live)
+                if not live:
+                    break
+                part = min(left, *((b - flow[s]) * total / w for s, b, w in live))
+                for s, _, w in live:
+                    flow[s] += part * w / total
+                left -= part
+            assert all(abs(done[s] - flow[s]) < 1 + 1e-6 for s in flow)
+
+
 def test_mixing_on_odd_rows(odd, none):
     out = mixing.mix_in_order(odd, block_chars=500)
     assert out.columns == odd.columns
