@@ -90,11 +90,11 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     edge = np.append(np.flatnonzero(new | ~valid), len(low))
     end = edge[np.searchsorted(edge, start, "right")]
     m = low[start]
-    # Positions that are the anchor of some string; equal ones less than a window apart make strings that may repeat.
+    # Positions that are the anchor of some string; equal ones at most a window apart may lie in one run, and make strings that may repeat.
     wide = np.concatenate([np.zeros(WINDOW - 1, np.uint64), np.where(valid, low, np.uint64(0)), np.zeros(WINDOW - 1, np.uint64)])
     high = ~_least(~wide, WINDOW)
     anchors = np.flatnonzero(high == h)
-    twin = np.flatnonzero((h[anchors[1:]] == h[anchors[:-1]]) & (anchors[1:] - anchors[:-1] < WINDOW))
+    twin = np.flatnonzero((h[anchors[1:]] == h[anchors[:-1]]) & (anchors[1:] - anchors[:-1] <= WINDOW))
     marks = np.zeros(len(h) + 1, np.int64)
     marks[anchors[twin] + 1] = 1
     marks = np.cumsum(marks)

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,39 @@ def test_repeats_are_those_of_all_strings(spark):
     assert got == brute_repeats(rows)
 
 
+def removed_of_all(rows):
+    """Bytes removed of each document, by the steps of op8 in a row, without Spark."""
+    part = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([0] * len(rows), pa.int32()), pa.array([t for _, t in rows], pa.large_string())], ["key", "tie", "text"])
+    by = lambda batch, *names: batch.sort_by([(n, "ascending") for n in names])
+    settled = list(substrings._settle([by(substrings._cut_runs(part, part.column(2)), "a", "r", "doc", "at")]))
+    settled = [r for b in settled for r in b.to_pylist()]
+    late, found = [(r["doc"], r["at"]) for r in settled if r["late"]], defaultdict(list)
+    for r in settled:
+        if not r["late"]:
+            found[r["doc"]].append({"a": r["a"], "at": r["at"]})
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("at", pa.int64())]))
+    fetched = pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([dict(rows)[d] for d in found], pa.large_string()), pa.array(list(found.values()), kind)], ["key", "text", "found"])
+    parts = pa.Table.from_batches(substrings._cut_parts([fetched])).combine_chunks()
+    for batch in substrings._match(by(parts, "k", "doc", "at").to_batches()):
+        late += [(r["doc"], r["at"]) for r in batch.to_pylist()]
+    places = defaultdict(list)
+    for doc, at in late:
+        places[doc].append(at)
+    return {d: sum(b - a for a, b in substrings.removed_spans(places[d])) for d, _ in rows}
+
+
+@pytest.mark.parametrize("size", [68, 69, 70])
+def test_lines_as_long_as_a_window_meet(monkeypatch, size):
+    """A line and its newline twice, in two texts: each shard is a block of its own, so only equal shard keys bring strings together."""
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 1)
+    rng = random.Random(size)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    for _ in range(100):
+        line = text(size - 1) + "\n"
+        rows = [(k, text(rng.randrange(200)) + 2 * line + text(rng.randrange(200))) for k in (1, 2)]
+        assert removed_of_all(rows) == {k: v[1] for k, v in brute_repeats(rows).items()}
+
+
 def test_small_blocks_give_the_same(spark, monkeypatch):
     rows = list(repeated_rows(random.Random(10)))
     parts = [(0, d, 0, True, t.encode()) for d, t in rows if len(t.encode()) >= 100]
