@@ -2,16 +2,18 @@
 
 Four kinds of evidence are added as log likelihoods for each language and for `und` (none of them):
 
-* the text: naive Bayes over hashed words, their beginnings and endings. The tables come from one
-  pass over all rows that declare a language, one fixed array a task; a text counts for at most
+* the text: naive Bayes over hashed words, their beginnings and endings. The tables come from the
+  rows that declare a language, `LOT` languages a pass and one fixed array a task, so that every
+  language declared is learned; a text counts for at most
   `TEXT_CAP` of its average word, as words of one text are not independent;
-* the language declared in the markup (or in a column), wrong with a small probability;
+* the language declared in the markup (or in a column), wrong with a small probability; of a tag
+  with a region or script the language counts (en-US, en_gb: en);
 * the suffix of the address, where it is a country's;
 * the host: its share of languages among the texts of the host, smoothed by that of its domain,
   smoothed by that of the suffix, smoothed by that of all rows. The shares are grouped sums of text
   posteriors, so a host with a third of all rows costs one row a task.
 
-Rows travel as a few numbers each; texts are never shuffled. A row is accepted if the best language
+Rows travel as two numbers for each language; texts are never shuffled. A row is accepted if the best language
 is not `und` and its posterior reaches `least`.
 
 Defined results: null is the empty text; a row without words has no language (`und`, not accepted),
@@ -30,8 +32,8 @@ from demesne.llm.common import dense_counts, lower, per_piece, raw, span_hashes,
 from demesne.session import cut
 
 TERMS, ALPHA = 1 << 16, 0.5
-#: Most languages told apart: those declared most often.
-LANGUAGES = 32
+#: Languages whose terms are counted in one pass, and weighed at a time.
+LOT = 32
 #: Words of evidence that one text counts for at most; the share of wrong declarations; the weight of each level of the host prior.
 TEXT_CAP, WRONG, STRENGTH = 30.0, 0.05, 8.0
 LEAST = 0.6
@@ -53,6 +55,11 @@ def terms(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(salted, 1).astype(np.int64), np.diff(first)
 
 
+def primary(tag):
+    """The language of a tag like en-US or zh_hant, in lower case; other values in lower case."""
+    return F.regexp_replace(F.lower(tag), r"^\s*([a-z]{2,3})(?:[-_].*)?\s*$", "$1")
+
+
 def evidence_from_pages(pages: DataFrame) -> DataFrame:
     """key, text, declared, host, suffix of web pages (page_id, url, html)."""
     html = F.coalesce("html", F.lit(""))
@@ -69,29 +76,30 @@ def evidence_from_pages(pages: DataFrame) -> DataFrame:
 
 def evidence_from_documents(docs: DataFrame) -> DataFrame:
     """key, text, declared, host, suffix of documents (doc_id, text, lang, source)."""
-    return docs.select(F.col("doc_id").cast("long").alias("key"), "text", F.lower("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))
+    return docs.select(F.col("doc_id").cast("long").alias("key"), "text", primary("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))
 
 
 def declared_languages(rows: DataFrame) -> list[str]:
-    """The languages declared most often: at most LANGUAGES names."""
-    got = rows.where("declared is not null").groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(LANGUAGES).collect()
-    return sorted(r.declared for r in got)
+    """All languages declared."""
+    return sorted(r.declared for r in rows.where("declared is not null").select("declared").distinct().collect())
 
 
 def learn(rows: DataFrame, names: list[str]) -> np.ndarray:
     """Log likelihoods of hashed terms: TERMS rows, a column for each language and one for `und`."""
-    code = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), F.col("declared")).cast("int") - 1, F.lit(-1)) if names else F.lit(-1)
-    known = rows.select(code.alias("code"), "text").where("code >= 0")
 
     def tally(part, col, totals):
         found, count = terms(col)
         lang = np.repeat(part.column(0).to_numpy().astype(np.int64), count)
         totals += np.bincount((lang[:, None] * TERMS + found).ravel(), minlength=len(totals))
 
-    size = max(len(names), 1) * TERMS
-    counts = dense_counts(known, tally, size).reshape(-1, TERMS)[: len(names)].T.astype(np.float64)
-    table = np.log((counts + ALPHA) / (counts.sum(0) + ALPHA * TERMS))
-    return np.concatenate([table, np.full((TERMS, 1), -np.log(TERMS))], 1).astype(np.float32)
+    table = np.full((TERMS, len(names) + 1), -np.log(TERMS), np.float32)
+    for at in range(0, len(names), LOT):
+        lot = names[at : at + LOT]
+        code = F.array_position(F.array(*[F.lit(n) for n in lot]), F.col("declared")).cast("int") - 1
+        counts = dense_counts(rows.select(code.alias("code"), "text").where("code >= 0"), tally, len(lot) * TERMS)
+        counts = counts.reshape(-1, TERMS).T.astype(np.float64)
+        table[:, at : at + LOT][:, : len(lot)] = np.log((counts + ALPHA) / (counts.sum(0) + ALPHA * TERMS))
+    return table
 
 
 def identify(rows: DataFrame, least: float = LEAST) -> DataFrame:
@@ -103,8 +111,11 @@ def identify(rows: DataFrame, least: float = LEAST) -> DataFrame:
     def likelihoods(part, col):
         found, count = terms(col)
         row = np.repeat(np.arange(len(col)), count)
-        each = table[found].sum(1)
-        logs = np.stack([np.bincount(row, each[:, k], len(col)) for k in range(n)], 1)
+        logs = np.empty((len(col), n))
+        for at in range(0, n, LOT):
+            each = table[:, at : at + LOT][found].sum(1)
+            for k in range(each.shape[1]):
+                logs[:, at + k] = np.bincount(row, each[:, k], len(col))
         logs *= (np.minimum(count, TEXT_CAP) / np.maximum(3 * count, 1))[:, None]
         logs -= logs.max(1, keepdims=True)
         share = np.exp(logs)
@@ -118,40 +129,37 @@ def identify(rows: DataFrame, least: float = LEAST) -> DataFrame:
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
     judged = judged.withColumn("domain", F.when(domain != "", domain))
     voters = judged.where("n_words > 0")
-    sums = [F.sum(F.col("share")[k]).alias(f"s{k}") for k in range(n)]
-    whole = voters.agg(*sums).first()
-    total = [float(x or 0.0) for x in whole]
-    base = [(x + 1.0) / (sum(total) + n) for x in total]
+    # One array of sums a group: expressions grow with the languages, not with their square.
+    sums = F.array(*[F.sum(F.col("share")[k]) for k in range(n)])
+    total = [float(x or 0.0) for x in voters.agg(sums).first()[0]]
+    base = F.array(*[F.lit((x + 1.0) / (sum(total) + n)) for x in total])
 
     def level(key: str, parent: list) -> DataFrame:
-        """Shares of a group: its sums and STRENGTH times the shares of its parent."""
-        return voters.where(F.col(key).isNotNull()).groupBy(key, *parent).agg(*sums)
+        """The sums of a group, and its weight."""
+        groups = voters.where(F.col(key).isNotNull()).groupBy(key, *parent).agg(sums.alias("s"))
+        return groups.withColumn("weight", F.aggregate("s", F.lit(0.0), lambda a, x: a + x))
 
-    def smoothed(groups: DataFrame, prior: list) -> list:
-        weight = sum((F.col(f"s{k}") for k in range(1, n)), F.col("s0"))
-        return [(F.col(f"s{k}") + STRENGTH * prior[k]) / (weight + STRENGTH) for k in range(n)]
+    def smoothed(prior):
+        """Shares of a group: its sums and STRENGTH times the shares of its parent."""
+        return F.zip_with("s", prior, lambda x, p: (x + STRENGTH * p) / (F.col("weight") + STRENGTH))
 
-    flat_base = [F.lit(x) for x in base]
-    suffixes = level("suffix", []).select("suffix", F.array(*smoothed(None, flat_base)).alias("p_suffix"))
-    above = lambda col: [F.coalesce(F.col(col)[k], flat_base[k]) for k in range(n)]
-    domains = level("domain", ["suffix"]).join(suffixes, "suffix", "left").select("domain", "suffix", F.array(*smoothed(None, above("p_suffix"))).alias("p_domain"))
+    suffixes = level("suffix", []).select("suffix", smoothed(base).alias("p_suffix"))
+    domains = level("domain", ["suffix"]).join(suffixes, "suffix", "left").select("domain", "suffix", smoothed(F.coalesce("p_suffix", base)).alias("p_domain"))
     hosts = level("host", ["domain", "suffix"])
     hosts = hosts.join(domains.drop("suffix"), "domain", "left").join(suffixes, "suffix", "left")
-    prior = [F.coalesce(F.col("p_domain")[k], F.col("p_suffix")[k], flat_base[k]) for k in range(n)]
-    hosts = hosts.select(F.col("host").alias("h"), F.array(*smoothed(None, prior)).alias("p_host"))
+    hosts = hosts.select(F.col("host").alias("h"), smoothed(F.coalesce("p_domain", "p_suffix", base)).alias("p_host"))
     near = judged.join(hosts, judged.host == hosts.h, "left")
     known = [*names, "und"]
     country = F.create_map(*[F.lit(x) for kv in COUNTRY.items() for x in kv])[F.col("suffix")]
+    place = lambda c: F.coalesce(F.array_position(F.array(*[F.lit(x) for x in names]).cast("array<string>"), c), F.lit(0))
+    near = near.withColumns({"said": place(F.col("declared")), "at": place(country), "prior": F.coalesce("p_host", base)})
 
-    def fused(k: int):
-        name = known[k]
-        p = F.col("logs")[k] + F.log(F.coalesce(F.col("p_host")[k], flat_base[k]))
-        said = F.col("declared").isin(names) if names else F.lit(False)
-        p = p + F.when(said, F.log(F.when(F.col("declared") == name, 1 - WRONG).otherwise(WRONG / max(n - 1, 1)))).otherwise(0.0)
-        at = country.isin(names) if names else F.lit(False)
-        return p + F.when(at, F.log(F.when(country == name, 0.7).otherwise(0.3 / max(n - 1, 1)))).otherwise(0.0)
+    def evidence(at: str, k, right: float):
+        """The log of `right` for the language at this place (from 1), of an equal part of the rest for the others; 0 without any."""
+        return F.when(F.col(at) > 0, F.log(F.when(F.col(at) == k + 1, F.lit(right)).otherwise((1 - right) / max(n - 1, 1)))).otherwise(0.0)
 
-    scored = near.withColumn("post", F.array(*[fused(k) for k in range(n)]))
+    text = F.zip_with("logs", "prior", lambda x, p: x + F.log(p))
+    scored = near.withColumn("post", F.transform(text, lambda p, k: p + evidence("said", k, 1 - WRONG) + evidence("at", k, 0.7)))
     top = F.array_max("post")
     odds = F.aggregate(F.transform("post", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
     pick = F.element_at(F.array(*[F.lit(x) for x in known]), F.array_position("post", top).cast("int"))
@@ -166,7 +174,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     keyed = whole.select("row", F.xxhash64("row.doc_id", "row.text", "row.lang", "row.source").alias("key"))
     none = F.lit(None).cast("string")
-    rows = keyed.select("key", F.col("row.text").alias("text"), F.lower("row.lang").alias("declared"), F.col("row.source").alias("host"), none.alias("suffix"))
+    rows = keyed.select("key", F.col("row.text").alias("text"), primary("row.lang").alias("declared"), F.col("row.source").alias("host"), none.alias("suffix"))
     found = identify(rows).where("accepted").groupBy("key").agg(F.min("language").alias("found"))
     kept = keyed.join(found, "key")
     return kept.select(*[F.col("found").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -113,6 +113,19 @@ def test_host_prior_decides_where_the_text_does_not(spark):
     assert got[502].language == "und" and not got[502].accepted
 
 
+def test_more_languages_than_a_lot(spark):
+    """40 languages, the rarest declared in one row in 12 of the others', all learned; regions are not languages of their own."""
+    names = [f"{a}{b}" for a in "bcdfghjk" for b in "aeiou"]
+    assert len(names) > language.LOT
+    text = lambda k, i: " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{'qwxz'[(i + j) % 4]}{'rst'[j % 3]}om" for j in range(40))
+    rows = [(100 * k + i, text(k, i), x if i % 2 else f"{x.upper()}-XY", "h") for k, x in enumerate(names) for i in range(24 if k < 38 else 2)]
+    rows += [(100 * k + 99, text(k, 3), None, "h") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.key: r for r in language.identify(language.evidence_from_documents(docs)).collect()}
+    assert {k: r.language for k, r in got.items()} == {k: names[k // 100] for k in got}
+    assert all(r.accepted for r in got.values())
+
+
 def test_language_on_odd_rows(odd, none):
     out = language.identify(language.evidence_from_documents(odd)).collect()
     assert len(out) == odd.count()
