@@ -37,6 +37,8 @@ PERIOD, CLASSES = 1 << 16, 64
 LOT_CHARS, LOT_DOCS = 4 << 20, 4096
 #: Sampled values in a band of the candidate search, and bands.
 BAND_SAMPLES, BANDS = 7, 24
+#: Classes of a band that meet as many others in one cell.
+SUB_BLOCK = 1000
 
 _rng = np.random.default_rng(77)
 
@@ -242,8 +244,10 @@ def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
 
     Equal fingerprints are one class. A band is a few sampled values drawn from the strata before
     the end of a walk. In each band a class is compared, by whole fingerprints, with the least class
-    of the band and with its neighbour in the order of fingerprints, so a band with any number of
-    classes gives two comparisons a class and is split over tasks. Classes with a likeness of
+    of the band and with its neighbour in the order of fingerprints: two comparisons a class, which
+    link most of what is alike. Then all pairs of a band that are not linked yet are compared, each
+    once; they meet as keys, SUB_BLOCK by SUB_BLOCK classes, so a band is split over tasks. That is
+    the square of what stays apart in a band, and no pair is left out. Classes with a likeness of
     `least` or more are linked; a group's name is its least doc_id.
     """
     prints = cut(fingerprint(docs))
@@ -269,7 +273,7 @@ def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
         last: tuple = (None, None, None, None)
         for batch in batches:
             a, b = [], []
-            for band, i, text, first, lead in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for band, i, text, first, lead in zip(*[c.to_pylist() for c in batch.columns[:5]], strict=True):
                 own = read(text)
                 near = [(first, lead)] + ([last[1:3]] if last[0] == band else [])
                 for other, print_ in near:
@@ -281,10 +285,28 @@ def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
 
     rows = classes.select("id", "fingerprint").mapInArrow(bands, "band string, id bigint, fingerprint string")
     firsts = rows.groupBy("band").agg(F.min_by("fingerprint", "id").alias("lead"), F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    shared = rows.join(firsts.where("n > 1"), "band").select("band", "id", "fingerprint", "first", "lead")
+    shared = rows.join(firsts.where("n > 1"), "band").select("band", "id", "fingerprint", "first", "lead", "n")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = cut(shared)
     ranked = shared.repartitionByRange(n, "band", "fingerprint").sortWithinPartitions("band", "fingerprint")
-    roots = components(ranked.mapInArrow(neighbours, "a bigint, b bigint"))
+    linked = components(ranked.mapInArrow(neighbours, "a bigint, b bigint"))
+
+    def alike(batches):
+        for batch in batches:
+            a, b, x, y = (c.to_pylist() for c in batch.columns)
+            near = [likeness(read(u), read(v)) >= least for u, v in zip(x, y, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()).filter(pa.array(near, pa.bool_())), pa.array(b, pa.int64()).filter(pa.array(near, pa.bool_()))], ["a", "b"])
+
+    # Pairs of different groups so far meet in the cells of their sub-blocks.
+    blocks = F.ceil(F.col("n") / SUB_BLOCK).cast("int")
+    cells = shared.join(linked, shared["id"] == linked["node"], "left").select("band", "id", F.coalesce("root", "id").alias("group"), blocks.alias("of"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"))
+    one = cells.select("band", F.col("id").alias("a"), F.col("group").alias("p"), F.col("block").alias("lo"), F.explode(F.sequence("block", F.col("of") - 1)).alias("hi"))
+    other = cells.select("band", F.col("id").alias("b"), F.col("group").alias("q"), F.col("block").alias("hi"), F.explode(F.sequence(F.lit(0), "block")).alias("lo"))
+    apart = one.join(other, ["band", "lo", "hi"]).where("p <> q and (lo < hi or a < b)")
+    apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    x, y = (classes.select(F.col("id").alias(k), F.col("fingerprint").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    more = apart.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(alike, "a bigint, b bigint")
+    roots = components(more.union(linked.where("node <> root").select("node", "root")))
     named = classes.join(roots, classes.id == roots.node, "left").select("fingerprint", F.coalesce("root", "id").alias("group"))
     return prints.join(named, "fingerprint", "left").select("doc_id", F.coalesce("group", "doc_id").alias("group"))
 

@@ -238,3 +238,28 @@ def test_near_groups(spark):
     rows = [(10 * i + k, t if k < 2 else t[:300] + "#" + t[301:]) for i, t in enumerate(base) for k in range(4)] + [(900, ""), (901, None)]
     got = {r.doc_id: r.group for r in fingerprints.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {**{10 * i + k: 10 * i for i in range(5) for k in range(4)}, 900: 900, 901: 901}
+
+
+def test_near_groups_in_crowded_bands(spark, monkeypatch):
+    """Near-copies of 12 texts with one beginning, all different: bands of one sample hold most classes; every alike pair is linked."""
+    monkeypatch.setattr(fingerprints, "BAND_SAMPLES", 1)
+    monkeypatch.setattr(fingerprints, "SUB_BLOCK", 5)
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    head = text(150)
+    base = [head + text(450) for _ in range(12)]
+    rows = []
+    for k in range(96):
+        chars = list(base[k % 12])
+        for _ in range(rng.randrange(1, 9)):
+            chars[rng.randrange(150, 600)] = rng.choice("xyz")
+        rows.append((k, "".join(chars)))
+    prints = [fingerprints.fingerprints([t])[0] for _, t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if root[a] != root[b] and fingerprints.likeness(prints[a], prints[b]) >= 0.8:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    assert 12 <= len(set(root)) < 60
+    assert {r.doc_id: r.group for r in fingerprints.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == dict(enumerate(root))
