@@ -187,6 +187,13 @@ def test_edited_items_leak_and_others_do_not(spark):
     assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, items).collect()) == [2, 3, 4, 5, 6]
 
 
+def test_a_leak_without_a_key_takes_no_clean_row_along(spark):
+    item = "What is the boiling point of water at the level of the sea in the old scale of degrees? It is two hundred and twelve degrees on that scale."
+    docs = spark.createDataFrame([(None, item), (None, "clean " * 30), (None, None), (1, item), (2, "clean")], "doc_id long, text string")
+    kept = decontaminate.without_leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("text is null or text <> '" + item + "'").collect()))
+
+
 def test_decontamination_on_odd_rows(odd, none, spark):
     items = spark.createDataFrame([(1, next(r.text for r in odd.collect() if r.doc_id == 13))], "item_id long, text string")
     kept = decontaminate.without_leaks(odd, items)
