@@ -21,7 +21,7 @@ def register(name: str, oracle: str | None = None):
 # Each module of operators is imported where its queries are stated.
 from pyspark.sql import functions as F  # noqa: E402
 
-from demesne.llm import decontaminate, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_output, toxicity  # noqa: E402
+from demesne.llm import bpe, decontaminate, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_output, toxicity  # noqa: E402
 from demesne.llm.common import table  # noqa: E402
 
 #: The vocabulary of the token-id output and the id that ends a document.
@@ -135,3 +135,8 @@ def op7(spark, sf_dir):
 @register("op8_suffix_array_dedup", _OP8)
 def op8(spark, sf_dir):
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op11_bpe_codec")
+def op11(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
