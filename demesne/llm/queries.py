@@ -21,7 +21,7 @@ def register(name: str, oracle: str | None = None):
 # Each module of operators is imported where its queries are stated.
 from pyspark.sql import functions as F  # noqa: E402
 
-from demesne.llm import bpe, decontaminate, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_output, toxicity  # noqa: E402
+from demesne.llm import bpe, decontaminate, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_output, toxicity, trie  # noqa: E402
 from demesne.llm.common import table  # noqa: E402
 
 #: The vocabulary of the token-id output and the id that ends a document.
@@ -140,3 +140,26 @@ def op8(spark, sf_dir):
 @register("op11_bpe_codec")
 def op11(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+#: CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(list_reduce(flatten([[4294967295]] || list_transform(range(1, length(CAST({0} AS VARCHAR)) + 1), lambda i: [ord(CAST({0} AS VARCHAR)[i]), -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a // 2, 3988292384 * (a % 2)) END), 4294967295)"""
+
+_OP12 = f"""WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS p, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, {_CRC.format("c")} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+r AS (SELECT h.c, 0 AS s, p, role, text FROM h JOIN t ON t.c = h.c - h.c % 100 AND p <= h UNION ALL SELECT h.c, 1, p, role, text FROM h JOIN t ON t.c = h.c AND p > h),
+n AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY s, p) AS d, md5(length(role) || ':' || role || text) AS k, length(text) AS size FROM r),
+q AS (SELECT c, d, size, string_agg(k, '') OVER (PARTITION BY c ORDER BY d) AS name FROM n UNION ALL SELECT c, 0, 0, '' FROM h),
+g AS (SELECT name, d, min(c) AS conv_id, count(*) AS n_convs, max(size) AS size FROM q GROUP BY 1, 2),
+k AS (SELECT left(name, length(name) - 32) AS name, count(*) AS n FROM g WHERE d > 0 GROUP BY 1),
+e AS (SELECT name, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS sha FROM q JOIN (SELECT c, max(d) AS d FROM q GROUP BY 1) USING (c, d) GROUP BY 1),
+s AS (SELECT q.name, sum((g.n_convs - 1) * g.size) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves FROM g LEFT JOIN k ON k.name = g.name JOIN q ON q.c = g.conv_id AND q.d <= g.d GROUP BY 1)
+SELECT g.conv_id, CAST(g.d AS BIGINT) AS depth, o.conv_id AS parent_conv_id, g.n_convs, coalesce(k.n, 0) AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.sha, sha256('')) AS ends_sha256
+FROM g JOIN s ON s.name = g.name LEFT JOIN k ON k.name = g.name LEFT JOIN e ON e.name = g.name LEFT JOIN g o ON g.d > 0 AND o.name = left(g.name, length(g.name) - 32)"""
+
+
+@register("op12_conversation_trie", _OP12)
+def op12(spark, sf_dir):
+    c = F.col("c")
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"), c - c % 100, F.crc32(c.cast("string")) % 6, 5)
