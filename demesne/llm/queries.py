@@ -21,7 +21,7 @@ def register(name: str, oracle: str | None = None):
 # Each module of operators is imported where its queries are stated.
 from pyspark.sql import functions as F  # noqa: E402
 
-from demesne.llm import bpe, decontaminate, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_output, toxicity, trie  # noqa: E402
+from demesne.llm import bpe, decontaminate, fingerprints, jaccard, language, licenses, mixing, quality, spelling, substrings, token_output, toxicity, trie  # noqa: E402
 from demesne.llm.common import table  # noqa: E402
 
 #: The vocabulary of the token-id output and the id that ends a document.
@@ -163,3 +163,22 @@ FROM g JOIN s ON s.name = g.name LEFT JOIN k ON k.name = g.name LEFT JOIN e ON e
 def op12(spark, sf_dir):
     c = F.col("c")
     return trie.conversation_trie(table(spark, sf_dir, "conversations"), c - c % 100, F.crc32(c.cast("string")) % 6, 5)
+
+
+_OP13 = """WITH RECURSIVE d AS (SELECT CAST(doc_id AS VARCHAR) AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zA-Z\\x{00C0}-\\x{00FF}]+') AS ws FROM documents),
+o AS (SELECT id, w, count(*) AS k FROM (SELECT coalesce(id, '') AS id, unnest(ws) AS w FROM d) WHERE length(w) >= 6 GROUP BY 1, 2),
+h AS (SELECT w, k, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(id || ':' || w, ''), lambda ch: CASE WHEN ord(ch) < 128 THEN [CAST(ord(ch) AS BIGINT)] ELSE [CAST(192 + ord(ch) // 64 AS BIGINT), 128 + ord(ch) % 64] END))),
+  lambda a, b: xor(a // 256, t.t[xor(a, b) % 256 + 1])), 4294967295) AS h FROM o, (SELECT list(x ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS x FROM range(256) r(i))) t),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN left(w, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) + 2 AS BIGINT)) ELSE w END AS word, k FROM h) WHERE length(word) >= 6 GROUP BY 1 HAVING sum(k) >= 5),
+v AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS c FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+x AS (SELECT DISTINCT v.word AS a, v.n AS an, w.word AS b, w.n AS bn FROM v JOIN w ON w.word = v.c),
+p AS (SELECT a.word AS a, b.word AS b, b.n AS bn FROM v a JOIN v b ON a.c = b.c AND a.i = b.i AND a.word <> b.word UNION ALL SELECT a, b, bn FROM x UNION ALL SELECT b, a, an FROM x),
+q AS (SELECT a, count(*) AS n_near, first(b ORDER BY bn DESC, b) AS b, max(bn) AS bn FROM p GROUP BY 1),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 5 * w.n THEN b END AS form, CASE WHEN bn >= 5 * w.n THEN bn END AS form_n FROM w LEFT JOIN q ON q.a = w.word),
+r AS (SELECT word, word AS at FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word JOIN f z ON z.word = r.at WHERE z.form IS NULL"""
+
+
+@register("op13_spelling_variants", _OP13)
+def op13(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), 6, 5, 5, 199)
