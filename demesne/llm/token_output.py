@@ -49,7 +49,8 @@ SHARD_SCHEMA = (
     "part int, shard int, base int, rules binary, lengths binary, symbols binary, symbol_start binary, token_start binary, doc_ids array<bigint>, n_tokens bigint"
 )
 _FENCE = "\x01"
-_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
+#: A full stop or comma after a letter or digit, told from the stop back; a capital I with a dot ends in a combining dot in lower case.
+_STOP = re.compile(r"([.,])(?<=[^\W_İ].)(?=[ \n])")
 _memo: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
 
@@ -98,18 +99,17 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
     def encode(many: list[str]) -> list[bytes]:
         split = [chunks_of(t) for t in many]
-        new = {c for chunks in split for c in chunks if c not in memo}
+        found = [list(map(memo.get, chunks)) for chunks in split]
+        new = {c for chunks, ids in zip(split, found, strict=True) if None in ids for c, i in zip(chunks, ids, strict=True) if i is None}
         if new:
             if len(memo) + len(new) > MEMO:
                 memo.clear()
-                new = {c for chunks in split for c in chunks}
             fill(list(new))
-        look = memo.__getitem__
-        out = [b"".join(map(look, chunks)) for chunks in split]
-        for c in new:
-            if len(c) > MEMO_CHARS:
-                del memo[c]
-        return out
+            found = [[memo[c] if i is None else i for c, i in zip(chunks, ids, strict=True)] if None in ids else ids for chunks, ids in zip(split, found, strict=True)]
+            for c in new:
+                if len(c) > MEMO_CHARS:
+                    del memo[c]
+        return list(map(b"".join, found))
 
     return encode
 
