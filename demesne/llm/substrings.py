@@ -27,8 +27,9 @@ run); the rest is compared byte by byte.
 
 Defined results: null is the empty text and has no bytes; texts shorter than a string keep all bytes;
 rows with equal key and text are the same document, so neither repeats the other; rows with equal
-keys and different texts follow each other in the order of a hash; a null key comes first; an empty
-table gives no rows; other columns are not read.
+keys and different texts follow each other in the order of a hash (of 24 bits: up to some thousand
+texts with one key are told apart); rows with a null key are told apart by 62 bits and come first (keys
+below -2^62 among them); an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -50,8 +51,9 @@ REACH = WINDOW // 2
 #: Bytes of a block whose suffix array is built at once; a larger shard is a block of its own.
 BLOCK_BYTES = 1 << 20
 NULL_KEY = -(1 << 63)
-# A place is the tie-breaking hash of the document (15 bits), the position (40), whether the run repeats in itself (1), its strings (7).
-_TIE, _POS = 48, 8
+# A place is the tie-breaking hash of the document (24 bits), the position (31), whether the run repeats in itself (1), its strings (7).
+_TIE, _POS = 39, 8
+TIES, _AT = 1 << 24, (1 << 31) - 1
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -193,7 +195,7 @@ def _cut_parts(batches):
             found = np.array([(x["a"], x["at"]) for x in found.as_py()], np.int64).reshape(-1, 2)
             doc = doc.as_py()
             tie = int(found[0, 1] >> _TIE)
-            first = (found[:, 1] >> _POS) & ((1 << 40) - 1)
+            first = (found[:, 1] >> _POS) & _AT
             n = found[:, 1] & 127
             own = (found[:, 1] >> 7) & 1 > 0
             anchor = found[:, 0].view(np.uint64)
@@ -357,7 +359,7 @@ def removed_spans(places: list[int]) -> list[tuple[int, int]]:
     if not places:
         return []
     at = np.array(places, np.int64)
-    start = (at >> _POS) & ((1 << 40) - 1)
+    start = (at >> _POS) & _AT
     end = start + (at & 127) - 1 + LENGTH
     order = np.argsort(start, kind="stable")
     start, reach = start[order], np.maximum.accumulate(end[order])
@@ -370,7 +372,9 @@ def late_runs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows dealt by key, late): documents as (doc_id, key, tie, text), and the places of all repeats (doc, tie, at)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), F.pmod(F.xxhash64("text"), F.lit(1 << 15)).cast("int").alias("tie"), "text")
+    # Each text with a null key is a document of its own, told by 62 bits of its hash below all keys there are.
+    own = F.lit(NULL_KEY) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    rows = rows.select("doc_id", F.coalesce("doc_id", own).alias("key"), F.pmod(F.xxhash64("text"), F.lit(TIES)).cast("int").alias("tie"), "text")
     found = rows.select("key", "tie", "text").mapInArrow(per_piece(_cut_runs), RUNS)
     settled = cut(found.repartition(n, "a").sortWithinPartitions("a", "r", "doc", "at").mapInArrow(_settle, SETTLED))
     tie = F.shiftright("at", _TIE).cast("int").alias("tie")

@@ -120,6 +120,34 @@ def test_repeats_are_those_of_all_strings(spark):
     assert got == brute_repeats(rows)
 
 
+def test_many_null_and_equal_keys(spark):
+    """Texts that share a key are documents of their own, in the order of a hash."""
+    rng = random.Random(6)
+    texts = [t for _, t in repeated_rows(rng)] * 4
+    texts = [t + f" {i}" for i, t in enumerate(texts)]
+    rows = [(None if i % 3 else 5, t) for i, t in enumerate(texts)] + [(7, texts[0]), (7, texts[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    h = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) AS h").collect()}
+    order = sorted(set(rows), key=lambda r: (-1, h[r[1]] % (1 << 64)) if r[0] is None else (r[0], h[r[1]] % (1 << 24)))
+    wanted = brute_repeats([(k, t) for k, (_, t) in enumerate(order)])
+    wanted = [(d, *wanted[k]) for k, (d, _) in enumerate(order)]
+    got = [tuple(r) for r in substrings.without_repeats(df).collect()]
+    assert sorted(got, key=str) == sorted(wanted + [w for w in wanted if w[0] == 7], key=str)
+
+
+def test_edits_at_many_partitions(spark):
+    rows = [(i, f"text number {i} " * 3) for i in range(3000)]
+    default = spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    few = fingerprints.compare_with_edits(df).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "1500")
+    try:
+        many = fingerprints.compare_with_edits(df)
+        assert sorted(many.collect()) == sorted(few) and len(few) == 3000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", default)
+
+
 def removed_of_all(rows):
     """Bytes removed of each document, by the steps of op8 in a row, without Spark."""
     part = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([0] * len(rows), pa.int32()), pa.array([t for _, t in rows], pa.large_string())], ["key", "tie", "text"])
