@@ -25,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,25 +179,27 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     bounds = ids.where("doc_id is not null").agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10_000).alias("b")).first().b if n > 1 else []
-    bounds = sorted(set(bounds or []))
-    # Part of a row: the bounds at or above it, so parts follow each other in descending order; a null comes last.
-    steps = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    part = F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(F.size(F.filter(steps, lambda b: b >= F.col("doc_id")))).cast("int")
-    tops = {r.part: r.top for r in ids.select(part.alias("part"), "doc_id").groupBy("part").agg(F.max("doc_id").alias("top")).collect()}
+    bounds = np.array(sorted(set(bounds or [])), np.int64)
+
+    def parts_of(keys: pa.Array) -> np.ndarray:
+        """The bounds at or above a key, so parts follow each other in descending order; a null comes last."""
+        at = len(bounds) - np.searchsorted(bounds, pc.fill_null(keys, 0).to_numpy(zero_copy_only=False))
+        return np.where(keys.is_null().to_numpy(zero_copy_only=False), len(bounds), at).astype(np.int32)
+
+    part = F.arrow_udf(lambda keys: pa.array(parts_of(keys)), "int")
+    tops = {r.part: r.top for r in ids.select(part("doc_id").alias("part"), "doc_id").groupBy("part").agg(F.max("doc_id").alias("top")).collect()}
     live = sorted(tops)
     if not live:
         return spark.createDataFrame([], SCHEMA)
-    after = {p: live[(i + 1) % len(live)] for i, p in enumerate(live)}
-    before = {q: p for p, q in after.items()}
-    # The first document of each part also goes to the part before it, marked as a guest.
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("part", part)
-    is_top = F.lit(False)
-    for top in set(tops.values()):
-        is_top = is_top | F.col("doc_id").eqNullSafe(F.lit(top))
-    guests = rows.where(is_top)
-    home = F.create_map(*[F.lit(x) for p in live for x in (p, before[p])])
-    guests = guests.withColumn("part", F.element_at(home, F.col("part")))
-    dealt = rows.withColumn("guest", F.lit(False)).union(guests.withColumn("guest", F.lit(True)))
+    before = {p: live[i - 1] for i, p in enumerate(live)}
+
+    def places_of(keys: pa.Array) -> pa.Array:
+        """The part of a row; the first document of each part also goes to the part before it, as a guest."""
+        at = parts_of(keys).tolist()
+        return pa.array([[p, before[p]] if k == tops[p] else [p] for k, p in zip(keys.to_pylist(), at, strict=True)], pa.list_(pa.int32()))
+
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.arrow_udf(places_of, "array<int>")(F.col("doc_id").cast("long")).alias("places"))
+    dealt = rows.select("doc_id", "text", F.posexplode("places").alias("guest", "part")).withColumn("guest", F.col("guest") == 1)
     dealt = dealt.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("guest", F.desc_nulls_last("doc_id"), "text")
 
     def run(batches):
