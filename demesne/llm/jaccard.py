@@ -10,13 +10,13 @@ similarity of at least `least` (in percent), and a component is what links reach
    linked sets share a shingle of their prefixes. Classes with the same prefix and size are one group.
 3. Groups meet on the shingles of their prefixes. Where more than `FEW` classes share a shingle, one class leads (the least
    one), and every class of the groups there is compared with the leaders it meets: a number of pairs in
-   proportion to the prefixes. Verified pairs give links and, for classes within `NEAR` of the leader, the few
-   shingles by which they differ from it. Classes near the same leader are compared by these differences
-   alone (|x ^ y| = |Dx ^ Dy|), spreading from linked class to linked class over those not reached
-   yet, so that no pair inside a component is asked for again.
-4. Two linked sets at most one of which is near a leader are both farther than NEAR - (1 - least)
-   from it, by the triangle inequality of the Jaccard distance. Only such classes, and those that
-   share a shingle with few others, are paired directly, with filters by size and by position, and verified.
+   proportion to the prefixes. Verified pairs give links and, for classes within `LINKS_NEAR` (3) times the distance of a link
+   of the leader, the few shingles by which they differ from it. Classes near the same leader are compared by these
+   differences alone (|x ^ y| = |Dx ^ Dy|), met on the rarest of them, spreading from linked class to linked class
+   over those not reached yet, so that no pair inside a component is asked for again.
+4. Two linked sets at most one of which is near a leader are both farther than twice the distance of a link
+   from it, by the triangle inequality of the Jaccard distance; copies that each are linked to one text are nearer to each other. Only such
+   classes, and those that share a shingle with few others, are paired directly, with filters by size and by position, and verified.
 5. Components of classes come from alternating star rounds.
 
 A set is represented by 64-bit hashes of its shingles, a class by 128 bits.
@@ -40,8 +40,9 @@ from demesne.llm.common import components, dense_counts, lists, lower, mix, per_
 from demesne.session import cut
 
 SLOT_BITS = 18
-#: Jaccard distance within which differences from a leader are kept.
-NEAR = 0.3
+#: Differences from a leader are kept within this many times the distance of a link, so that copies of one text,
+#: each linked to it, are told by their differences from any of them: they are at most twice that distance apart.
+LINKS_NEAR = 3
 #: Classes with a shared shingle that are paired directly.
 FEW = 12
 #: Pairs that one copy of a class is compared in, and most keys that are sent to every task.
@@ -83,7 +84,7 @@ def _name(s: np.ndarray) -> bytes | None:
 
 
 def _profiles(counts: np.ndarray, n: int, least: int):
-    """(doc_id, text) -> doc_id, size of the set, its name, its prefix in order, and the group of that prefix and size."""
+    """(doc_id, text, hash) -> doc_id, size of the set, its name, its prefix in order, the group of that prefix and size, and the hash."""
 
     def run(part, col):
         found = sets_of(col, n)
@@ -92,8 +93,8 @@ def _profiles(counts: np.ndarray, n: int, least: int):
             order = np.lexsort((s, counts[_slots(s)]))[: prefix_size(len(s), least)] if len(s) else []
             prefix.append(s[order].view(np.int64) if len(s) else np.zeros(0, np.int64))
         gid = [int.from_bytes(hashlib.blake2b(p.tobytes() + len(s).to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True) for p, s in zip(prefix, found, strict=True)]
-        cols = [part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(map(_name, found), pa.binary()), lists(prefix, pa.int64()), pa.array(gid, pa.int64())]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "class", "prefix", "gid"])
+        cols = [part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(map(_name, found), pa.binary()), lists(prefix, pa.int64()), pa.array(gid, pa.int64()), part.column(2)]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "class", "prefix", "gid", "hash"])
 
     return per_piece(run)
 
@@ -198,7 +199,11 @@ def _compare(docs: DataFrame, members: DataFrame, pairs: DataFrame, n: int, limi
 
 
 def _spread(least: int):
-    """Links among the classes near one leader, from rows (leader, x, n, away); the leader differs in nothing from itself."""
+    """Links among the classes near one leader, from rows (leader, x, n, away); the leader differs in nothing from itself.
+
+    Classes meet on the rarest of the shingles by which they differ from the leader: linked ones differ from each other in
+    at most b of them, so they share one of their first b + 1, or have no more than b each and meet under a mark of their own.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         names = [table["y"][0].as_py(), *table["x"].to_pylist()]
@@ -206,27 +211,50 @@ def _spread(least: int):
         away = [np.zeros(0, np.int64), *(np.asarray(v.values) for v in table["away"].combine_chunks())]
         length = np.array([len(v) for v in away])
         flat = np.unique(np.concatenate(away), return_inverse=True)[1]
+        row = np.repeat(np.arange(len(names)), length)
+        often = np.bincount(flat)
+        order = np.lexsort((flat, often[flat], row))
+        flat = flat[order]  # each class's shingles, rarest first
         begin = np.concatenate([[0], np.cumsum(length)])
-        tokens = int(flat.max()) + 1 if len(flat) else 0
-        left = np.arange(1, len(names))
-        queue, links = [0], []
+        most = _distance_bound(size, -(-100 * size // least), least)
+        early = np.arange(len(flat)) - begin[row] <= most[row]
+        tokens = len(often)
+        few = np.flatnonzero(length <= most)
+        token, holder = np.concatenate([flat[early], np.full(len(few), tokens)]), np.concatenate([row[early], few])
+        order = np.lexsort((holder, token))
+        token, posting = token[order], holder[order]
+        start = np.searchsorted(token, np.arange(tokens + 2))
+        end, start = start[1:].copy(), start[:-1]
+        left = np.ones(len(names), bool)
         mark = np.zeros(tokens + 1, bool)
-        while len(left):
-            if not queue:  # a component is complete: begin the next one
-                queue.append(int(left[0]))
-                left = left[1:]
+        links = []
+        for seed in range(len(names)):
+            if not left[seed]:
                 continue
-            v = queue.pop()
-            own = flat[begin[v] : begin[v + 1]]
-            mark[own] = True
-            each = np.repeat(begin[left], length[left]) + np.arange(length[left].sum()) - np.repeat(np.cumsum(length[left]) - length[left], length[left])
-            shared = np.bincount(np.repeat(np.arange(len(left)), length[left]), mark[flat[each]], len(left))
-            mark[own] = False
-            near = length[left] + len(own) - 2 * shared <= _distance_bound(size[left], size[v], least)
-            for u in left[near].tolist():
-                links.append((names[v], names[u]))
-                queue.append(u)
-            left = left[~near]
+            left[seed] = False
+            queue = [seed]
+            while queue:
+                v = queue.pop()
+                own = flat[begin[v] : begin[v + 1]]
+                keys = np.append(own[: most[v] + 1], tokens) if len(own) <= most[v] else own[: most[v] + 1]
+                met = []
+                for t in keys[end[keys] - start[keys] > 1].tolist():
+                    there = posting[start[t] : end[t]]
+                    there = there[left[there]]
+                    posting[start[t] : start[t] + len(there)] = there  # those reached are not asked again
+                    end[t] = start[t] + len(there)
+                    met.append(there)
+                if not met:
+                    continue
+                u = np.unique(np.concatenate(met))
+                mark[own] = True
+                each = np.repeat(begin[u], length[u]) + np.arange(length[u].sum()) - np.repeat(np.cumsum(length[u]) - length[u], length[u])
+                shared = np.bincount(np.repeat(np.arange(len(u)), length[u]), mark[flat[each]], len(u))
+                mark[own] = False
+                for w in u[length[u] + len(own) - 2 * shared <= _distance_bound(size[u], size[v], least)].tolist():
+                    left[w] = False
+                    links.append((names[v], names[w]))
+                    queue.append(w)
         return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
 
     return run
@@ -234,6 +262,7 @@ def _spread(least: int):
 
 def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> DataFrame:
     """Links (a, b) between classes that give the components of all links."""
+    near = min(0.9, LINKS_NEAR * (100 - least) / 100)
     sound = profiles.where("n > 0 and doc_id is not null")
     members = cut(sound.groupBy("class").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("gid").alias("gid")))
     groups = members.groupBy("gid").agg(F.min("class").alias("lead"), F.first("n").alias("m"), F.count(F.lit(1)).alias("size"))
@@ -252,14 +281,14 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
     met = cut(led.union(none))
     # Every class meets the leaders of its group's shingles, where the sizes allow it to be near.
     classes = members.select("gid", "class", "n")
-    at = met.where("leader is not null").select("gid", "leader", "m").distinct().join(classes, "gid").where(F.least("n", "m") >= (1 - NEAR) * F.greatest("n", "m"))
+    at = met.where("leader is not null").select("gid", "leader", "m").distinct().join(classes, "gid").where(F.least("n", "m") >= (1 - near) * F.greatest("n", "m"))
     stars = cut(at.where("class <> leader").select(F.col("class").alias("x"), F.col("leader").alias("y")).distinct())
     away = F.size("away")
     union = (F.col("n") + F.col("m") + away) / 2
-    compared = cut(compare(docs, members, stars, n, NEAR / (2 - NEAR)))  # a distance of NEAR, as |away| over the sum of sizes
+    compared = cut(compare(docs, members, stars, n, near / (2 - near)))  # a distance of `near`, as |away| over the sum of sizes
     near_links = compared.groupBy("y").applyInArrow(_spread(least), "a binary, b binary")
     # The rest: classes that share a shingle and are not both near its leader. Both are farther from it than this.
-    core = NEAR - (100 - least) / 100
+    core = near - (100 - least) / 100
     dist = compared.select(F.col("x").alias("class"), F.col("y").alias("leader"), (away / union).alias("dist"))
     far = met.join(classes, "gid").join(dist, ["class", "leader"], "left")
     far = far.withColumn("dist", F.when(F.col("class") == F.col("leader"), 0.0).otherwise(F.col("dist")))
@@ -278,29 +307,40 @@ def class_links(docs: DataFrame, profiles: DataFrame, n: int, least: int) -> Dat
     return near_links.union(far_links)
 
 
+def linked_rows(docs: DataFrame, n: int, least: int) -> DataFrame:
+    """(doc_id, hash, n, root) of every document: the hash of its text, the size of its set, the name of its component (null without words)."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+    counts = slot_counts(own, n)
+    kind = "doc_id bigint, n bigint, class binary, prefix array<bigint>, gid bigint, hash bigint"
+    profiles = cut(own.mapInArrow(_profiles(counts, n, least), kind))
+    roots = components(class_links(own.select("doc_id", "text"), profiles.drop("hash"), n, least))
+    slim = profiles.select("doc_id", "hash", "n", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class"))
+    return slim.join(roots, slim["class"] == roots["node"], "left").select("doc_id", "hash", "n", F.coalesce("root", "class").alias("root"))
+
+
 def link_documents(docs: DataFrame, n: int = 3, least: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; component_id is the least doc_id that links reach."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = slot_counts(own, n)
-    profiles = cut(own.mapInArrow(_profiles(counts, n, least), "doc_id bigint, n bigint, class binary, prefix array<bigint>, gid bigint"))
-    roots = components(class_links(own, profiles, n, least))
-    slim = profiles.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class"))
-    named = slim.join(roots, slim["class"] == roots["node"], "left").select("doc_id", "n", F.coalesce("root", "class").alias("root"))
+    named = linked_rows(docs, n, least)
     least_id = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
     out = named.join(least_id.withColumnRenamed("root", "r"), F.col("root") == F.col("r"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, least: int = 80) -> DataFrame:
-    """The documents that are the least of their component, all columns kept; one row of each; rows with a null key are kept.
+    """One document of each component, all columns kept: the one of least key, then of least hash of its text; rows with a null key, and without words, are kept.
 
+    Rows are told apart by key and text, so texts that share a key go or stay each by itself; one of equal rows stays.
     Texts stay where they are while the keys to leave out are at most BROADCAST_ROWS; beyond that they are dealt by key.
     """
-    linked = cut(link_documents(docs, n, least).where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count(F.lit(1)).alias("rows")))
-    later = linked.where("low < doc_id").select(F.col("doc_id").alias("_drop"))
-    twice = linked.where("low = doc_id and rows > 1").select(F.col("doc_id").alias("_twice"))
+    rows = cut(linked_rows(docs, n, least).where("root is not null").groupBy("doc_id", "hash").agg(F.min("root").alias("root"), F.count(F.lit(1)).alias("rows")))
+    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+    judged = cut(rows.join(first, "root").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), (F.struct("doc_id", "hash") == F.col("first")).alias("_stays"), (F.col("rows") > 1).alias("_twice")))
     small = lambda ids: F.broadcast(ids) if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ids
-    later, twice = small(later), small(twice)
-    kept = docs.join(later, docs["doc_id"] == later["_drop"], "left_anti")
-    same = kept["doc_id"] == twice["_twice"]
-    return kept.join(twice, same, "left_anti").union(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+    later, twice = small(judged.where("not _stays")), small(judged.where("_stays and _twice"))
+    # Each row whole in one column, so that no name can clash.
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    same = lambda ids: (F.col("row.doc_id") == ids["_id"]) & (F.xxhash64("row.text") == ids["_hash"])
+    kept = whole.join(later, same(later), "left_anti")
+    again = kept.join(twice, same(twice), "left_semi").select("row", F.col("row.doc_id").alias("_id"), F.xxhash64("row.text").alias("_hash"))
+    kept = kept.join(twice, same(twice), "left_anti").union(again.dropDuplicates(["_id", "_hash"]).select("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

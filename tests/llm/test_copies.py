@@ -73,6 +73,35 @@ def test_a_large_group_is_linked_without_all_pairs(spark):
     assert {r.component_id for r in got} == {0}
 
 
+@pytest.mark.parametrize(("n", "least"), [(3, 90), (5, 80)])
+def test_pairs_of_near_copies_grow_in_proportion(spark, n, least, monkeypatch):
+    """Copies of one text with one word changed each: compared pairs grow like the copies, whether the text is there or not."""
+    asked = []
+    compare = jaccard.compare
+    monkeypatch.setattr(jaccard, "compare", lambda docs, members, pairs, *a: asked.append(pairs.count()) or compare(docs, members, pairs, *a))
+    per_copy = []
+    for copies in (100, 400):
+        rng = random.Random(copies)
+        base = [f"u{i}" for i in range(60)]
+        rows = []
+        for i in range(copies):
+            w = list(base)
+            w[rng.randrange(60)] = f"other{i}"
+            rows.append((i, " ".join(w)))
+        asked.clear()
+        got = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), n, least).collect()
+        assert sorted((tuple(r) for r in got), key=str) == brute_components(rows, n, least)
+        per_copy.append(sum(asked) / copies)
+    assert per_copy[1] < 2 * per_copy[0]
+
+
+def test_texts_that_share_a_key_are_judged_apart(spark):
+    words = lambda k: " ".join(f"{k}w{i}" for i in range(30))
+    rows = [(5, words("a")), (5, words("b")), (6, words("b")), (7, words("c")), (7, words("c")), (8, ""), (8, None)]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[1], rows[3], rows[5], rows[6]], key=str)
+
+
 def test_jaccard_on_odd_rows(odd, none):
     got = sorted((tuple(r) for r in jaccard.link_documents(odd, 3, 90).collect()), key=str)
     assert got == brute_components([(r.doc_id, r.text) for r in odd.collect()], 3, 90)
