@@ -186,10 +186,10 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE, overlap
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that leak no test item, all columns kept; rows with a null key are judged by their own text, rows that share another key go together."""
+    """The documents that leak no test item, all columns kept; rows are judged by key and text, so a clean text stays where another one of its key leaks."""
     # Each row whole in one column, so that no name can clash.
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    keyed = whole.select("row", F.when(F.col("row.doc_id").isNull(), F.xxhash64(F.lit("text"), "row.text")).otherwise(F.xxhash64(F.lit("key"), "row.doc_id")).alias("key"))
+    keyed = whole.select("row", F.xxhash64("row.doc_id", "row.text").alias("key"))
     bad = leaks(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), items).select(F.col("doc_id").alias("leaking")).distinct()
     kept = keyed.join(bad, keyed["key"] == bad["leaking"], "left_anti")
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
