@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from demesne.session import cut
@@ -106,27 +104,73 @@ def for_each_value(rows: DataFrame, variables: DataFrame, listed: str, value: st
 def run_order(nodes: DataFrame, edges: DataFrame, scope: list[str], node: str, source: str, target: str) -> DataFrame:
     """Step at which every task can run: 0 without predecessors, else one after its last predecessor.
 
-    Tasks are peeled off step by step; a task on a cycle, or behind one, never
-    becomes ready and has a NULL step. As many rounds as the longest chain.
-    Edges from tasks that are not among the nodes hold nothing up.
+    Two kinds of rounds, each of a number that grows with the logarithm of the longest chain. A task with one predecessor
+    points to it, and pointers are followed four at a time until they end at a task with none or several.
+    Tasks with several wait for each other by longest distances, which are squared (longest of two halves) until
+    nothing changes; these pairs are as many as such tasks reach each other, chains between them being folded.
+    A task on a cycle, or behind one, never becomes ready and has a NULL step. Edges from tasks that are not among
+    the nodes hold nothing up.
+    """
+    key = F.struct(*scope, node).alias("v")
+    all_ = nodes.select(key).distinct()
+    pairs = edges.select(F.struct(*scope, F.col(source).alias(node)).alias("u"), F.struct(*scope, F.col(target).alias(node)).alias("v")).distinct()
+    waits = cut(pairs.join(all_.withColumnRenamed("v", "u"), "u", "left_semi").join(all_, "v", "left_semi"))
+    before = cut(waits.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u")))
+    chains = _chains(before.filter("n = 1").select("v", F.col("u").alias("r"), F.lit(1).cast("long").alias("d")))
+    # What each task with several predecessors waits for: the ends of chains, at their distance; `stuck` where a chain has no end.
+    merges = before.filter("n > 1").select("v")
+    own = chains.select(F.col("v").alias("u"), "r", "d", "stuck")
+    held = waits.join(merges, "v").join(own, "u", "left").select(
+        "v", F.coalesce("r", "u").alias("u"), (F.coalesce("d", F.lit(0)) + 1).alias("w"), F.coalesce("stuck", F.lit(False)).alias("stuck")
+    )
+    held = cut(held.join(merges.select(F.col("v").alias("u"), F.lit(True).alias("inner")), "u", "left"))
+    base = held.groupBy("v").agg(F.max(F.when(F.col("inner").isNull(), F.col("w"))).alias("b"), F.max("stuck").alias("stuck"))
+    far = _longest(held.filter("inner").groupBy("u", "v").agg(F.max("w").alias("w")))
+    cyclic = far.filter("u = v").select("v", F.lit(True).alias("loop")).distinct()
+    base = cut(base.join(cyclic, "v", "left").select("v", "b", (F.col("stuck") | F.col("loop").isNotNull()).alias("stuck")))
+    over = far.filter("u <> v").join(base.select(F.col("v").alias("u"), "b", "stuck"), "u").select("v", (F.col("b") + F.col("w")).alias("b"), "stuck")
+    steps = base.unionByName(over).groupBy("v").agg(F.max("b").alias("b"), F.max("stuck").alias("stuck"))
+    steps = steps.select("v", F.when(~F.col("stuck"), F.col("b")).alias("step"), F.lit(True).alias("known"))
+    ends = chains.join(steps.withColumnRenamed("v", "r"), "r", "left")
+    step = F.when(~F.col("stuck") & (F.col("known").isNull() | F.col("step").isNotNull()), F.coalesce("step", F.lit(0)) + F.col("d"))
+    placed = steps.select("v", "step").unionByName(ends.select("v", step.alias("step"))).withColumn("placed", F.lit(True))
+    out = all_.join(placed, "v", "left").withColumn("step", F.when(F.col("placed").isNull(), 0).otherwise(F.col("step")).cast("int"))
+    return out.select("v.*", "step")
+
+
+def _chains(links: DataFrame) -> DataFrame:
+    """(v, r, d, stuck) of pointers (v, r, d): where each ends, and how far; stuck if it runs into a cycle.
+
+    Pointers that span more steps than there are pointers, and still move on, run in a cycle.
     """
-    key = [*scope, node]
-    left = cut(nodes.select(*key).distinct())
-    known = left.withColumnRenamed(node, "_from")
-    pairs = edges.select(*scope, F.col(source).alias("_from"), F.col(target).alias(node)).distinct()
-    waits = cut(pairs.join(known, [*scope, "_from"], "left_semi"))
-    total, step, done = left.count(), 0, []
-    while total:
-        ready = left.join(waits, key, "left_anti").withColumn("step", F.lit(step))
-        waiting = cut(left.join(waits, key, "left_semi"))
-        remain = waiting.count()
-        if remain == total:  # nothing became ready: what is left waits for a cycle
-            ready = left.withColumn("step", F.lit(None).cast("int"))
-            remain = 0
-        done.append(ready)
-        if not remain:
-            break
-        finished = ready.select(*scope, F.col(node).alias("_from"))
-        waits = cut(waits.join(finished, [*scope, "_from"], "left_anti"))
-        left, total, step = waiting, remain, step + 1
-    return reduce(DataFrame.unionByName, done, left.limit(0).withColumn("step", F.lit(None).cast("int")))
+    links, reached = cut(links), 1
+    while True:
+        for _ in range(2):
+            onward = links.select(F.col("v").alias("r"), F.col("r").alias("r2"), F.col("d").alias("d2"))
+            links = links.select("v", "r", "d").join(onward, "r", "left").select(
+                "v", F.coalesce("r2", "r").alias("r"), (F.col("d") + F.coalesce("d2", F.lit(0))).alias("d"), F.col("r2").isNotNull().alias("stuck")
+            )
+        seen = Observation()
+        links = cut(links.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("stuck").alias("open")))
+        reached *= 4
+        if not seen.get["open"] or reached > 2 * seen.get["n"]:
+            return links
+
+
+def _longest(pairs: DataFrame) -> DataFrame:
+    """(u, v, w) for all u that v waits for: the longest distance, by squaring; what waits for itself is told, and not walked through again."""
+    far, told = cut(pairs), None
+    while True:
+        loops = far.filter("u = v").select(F.col("v").alias("x"))
+        inner = far.join(loops, far["v"] == loops["x"], "left_anti")
+        half = inner.select("u", F.col("v").alias("m"), F.col("w").alias("w1"))
+        twice = half.join(inner.filter("u <> v").select(F.col("u").alias("m"), "v", F.col("w").alias("w2")), "m").select("u", "v", (F.col("w1") + F.col("w2")).alias("w"))
+        seen = Observation()
+        far = far.unionByName(twice).groupBy("u", "v").agg(F.max("w").alias("w"))
+        # Distances to a task that waits for itself mean nothing, so they are not counted as changes.
+        far = far.withColumn("w", F.when(F.col("u") == F.col("v"), 1).otherwise(F.col("w")))
+        far = cut(far.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("w").alias("s")))
+        now = (seen.get["n"], seen.get["s"])
+        if now == told:
+            return far
+        told = now

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from demesne.plans import warehouse as W
@@ -42,6 +45,39 @@ def test_run_order_of_chains_and_cycles(make):
     assert got == {"a": 0, "b": 1, "c": 2, "d": 0, "x": None, "y": None, "z": None}
 
 
+def longest(nodes, links):
+    """Steps by plain recursion; None on and behind cycles."""
+    before = {n: {a for a, b in links if b == n and a in nodes} for n in nodes}
+    step = {}
+    while ready := [n for n in nodes if n not in step and before[n] <= set(step)]:
+        step.update({n: max((step[a] + 1 for a in before[n]), default=0) for n in ready})
+    return {n: step.get(n) for n in nodes}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_run_order_of_random_graphs(make, seed):
+    rng = random.Random(seed)
+    nodes, links = [], []
+    for p in "pqr":
+        names = [f"{p}{i}" for i in range(14)]
+        nodes += names
+        links += [(names[min(a, b)], names[max(a, b)]) for a, b in (rng.sample(range(14), 2) for _ in range(rng.randrange(6, 22)))]
+        if p != "p":  # cycles, and tasks that run into them
+            links += [(rng.choice(names), rng.choice(names)) for _ in range(3)]
+    made = W.run_order(make([(n[0], n) for n in nodes], "p string, n string"), make([(a[0], a, b) for a, b in links], "p string, f string, t string"), ["p"], "n", "f", "t")
+    assert {r["n"]: r["step"] for r in made.collect()} == longest(nodes, links)
+
+
+def test_run_order_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    cuts = []
+    cut = W.cut
+    monkeypatch.setattr(W, "cut", lambda df: cuts.append(1) or cut(df))
+    nodes = spark.range(10_000).selectExpr("'p' AS p", "id AS n")
+    links = nodes.selectExpr("p", "n AS f", "n + 1 AS t").union(nodes.where("n % 1000 = 0 AND n > 0").selectExpr("p", "n DIV 2 AS f", "n AS t"))
+    got = W.run_order(nodes, links, ["p"], "n", "f", "t").where("step = n").count()
+    assert got == 10_000 and len(cuts) <= 25
+
+
 def test_watermark_reaches_the_scan(spark, tmp_path):
     spark.range(10).withColumnRenamed("id", "m").write.parquet(str(tmp_path / "t"))
     df = W.read_since(spark.read.parquet(str(tmp_path / "t")), "m", F.lit(5))
