@@ -38,7 +38,7 @@ from demesne.llm.common import lists, per_piece
 #: Words kept encoded per worker, and the length above which a word is not kept.
 MEMO, MEMO_CHARS = 600_000, 64
 #: Below these code points every character has been assigned for long, so all tables agree on it.
-_HIGH = re.compile("[\u0378-\U0010ffff]")
+HIGH = re.compile("[\u0378-\U0010ffff]")
 #: White space of patterns (fixed values): what has that property in Unicode.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -157,7 +157,7 @@ class Tokenizer:
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalised."""
-        if _HIGH.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
+        if HIGH.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
             # Characters newer than Python's tables: the library's own say what they are.
             if self.library is None:
                 from tokenizers import Tokenizer as Library
@@ -170,7 +170,7 @@ class Tokenizer:
                 text = unicodedata.normalize("NFC", text)
             elif step["type"] == "Lowercase":
                 text = text.replace("Σ", "σ").lower()  # each character by itself: no final sigma
-        return self.cut(text) if _HIGH.search(text) else self.cut_low(text)
+        return self.cut(text) if HIGH.search(text) else self.cut_low(text)
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""

@@ -27,15 +27,18 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Callable
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demesne.llm.bpe import HIGH, byte_characters
 from demesne.llm.common import pieces
 from demesne.session import checkpoint_root
 
@@ -69,19 +72,16 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         _tokenizers[path], _memo[path] = Tokenizer.from_file(path), {}
     tok, memo = _tokenizers[path], _memo[path]
     fence = tok.encode(_FENCE, add_special_tokens=False).ids
-    vocabulary = tok.get_vocab()
-    closes = np.zeros(max(vocabulary.values()) + 1, bool)
-    closes[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+    model = tok.model
+    printable = {b: c for b, c in enumerate(byte_characters())}
 
     def fill(new: list[str]) -> None:
-        """Encode chunks; those of lower-case letters are one word each, and are encoded together and parted at word ends."""
-        plain = [c for c in new if c.isalpha() and c.lower() == c]
-        if plain:
-            ids = np.array(tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            at = (np.flatnonzero(closes[ids]) + 1) * 4
-            if len(at) == len(plain):
-                data, at = ids.tobytes(), [0, *at.tolist()]
-                memo.update((c, data[a:b]) for c, a, b in zip(plain, at, at[1:], strict=False))
+        """Encode chunks; lower-case letters that all tables of characters know are one word, which goes to the model by itself."""
+        for c in new:
+            if c.isalpha() and c.lower() == c and not HIGH.search(c) and is_normalized("NFC", c):
+                word = c if c.isascii() else c.encode().decode("latin-1").translate(printable)
+                ids = [t.id for t in model.tokenize(word)]
+                memo[c] = struct.pack(f"<{len(ids)}I", *ids)
         rest = [c for c in new if c not in memo and _FENCE not in c and "<|" not in c] if len(fence) == 1 else []
         if rest:  # a control character between them that none of them holds
             ids = np.array(tok.encode_batch_fast([f" {_FENCE} ".join(rest)], add_special_tokens=False)[0].ids, "<u4")

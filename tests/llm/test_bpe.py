@@ -100,3 +100,16 @@ def test_other_files_are_refused(tmp_path, change):
     path.write_text(json.dumps(spec))
     with pytest.raises(ValueError):
         bpe.Tokenizer(str(path))
+
+
+def test_token_output_encodes_random_texts_as_the_library(library):
+    """The chunk-wise encoder of the token-id output, on single texts and mixed scripts."""
+    from demesne.llm import token_output
+
+    rng = random.Random(13)
+    parts = [*ALPHABET, " , ", ". ", ",\n", "İ. ", "BİLGİ, ", "ʹ", "豈", "ᄀ", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(6000)] + ["TÜRKİYE'DEKİ, ve BİLGİ. evet"]
+    encode = token_output.encoder(tokenizer_path())
+    for k in range(0, len(texts), 500):
+        for text, found in zip(texts[k : k + 500], encode(texts[k : k + 500]), strict=True):
+            assert ids(found) == library.encode(text, add_special_tokens=False).ids, text
