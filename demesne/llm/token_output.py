@@ -46,7 +46,7 @@ SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs this often; fewer uses do not pay for the rule.
 MIN_COUNT = 4
 #: Chunks kept encoded per worker, and the length above which a chunk is not kept.
-MEMO, MEMO_CHARS = 1_000_000, 64
+MEMO, MEMO_CHARS = 600_000, 64
 
 SHARD_SCHEMA = (
     "part int, shard int, base int, rules binary, lengths binary, symbols binary, symbol_start binary, token_start binary, doc_ids array<bigint>, n_tokens bigint"
@@ -102,8 +102,10 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         found = [list(map(memo.get, chunks)) for chunks in split]
         new = {c for chunks, ids in zip(split, found, strict=True) if None in ids for c, i in zip(chunks, ids, strict=True) if i is None}
         if new:
-            if len(memo) + len(new) > MEMO:
+            if len(memo) + len(new) > MEMO:  # the chunks of these texts stay, and so the frequent ones
+                kept = {c: i for chunks, ids in zip(split, found, strict=True) for c, i in zip(chunks, ids, strict=True) if i is not None}
                 memo.clear()
+                memo.update(kept)
             fill(list(new))
             found = [[memo[c] if i is None else i for c, i in zip(chunks, ids, strict=True)] if None in ids else ids for chunks, ids in zip(split, found, strict=True)]
             for c in new:
