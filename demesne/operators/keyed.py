@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demesne.functions.scalars import percent_of
+from demesne.session import cut
 
 
 def _others(df: DataFrame, keys: list[str]) -> list[str]:
@@ -79,14 +80,37 @@ def percent_if_any(part: Column, whole: Column) -> Column:
     return percent_of(F.nullif(part, F.lit(0)), whole)
 
 
+def after_parts(df: DataFrame, part: str, at: Column, out: str) -> DataFrame:
+    """Place from 1 of rows that are in order within numbered parts, which follow each other; `at` counts from 0 within a part.
+
+    Only one row a part is ever brought into order as a whole.
+    """
+    sizes = df.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(part, F.coalesce(earlier, F.lit(0)).alias("_start"))
+    return df.join(F.broadcast(starts), part).withColumn(out, F.col("_start") + at + 1).drop("_start", part)
+
+
+def global_rank(df: DataFrame, order: list[Column | str], out: str = "place") -> DataFrame:
+    """Place of every row in one order over the whole table, without a task that holds more than its range.
+
+    Rows are range-partitioned and sorted; where a row stands in its partition, and the rows of the partitions
+    before it, give its place. The sorted rows are written, as both need the same partitions. Order must be unique.
+    """
+    spot = F.monotonically_increasing_id()  # partition number in the high bits, place in the partition in the low 33
+    rows = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("_spot", spot)
+    rows = rows.withColumn("_part", F.shiftright("_spot", 33))
+    return after_parts(rows, "_part", F.col("_spot").bitwiseAND(F.lit((1 << 33) - 1)), out).drop("_spot")
+
+
 def mark_within_budget(
     df: DataFrame, keys: list[str], order: list[str], cap: int, place: str = "place", flag: str = "within_budget"
 ) -> DataFrame:
     """Mark the first cap rows in a global order; all other rows stay, unplaced.
 
-    The order columns must be unique. Only the cap rows are ever ordered as a
-    whole (a distributed top-k), so no global sort and no single-task window.
+    The order columns must be unique. A cap of a third of all rows costs no more than one of ten.
     """
-    head = df.select(*keys, *[c for c in order if c not in keys]).orderBy(*order).limit(cap)
-    placed = head.withColumn(place, F.row_number().over(Window.orderBy(*order))).select(*keys, place)
-    return df.join(placed, keys, "left").withColumn(flag, F.col(place).isNotNull())
+    first = keys + [c for c in df.columns if c not in keys]
+    ranked = global_rank(df.select(*first), order, place)
+    within = F.col(place) <= cap
+    return ranked.withColumn(flag, within).withColumn(place, F.when(within, F.col(place)).cast("int"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+from pyspark.errors import PythonException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demesne.functions.scalars import percent_of
 from demesne.schemas import UNRESOLVED
+from demesne.session import cut
 
 # --- fixed values: outcomes of one extractor on one object ---
 RESOLVED, NOT_RESOLVED, ERROR, UNAVAILABLE, MISSING = "resolved", "unresolved", "error", "unavailable", "missing"
@@ -127,20 +130,29 @@ def union_of_sets(parts: list[DataFrame], cols: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [p.select(*cols) for p in parts]).distinct()
 
 
+def reason_of(exc: Exception) -> str:
+    """What went wrong, in one line: of an error inside a task, the error that was raised there."""
+    lines = [line.strip() for line in str(exc).splitlines() if line.strip()]
+    raised = [line for line in lines if re.match(r"[A-Za-z_.]*(Error|Exception|Interrupt)\b.*", line)]
+    if isinstance(exc, PythonException) and raised:
+        return raised[-1]
+    return f"{type(exc).__name__}: {lines[0] if lines else ''}"
+
+
 def run_comparison(corpus: DataFrame, extractors: dict, name: str = "object_name") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(results, stats, report) of several extractors, each a function corpus -> results.
 
-    An extractor that cannot even be planned counts as an error on every object
-    and does not keep the others from being compared.
+    The results of each are written by a job of its own. An extractor that cannot be planned, or crashes at
+    work, counts as an error on every object and does not keep the others from being compared.
     """
     parts = []
     for engine, extract in extractors.items():
         try:
             found = extract(corpus)
             scope = [c for c in ("database",) if c in corpus.columns and c in found.columns]
-            parts.append(found.select("engine", *scope, "object_name", "status", "referenced_tables", "referenced_procs", "notes"))
+            parts.append(cut(found.select("engine", *scope, "object_name", "status", "referenced_tables", "referenced_procs", "notes")))
         except Exception as exc:
-            parts.append(failed_results(corpus, engine, ERROR, f"{type(exc).__name__}: {exc}", name))
+            parts.append(failed_results(corpus, engine, ERROR, reason_of(exc), name))
     shared = [c for c in parts[0].columns if all(c in p.columns for p in parts)]
     results = reduce(DataFrame.unionByName, [p.select(*shared) for p in parts])
     spine = corpus.select(*[c for c in ("database",) if c in corpus.columns], F.col(name).alias("object_name"))

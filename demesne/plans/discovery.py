@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +13,10 @@ from demesne.plans import edges as E
 from demesne.plans import packages as K
 from demesne.plans import quality, summary
 from demesne.plans.references import mine, reference_rows
+from demesne.plans.runs import Run
 from demesne.session import cut
 from demesne.sinks import writers
+from demesne.sources.snapshots import read_optional
 
 OBJECT = ["database", "object_type", "source_type", "schema", "object", "source_object"]
 
@@ -157,9 +158,14 @@ def run_discovery(
     earlier_root: str | None = None,
     package_database: str | None = None,
     review_cap: int = 50,
+    source_log: DataFrame | None = None,
 ) -> dict[str, str]:
     """One full run into `root`; returns the path of every relation written.
 
+    Every relation is written by a job of its own: one that fails is empty, is logged as failed with its reason and
+    wall time, and keeps nothing else from being done. The ledger has a row for a run that fails, too, with the counts
+    it reached. `source_log` is what reading the sources had to say (see `run_snapshot`).
+
     With `previous` fingerprints and the `earlier_root` of the last run only
     changed procedures and packages are mined again; everything unchanged is
     carried forward, so the edges of a re-run equal those of a fresh run.
@@ -170,14 +176,32 @@ def run_discovery(
     """
     if earlier_root is not None and earlier_root.rstrip("/") == root.rstrip("/"):
         raise ValueError("a run cannot overwrite the outputs it carries forward; give it another root")
-    started = datetime.now(timezone.utc)
+    run = Run(spark, root, run_id)
+    return run.guarded(lambda run: _discover(run, relations, packages, previous, earlier_root, package_database, review_cap, source_log))
+
+
+def run_snapshot(spark: SparkSession, snapshot: str, names: list[str], packages: DataFrame, root: str, run_id: str, **settings) -> dict[str, str]:
+    """`run_discovery` on the relations of a snapshot, any of which may be absent: it is then empty and logged as absent."""
+    relations, logs = {}, []
+    for name in names:
+        relations[name], entry = read_optional(spark, snapshot, name)
+        logs.append(entry)
+    return run_discovery(spark, relations, packages, root, run_id, source_log=reduce(DataFrame.unionByName, logs), **settings)
+
+
+def _discover(run: Run, relations: dict, packages: DataFrame, previous: DataFrame | None, earlier_root: str | None, package_database: str | None, review_cap: int, source_log: DataFrame | None) -> None:
+    spark, root, run_id, started = run.spark, run.root, run.run_id, run.started
     if package_database is None:
         known = [r[0] for r in relations["databases"].select("name").distinct().limit(2).collect()]
         if len(known) > 1:
             raise ValueError("several databases: name the one that package SQL refers to")
         package_database = known[0] if known else None
-    base = writers.write_entities({k: v for k, v in relations.items() if k not in ("databases", "foreign_keys")}, root)
-    relations = {**relations, **{k: spark.read.parquet(v) for k, v in base.items() if k in relations and k != "foreign_keys"}}
+    relations = dict(relations)
+    for name in [k for k in relations if k not in ("databases", "foreign_keys")]:
+        relations[name] = run.write(name, relations[name])
+    if "constraints" in relations:
+        run.write("foreign_keys", relations["constraints"].filter(F.col("constraint_type") == "FOREIGN_KEY"))
+    base = set(run.paths)
     marks = object_marks(relations, packages)
     state = previous if previous is not None else marks.limit(0).select(
         "*", F.lit("").alias("last_run_id"), F.current_timestamp().alias("last_seen_at")
@@ -188,8 +212,7 @@ def run_discovery(
     keys = ["project", "folder", "name"]
     shredded = K.shred_packages(packages, keys)
     in_database = F.lit(package_database).cast("string").alias("database")
-    first = writers.write_entities({"tasks": shredded["tasks"]}, root)
-    tasks = spark.read.parquet(first["tasks"])
+    tasks = run.write("tasks", shredded["tasks"])
     statements = K.statement_rows(tasks, keys).select(in_database, "*")
     if earlier_root is None:
         mined, mined_sql = mine(text), mine_statements(statements)
@@ -209,9 +232,7 @@ def run_discovery(
         done = spark.read.parquet(f"{earlier_root}/mined_statements").withColumn("object_id", package_id)
         mined_sql = mine_statements(todo).unionByName(done.join(held, "object_id", "left_semi").drop("object_id"))
 
-    first.update(writers.write_entities({"mined_objects": mined, "mined_statements": mined_sql}, root))
-    mined = spark.read.parquet(first["mined_objects"])
-    mined_sql = spark.read.parquet(first["mined_statements"])
+    mined, mined_sql = run.write("mined_objects", mined), run.write("mined_statements", mined_sql)
 
     databases = summary.backfill_counts(relations["databases"], relations)
     names = databases.select(F.col("name").alias("database"))
@@ -238,6 +259,7 @@ def run_discovery(
         review_cap,
     )
     out = {k: v for k, v in relations.items() if k not in base}
+    log = shredded["log"] if source_log is None else shredded["log"].unionByName(source_log)
     out.update(
         databases=databases,
         dependencies=edges,
@@ -250,13 +272,12 @@ def run_discovery(
         database_summary=summary.database_summary(databases, relations),
         review_queue=queue,
         fingerprints=C.upsert_fingerprints(state, marks, run_id, F.lit(started)),
-        run_log=shredded["log"],
     )
-    paths = {**base, **first, **writers.write_entities(out, root)}
-    written = {k: spark.read.parquet(paths[k]) for k in ("dependencies", "packages", "run_log")}
+    written = {name: run.write(name, df) for name, df in out.items()}
+    written["run_log"] = run.write("run_log", log.unionByName(run.log_rows()))
 
     procs = mined.filter("object_type = 'stored_procedure'").select("parse_status", "unresolved_reason")
-    rolled = summary.rollup(databases, {**relations, **written}, summary.needs_review(procs, mined_sql.select("parse_status", "unresolved_reason")))
+    rolled = summary.rollup(databases, {**relations, **{k: written[k] for k in ("dependencies", "packages", "run_log")}}, summary.needs_review(procs, mined_sql.select("parse_status", "unresolved_reason")))
     writers.write_rollup(rolled, f"{root}/rollup_csv")
     writers.write_log(written["run_log"], f"{root}/log_csv")
 
@@ -269,6 +290,5 @@ def run_discovery(
         F.lit(run_id).alias("run_id"), F.lit("failed").alias("action"), F.lit(1).cast("bigint").alias("weight")
     )
     actions = C.change_actions(weighed, F.lit(run_id), F.coalesce("_tasks", F.lit(1))).unionByName(rest).unionByName(failed)
-    ledger = C.ledger_row(C.run_counters(actions), F.lit(started), F.current_timestamp())
-    paths.update(writers.write_entities({"runs": ledger}, root))
-    return paths
+    for row in C.run_counters(actions).collect():  # one run
+        run.reached = {k: row[k] for k in run.reached}

@@ -102,3 +102,26 @@ def failed_engine(t):
     corpus = t["orders"].select(F.col("o_orderkey").cast("string").alias("object_name"))
     results, _, _ = compare.run_comparison(corpus, {"gone": explode})
     return results.select("engine", "object_name", "status", "notes")
+
+
+@query(
+    "failed_engine_at_work",
+    """SELECT e.engine, CAST(o_orderkey AS VARCHAR) AS object_name, CASE WHEN e.engine = 'gone' THEN 'error' ELSE 'resolved' END AS status, CASE WHEN e.engine = 'gone' THEN 'ValueError: cannot read object 7' END AS notes
+FROM orders, (VALUES ('gone'), ('sound')) e(engine)""",
+)
+def failed_engine_at_work(t):
+    """One extractor crashes on one object while its job runs; the other is compared all the same."""
+
+    def read(batches):
+        for batch in batches:
+            if (batch["object_name"] == "7").any():
+                raise ValueError("cannot read object 7")
+            yield batch
+
+    def found(engine, corpus):
+        none = F.array().cast("array<string>")
+        return corpus.select(F.lit(engine).alias("engine"), "object_name", F.lit(compare.RESOLVED).alias("status"), none.alias("referenced_tables"), none.alias("referenced_procs"), F.lit(None).cast("string").alias("notes"))
+
+    corpus = t["orders"].select(F.col("o_orderkey").cast("string").alias("object_name"))
+    results, _, _ = compare.run_comparison(corpus, {"gone": lambda c: found("gone", c.mapInPandas(read, "object_name string")), "sound": lambda c: found("sound", c)})
+    return results.select("engine", "object_name", "status", "notes")

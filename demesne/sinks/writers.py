@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demesne.operators.keyed import after_parts
 from demesne.schemas import schema_of
 from demesne.sources.snapshots import read_snapshot
 
@@ -50,6 +51,22 @@ def write_rollup(rollup: DataFrame, target: str) -> None:
     rows.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)
 
 
+def write_ordered(df: DataFrame, order: list, target: str, parts: int | None = None) -> None:
+    """Part files that follow each other in the order given, each sorted: every task writes its own range."""
+    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).write.mode("overwrite").parquet(target)
+
+
+def read_ordered(spark: SparkSession, target: str, place: str = "place") -> DataFrame:
+    """Rows of `write_ordered` with their place in the whole, told from the number of the part file and of the row in it."""
+    rows = spark.read.parquet(target).select(
+        "*",
+        F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("_part"),
+        F.col("_metadata.row_index").alias("_at"),
+    )
+    return after_parts(rows, "_part", F.col("_at"), place).drop("_at")
+
+
 def write_log(log: DataFrame, target: str) -> None:
     """Per-object log CSV; missing values are empty fields."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LOG_COLUMNS]

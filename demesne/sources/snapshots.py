@@ -72,6 +72,17 @@ def read_jdbc(
     )
 
 
+def read_jdbc_slices(spark: SparkSession, url: str, query: str, properties: dict[str, str], column: str, parts: int) -> DataFrame:
+    """The query read in parallel slices of a column of whole numbers; its bounds come from a query of their own.
+
+    Rows with a NULL there are in the first slice; filters on the result reach the source.
+    """
+    low, high = read_jdbc(spark, url, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM ({query}) b", properties).first()
+    if low is None or parts < 2 or low == high:
+        return read_jdbc(spark, url, query, properties)
+    return read_jdbc(spark, url, query, properties, (column, int(low), int(high) + 1, min(parts, int(high) - int(low) + 1)))
+
+
 def project_listing(projects: DataFrame, folders: DataFrame) -> DataFrame:
     """Deployed projects with their folder."""
     return projects.join(folders.select("folder_id", F.col("name").alias("folder")), "folder_id").select(

@@ -132,3 +132,38 @@ def test_listing_truncate_and_engine_outputs(spark, make, tmp_path):
     report = make([("a", "resolved", ["s.T", "s.U"], "missing", [], False)], "object_name string, x_status string, x_referenced_tables array<string>, y_status string, y_referenced_tables array<string>, tables_agree boolean")
     writers.write_comparison(report, ["x", "y"], str(tmp_path / "r"))
     assert read_csv(tmp_path / "r" / "comparison_report_csv")[0]["x_referenced_tables"] == "s.T; s.U"
+
+
+def test_a_failing_relation_does_not_end_the_run(spark, estate, pkgs, tmp_path):
+    def broken(batches):
+        for batch in batches:
+            raise ValueError("unreadable view")
+            yield batch
+
+    views = estate["views"].mapInPandas(broken, estate["views"].schema)
+    paths = discovery.run_discovery(spark, {**estate, "views": views}, pkgs, str(tmp_path / "one"), "r1", package_database="d")
+    assert spark.read.parquet(paths["views"]).count() == 0
+    log = {(r["object_type"], r["object_name"]): r for r in spark.read.parquet(paths["run_log"]).collect()}
+    assert log["relation", "views"]["status"] == "failed" and log["relation", "views"]["error"] == "ValueError: unreadable view"
+    assert log["relation", "tables"]["status"] == "success" and all(r["duration_ms"] > 0 for k, r in log.items() if k[0] == "relation")
+    assert spark.read.parquet(paths["dependencies"]).count() > 0
+    assert spark.read.parquet(paths["runs"]).first()["objects_failed"] == 2  # the view relation, and a package
+
+
+def test_a_run_that_raises_has_a_ledger_row(spark, estate, pkgs, tmp_path):
+    with pytest.raises(Exception):
+        discovery.run_discovery(spark, estate, pkgs.drop("xml"), str(tmp_path / "one"), "r1", package_database="d")
+    row = spark.read.parquet(str(tmp_path / "one" / "runs")).first()
+    assert row["run_id"] == "r1" and row["finished_at"] >= row["started_at"]
+    phases = {r["phase"]: r for r in spark.read.parquet(str(tmp_path / "one" / "run_phases")).collect()}
+    assert set(phases) == {"started", "failed"} and phases["failed"]["error"]
+
+
+def test_run_of_a_snapshot_with_an_absent_relation(spark, estate, pkgs, tmp_path):
+    for name, df in estate.items():
+        if name != "synonyms":
+            df.write.parquet(str(tmp_path / "snap" / name))
+    paths = discovery.run_snapshot(spark, str(tmp_path / "snap"), list(estate), pkgs, str(tmp_path / "one"), "r1", package_database="d")
+    log = {(r["object_type"], r["object_name"]): r["status"] for r in spark.read.parquet(paths["run_log"]).collect()}
+    assert log["synonyms", str(tmp_path / "snap")] == "absent" and log["views", str(tmp_path / "snap")] == "success"
+    assert spark.read.parquet(paths["synonyms"]).count() == 0 and spark.read.parquet(paths["dependencies"]).count() > 0
