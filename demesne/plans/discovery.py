@@ -180,11 +180,16 @@ def run_discovery(
     return run.guarded(lambda run: _discover(run, relations, packages, previous, earlier_root, package_database, review_cap, source_log))
 
 
-def run_snapshot(spark: SparkSession, snapshot: str, names: list[str], packages: DataFrame, root: str, run_id: str, **settings) -> dict[str, str]:
-    """`run_discovery` on the relations of a snapshot, any of which may be absent: it is then empty and logged as absent."""
+def run_snapshot(
+    spark: SparkSession, snapshot: str, names: list[str], packages: DataFrame, root: str, run_id: str, schemas: dict[str, str] | None = None, **settings
+) -> dict[str, str]:
+    """`run_discovery` on the relations of a snapshot, any of which may be absent: it is then empty and logged as absent.
+
+    `schemas` declares relations that have no schema of their own here.
+    """
     relations, logs = {}, []
     for name in names:
-        relations[name], entry = read_optional(spark, snapshot, name)
+        relations[name], entry = read_optional(spark, snapshot, name, schema=(schemas or {}).get(name))
         logs.append(entry)
     return run_discovery(spark, relations, packages, root, run_id, source_log=reduce(DataFrame.unionByName, logs), **settings)
 

@@ -252,6 +252,7 @@ def _task_columns(kind: Column, name: Column, data: Column, handlers: Column, ow
 
 
 def _task_table(flat: DataFrame, keys: list[str]) -> DataFrame:
+    """Task columns beside the `keys`."""
     cols = _task_columns(F.col("kind"), F.col("task_name"), F.col("data"), F.col("handlers"), F.col("owner"))
     return flat.select(
         *keys,
@@ -284,17 +285,22 @@ def task_rows(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int
     (`own_tasks`). Only packages with more than `depth` levels are read again.
     """
     out, todo = [], packages.withColumn("_source", F.col(xml))
+    rest = [c for c in packages.columns if c != xml and c not in keys]
     while True:
         parsed = parse(todo, xml, depth, ("tasks",)).filter("error is null")
         with _room_for(packages.sparkSession, depth):
             # as the output of a generator, the tasks of a package are flattened once
             flat = parsed.withColumn("package", package_name()).withColumn("_flat", F.explode(F.array(_flat_tasks(depth))))
         open_ = F.coalesce(F.exists("_flat", lambda x: x["cut"]), F.lit(False))
-        out.append(_task_table(flat.filter(~open_).select(*keys, "package", F.inline("_flat")), keys))
-        deeper = cut(flat.filter(open_).select(*[c for c in todo.columns if c != xml]))
+        # The text of a package that goes deeper stays on its first row; all others have done with theirs.
+        rows = flat.select(*keys, *rest, "package", "_source", open_.alias("_open"), F.inline("_flat"))
+        rows = rows.withColumn("_source", F.when(F.col("_open") & (F.col("path") == F.array(F.lit(0))), F.col("_source")))
+        read = cut(_task_table(rows, [*keys, *rest, "_open", "_source"]))  # parsed once, for both uses
+        out.append(read.filter("not _open").drop("_open", "_source", *rest))
+        deeper = read.filter("_source is not null").select(*keys, *rest, "_source")
         if deeper.isEmpty():
             return reduce(DataFrame.unionByName, out)
-        todo, depth = deeper.withColumn(xml, F.col("_source")), 2 * depth
+        todo, depth = cut(deeper).withColumn(xml, F.col("_source")), 2 * depth
 
 
 def own_tasks(tasks: DataFrame) -> DataFrame:

@@ -163,7 +163,8 @@ def test_run_of_a_snapshot_with_an_absent_relation(spark, estate, pkgs, tmp_path
     for name, df in estate.items():
         if name != "synonyms":
             df.write.parquet(str(tmp_path / "snap" / name))
-    paths = discovery.run_snapshot(spark, str(tmp_path / "snap"), list(estate), pkgs, str(tmp_path / "one"), "r1", package_database="d")
+    keys = {"foreign_keys": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in estate["foreign_keys"].schema)}
+    paths = discovery.run_snapshot(spark, str(tmp_path / "snap"), list(estate), pkgs, str(tmp_path / "one"), "r1", keys, package_database="d")
     log = {(r["object_type"], r["object_name"]): r["status"] for r in spark.read.parquet(paths["run_log"]).collect()}
     assert log["synonyms", str(tmp_path / "snap")] == "absent" and log["views", str(tmp_path / "snap")] == "success"
     assert spark.read.parquet(paths["synonyms"]).count() == 0 and spark.read.parquet(paths["dependencies"]).count() > 0
