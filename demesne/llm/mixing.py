@@ -10,15 +10,10 @@ that comes first by name). That keeps every source less than one block from its
 whatever the number of sources; nothing is dropped or repeated.
 
 The slots are dealt one after the other, in one task, from a row of numbers for each source, and
-are sent to the documents as arrays of numbers: one number for `block_chars` characters.
+meet the documents as arrays of numbers: one number for `block_chars` characters.
 Running sums inside a source are taken per hash bucket and then over buckets, so a source with a
 third of all rows is spread like any other.
 
-`rounded` schedules cut time into frames instead, in which a source has a whole number of blocks, at
-least 1: the mixture that the SQL of op3_source_mixing states. Their shares are the rounded weights
-and miss the weights given, by more the more sources there are. Frames with the same counts have the
-same order, and counts change only where a source runs out, so there are at most two orders a source.
-
 Defined results: a null source is a source of its own, named ''; sources without a target weight
 share the least weight given (or 1); null and empty texts count as one character; equal keys order
 by a hash of the text; an empty table gives no rows; other columns are kept as they are.
@@ -29,8 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Characters in a block, blocks in a whole frame (or dealt at a time), and slots of a source in a row.
+from demesne.session import cut
+
+#: Characters in a block, blocks dealt at a time, and slots of a source in a row.
 BLOCK_CHARS, FRAME, STRETCH = 20_000, 200, 256
+#: Rows of STRETCH numbers that are sent to every task at most (4 MB).
+SENT_STRETCHES = 2_000
 #: What sums of weights may be off by, in slots; and the deadline of a source without blocks.
 SLACK, NEVER = 1e-6, 1 << 62
 #: Leading hex digits of the hashed order that make a bucket inside a source.
@@ -145,61 +144,22 @@ def slots(counts: DataFrame, weights: DataFrame | None = None, at_a_time: int =
     return each.groupBy("_s", "_stretch").agg(F.sort_array(F.collect_list("_x")).alias("_x")).select("_s", "_stretch", F.col("_x.slot").alias("_slots"))
 
 
-def frames(counts: DataFrame, weights: DataFrame | None = None, frame: int = FRAME) -> DataFrame:
-    """Runs of frames with equal counts: _s, _c, _first (its first block there), _f0, _f1, _slot0, _order.
-
-    counts has a row a source, so its collected lists are bounded by the number of sources.
-    """
-    raw = _weighted(counts, weights)
-    every = Window.partitionBy()
-    share = F.greatest(F.round(F.col("_w") / F.sum("_w").over(every) * frame), F.lit(1)).cast("long")
-    per = raw.select("_s", "_blocks", share.alias("_a"))
-    # A source lasts floor(blocks / a) whole frames; then one frame with what is left, if anything.
-    per = per.select("*", F.floor(F.col("_blocks") / F.col("_a")).alias("_whole"), F.ceil(F.col("_blocks") / F.col("_a")).alias("_ends"))
-    edges = per.select(F.explode(F.array("_whole", "_ends", F.lit(0).cast("long"))).alias("_f0")).distinct()
-    runs = edges.select("_f0", F.lead("_f0").over(Window.orderBy("_f0")).alias("_f1")).where("_f1 is not null")
-    left = F.greatest(F.least(F.col("_a"), F.col("_blocks") - F.col("_f0") * F.col("_a")), F.lit(0)).alias("_c")
-    # A run of frames meets the sources once each: at most two runs a source.
-    cells = runs.join(F.broadcast(per), F.col("_ends") > F.col("_f0")).select("_f0", "_f1", "_s", left, (F.col("_f0") * F.col("_a")).alias("_first"), F.col("_a"))
-    packed = cells.groupBy("_f0", "_f1").agg(F.sort_array(F.collect_list(F.struct("_s", "_c", "_first"))).alias("_cells"))
-    packed = packed.withColumn("_m", F.aggregate("_cells", F.lit(0).cast("long"), lambda a, x: a + x["_c"]))
-    slots = (F.col("_f1") - F.col("_f0")) * F.col("_m")
-    packed = packed.withColumn("_slot0", F.coalesce(F.sum(slots).over(Window.orderBy("_f0").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return packed.withColumn("_order", edf_order(F.transform("_cells", lambda x: x["_c"])))
-
-
 def _placed(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame: int, carry: list[str]) -> DataFrame:
     """The columns to carry of each row as _row, with the global slot of its block and its place inside it."""
-    plan = slots(block_counts(docs, block_chars), weights, frame)
+    plan = cut(slots(block_counts(docs, block_chars), weights, frame))
     placed = blocks(docs, block_chars, carry).withColumn("_stretch", F.floor(F.col("_block") / STRETCH))
-    # Numbers only, one for each block: sent to every task, so that texts are not dealt again.
-    placed = placed.join(F.broadcast(plan), ["_s", "_stretch"])
+    # While the numbers, one for each block, are few, they are sent to every task, and texts are not dealt again; else both sides
+    # meet by stretch, of which a source with a third of all rows has many.
+    few = plan.limit(SENT_STRETCHES + 1).count() <= SENT_STRETCHES
+    placed = placed.join(F.broadcast(plan) if few else plan.hint("shuffle_merge"), ["_s", "_stretch"])
     slot = F.element_at("_slots", (F.col("_block") % STRETCH + 1).cast("int"))
     return placed.select("_row", "_id", slot.alias("slot"), (F.col("_at") % block_chars).alias("place"))
 
 
-def _placed_in_frames(docs: DataFrame, weights: DataFrame | None, block_chars: int, frame: int, carry: list[str]) -> DataFrame:
-    """As _placed, by the rounded weights of frames."""
-    runs = frames(block_counts(docs, block_chars), weights, frame)
-    # One row for each source and block of a frame: its slots inside the frame, in order.
-    cells = runs.select("_f0", "_f1", "_m", "_slot0", "_order", F.posexplode("_cells").alias("_i", "_cell"))
-    slots = F.filter(F.transform("_order", lambda s, t: F.when(s == F.col("_i"), t)), lambda t: t.isNotNull())
-    cells = cells.select("_f0", "_f1", "_m", "_slot0", F.col("_cell._s").alias("_s"), F.col("_cell._c").alias("_c"), F.col("_cell._first").alias("_first"), slots.alias("_slots"))
-    # All runs of a source in one row, so that each document meets one row.
-    plan = cells.groupBy("_s").agg(F.sort_array(F.collect_list(F.struct("_first", "_c", "_m", "_slot0", "_slots"))).alias("_plan"))
-    placed = blocks(docs, block_chars, carry).join(plan, "_s")
-    run = F.element_at(F.filter("_plan", lambda x: x["_first"] <= F.col("_block")), -1)
-    placed = placed.withColumn("_run", run)
-    off = F.col("_block") - F.col("_run._first")
-    slot = F.col("_run._slot0") + F.floor(off / F.col("_run._c")) * F.col("_run._m") + F.element_at("_run._slots", (off % F.col("_run._c") + 1).cast("int"))
-    return placed.select("_row", "_id", slot.alias("slot"), (F.col("_at") % block_chars).alias("place"))
-
-
-def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME, columns: list[str] | None = None, rounded: bool = False) -> DataFrame:
+def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME, columns: list[str] | None = None) -> DataFrame:
     """Each document with the global slot of its block and its place inside it: the columns asked for (all), slot, place."""
     carry = [c for c in columns or docs.columns if c.lower() not in ("slot", "place")]
-    place = _placed_in_frames if rounded else _placed
-    return place(docs, weights, block_chars, frame, carry).select("_row.*", "slot", "place")
+    return _placed(docs, weights, block_chars, frame, carry).select("_row.*", "slot", "place")
 
 
 def mix_in_order(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME) -> DataFrame:

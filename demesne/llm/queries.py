@@ -41,27 +41,19 @@ def op2(spark, sf_dir):
 
 _OP3 = f"""WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(source, '') AS s, greatest(length(coalesce(text, '')), 1) AS n, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 p AS (SELECT doc_id, source, s, coalesce(sum(n) OVER (PARTITION BY s ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x FROM d),
-b AS (SELECT s, (sum(n) + {mixing.BLOCK_CHARS - 1}) // {mixing.BLOCK_CHARS} AS b FROM d GROUP BY 1),
-a AS (SELECT s, b, CAST(greatest(round(sqrt(b) / sum(sqrt(b)) OVER () * {mixing.FRAME}), 1) AS BIGINT) AS a FROM b),
-e AS (SELECT s, CAST(b AS BIGINT) AS b, a, CAST(b // a AS BIGINT) AS w, CAST((b + a - 1) // a AS BIGINT) AS z FROM a),
-f AS (SELECT f0, lead(f0) OVER (ORDER BY f0) AS f1 FROM (SELECT w AS f0 FROM e UNION SELECT z FROM e UNION SELECT 0)),
-c AS (SELECT f0, f1, s, least(a, b - f0 * a) AS c, f0 * a AS first FROM f JOIN e ON z > f0 WHERE f1 IS NOT NULL),
-r AS (SELECT f0, f1, sum(c) AS m, list(c ORDER BY s) AS cs, list(s ORDER BY s) AS ss FROM c GROUP BY 1, 2),
-q AS (SELECT f0, CAST(m AS BIGINT) AS m, cs, ss, coalesce(sum((f1 - f0) * m) OVER (ORDER BY f0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS slot0 FROM r),
-g AS (SELECT f0, m, cs, CAST(-1 AS BIGINT) AS t, list_transform(cs, lambda v: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS pick FROM q
-  UNION ALL SELECT f0, m, cs, t, list_transform(range(1, len(cs) + 1), lambda i: done[i] + CASE WHEN i = pick THEN 1 ELSE 0 END), pick FROM (SELECT f0, m, cs, t + 1 AS t, done,
-    list_min(list_transform(range(1, len(cs) + 1), lambda i: CASE WHEN done[i] < cs[i] AND done[i] * m // cs[i] <= t + 1 THEN ((done[i] + 1) * m + cs[i] - 1) // cs[i] * 1048576 + i ELSE 4611686018427387904 END)) % 1048576 AS pick
-    FROM g WHERE t + 1 < m)),
-o AS (SELECT g.f0, ss[pick] AS s, t, row_number() OVER (PARTITION BY g.f0, pick ORDER BY t) - 1 AS k FROM g JOIN q ON q.f0 = g.f0 WHERE t >= 0),
-y AS (SELECT p.*, x // {mixing.BLOCK_CHARS} AS block, max(c.f0) AS f0 FROM p JOIN c ON c.s = p.s AND c.first <= x // {mixing.BLOCK_CHARS} GROUP BY ALL)
-SELECT y.doc_id, y.source, CAST(slot0 + (block - first) // c * m + t AS BIGINT) AS slot, CAST(x % {mixing.BLOCK_CHARS} AS BIGINT) AS place
-FROM y JOIN c ON c.s = y.s AND c.f0 = y.f0 JOIN q ON q.f0 = y.f0 JOIN o ON o.f0 = y.f0 AND o.s = y.s AND o.k = (block - first) % c"""
+w AS (SELECT s, b, sqrt(b) AS w, row_number() OVER (ORDER BY s) AS i FROM (SELECT s, CAST((sum(n) + {mixing.BLOCK_CHARS - 1}) // {mixing.BLOCK_CHARS} AS BIGINT) AS b FROM d GROUP BY 1)),
+e AS (SELECT i, k, (SELECT sum(least(z.b, z.w * (k / q.w))) FROM w z) AS x, (SELECT sum(least(z.b, z.w * ((k + 1) / q.w))) FROM w z) AS y FROM (SELECT i, w, unnest(range(0, b)) AS k FROM w) q),
+l AS (SELECT list(f ORDER BY i) AS f, list(u ORDER BY i) AS u, sum(len(f)) AS m FROM (SELECT i, list(CAST(floor(x + {mixing.SLACK}) AS BIGINT) ORDER BY k) AS f, list(CAST(ceil(y - {mixing.SLACK}) AS BIGINT) ORDER BY k) AS u FROM e GROUP BY i)),
+g AS (SELECT f, u, m, CAST(-1 AS BIGINT) AS t, list_transform(f, lambda v: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS pick FROM l
+  UNION ALL SELECT f, u, m, t, done, list_min(list_transform(range(1, len(f) + 1), lambda i: CASE WHEN done[i] < len(f[i]) AND f[i][done[i] + 1] <= t THEN u[i][done[i] + 1] * 1048576 + i ELSE 4611686018427387904 END)) % 1048576
+    FROM (SELECT f, u, m, t + 1 AS t, list_transform(range(1, len(f) + 1), lambda i: done[i] + CASE WHEN i = pick THEN 1 ELSE 0 END) AS done FROM g WHERE t + 1 < m)),
+o AS (SELECT pick AS i, t, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM g WHERE t >= 0)
+SELECT p.doc_id, p.source, o.t AS slot, CAST(x % {mixing.BLOCK_CHARS} AS BIGINT) AS place FROM p JOIN w ON w.s = p.s JOIN o ON o.i = w.i AND o.k = x // {mixing.BLOCK_CHARS}"""
 
 
 @register("op3_source_mixing", _OP3)
 def op3(spark, sf_dir):
-    # Its SQL states the shares rounded to a frame.
-    return mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id", "source"], rounded=True)
+    return mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id", "source"])
 
 
 @register("op4_token_ids")
