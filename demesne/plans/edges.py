@@ -158,14 +158,15 @@ def write_edges(tasks: DataFrame) -> DataFrame:
     return _edges(rows, F.col("package"), "package", target, None, "writes", WRITES, XML_PARSED)
 
 
-def type_edges(columns: DataFrame, types: DataFrame) -> DataFrame:
+def type_edges(columns: DataFrame, types: DataFrame, order: list[str] | None = None) -> DataFrame:
     """table -> user-defined type or XML schema collection of its columns.
 
     columns: database, table_name, data_type, xml_schema_collection; types: database, name.
-    Column types carry no schema, so they are matched on the bare name. Both uses
-    are rows of one pass over the columns.
+    Column types carry no schema, so they are matched on the bare name; of several types the last by
+    `order` (columns of types) counts. Both uses are rows of one pass over the columns.
     """
-    catalog = bare_catalog(types.select("database", "name").distinct(), ["database"], "name", [], "type_name")
+    order = order or []
+    catalog = bare_catalog(types.select("database", "name", *order).distinct(), ["database"], "name", order, "type_name")
     uses = F.array(
         F.struct(F.lit("user_defined_type").alias("kind"), type_key("data_type").alias("key")),
         F.struct(F.lit("xml_schema_collection").alias("kind"), F.col("xml_schema_collection").alias("key")),

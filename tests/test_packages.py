@@ -142,3 +142,13 @@ def test_sql_files_and_batches(spark, tmp_path):
     got = files.split_batches(df, "text").orderBy("batch_no").select("batch").collect()
     assert [r[0] for r in got] == ["SELECT 1", "SELECT 2 -- GO"]
     assert df.filter(F.length("text") > 0).count() == 1
+
+
+def test_handler_sql_in_any_spelling(make):
+    """Single quotes, another order of attributes and CDATA in an event handler are read alike."""
+    sql = "<DTS:Executable DTS:ExecutableType='Microsoft.ExecuteSQLTask'><DTS:ObjectData><SQLTask:SqlTaskData xmlns:SQLTask='www.microsoft.com/sqlserver/dts/tasks/sqltask' SQLTask:Connection='c' SQLTask:SqlStatementSource='EXEC s.a \"x\"' SQLTask:Timeout='1'/></DTS:ObjectData></DTS:Executable>"
+    flow = "<DTS:Executable><DTS:ObjectData><pipeline><components><component><properties><property dataType='s' name='SqlCommand'><![CDATA[SELECT 1 WHERE 1 < 2]]></property></properties></component></components></pipeline></DTS:ObjectData></DTS:Executable>"
+    handler = f"<DTS:EventHandlers><DTS:EventHandler><DTS:Executables>{sql}{flow}</DTS:Executables></DTS:EventHandler></DTS:EventHandlers>"
+    xml = package(task("STOCK:SEQUENCE", "box", f"<DTS:Executables>{sql_task('one', 'SELECT 0').replace('</DTS:Executable>', handler + '</DTS:Executable>')}</DTS:Executables>"))
+    got = [(r["task_name"], r["sql_text"]) for r in K.statement_rows(K.task_rows(rows(make, xml), ["name"]), ["name"]).collect()]
+    assert sorted(got) == [("one", 'EXEC s.a "x"'), ("one", "SELECT 0"), ("one", "SELECT 1 WHERE 1 < 2")]
