@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from demesne.llm.common import pieces
 from demesne.session import cut
 
-#: Words that a tree of cells is fitted on, points of a block, most cells, points of a leaf within a block.
+#: Words that a tree of cells is fitted on (as expected, and at most twice as many), points of a block, most cells, points of a leaf within a block.
 SAMPLE, BLOCK, CELLS, LEAF = 50_000, 20_000, 4096, 32
 #: Words from this length on share a tree.
 LONG = 64
@@ -197,7 +197,9 @@ def _fit(words: DataFrame) -> dict[int, Tree]:
     total = {r.size: r.n for r in words.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()}
     all_ = sum(total.values())
     sample: dict[int, list[str]] = {k: [] for k in total}
-    for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE).collect():
+    # Told by a hash, so that no more than the sample leaves the tasks.
+    share = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(all_, 1)))
+    for r in words.where(share).select("word").limit(2 * SAMPLE).collect():
         sample[min(len(r.word), LONG)].append(r.word)
     trees = {}
     for k, chosen in sample.items():
