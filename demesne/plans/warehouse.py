@@ -160,6 +160,8 @@ def _chains(links: DataFrame) -> DataFrame:
 def _longest(pairs: DataFrame) -> DataFrame:
     """(u, v, w) for all u that v waits for: the longest distance, by squaring; what waits for itself is told, and not walked through again."""
     far, told = cut(pairs), None
+    if far.isEmpty():
+        return far
     while True:
         loops = far.filter("u = v").select(F.col("v").alias("x"))
         inner = far.join(loops, far["v"] == loops["x"], "left_anti")
