@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from demesne.session import cut
+from demesne.session import cut, dealt
 
 
 def summary_per_parent(parent: DataFrame, child: DataFrame, key: str, counted: str, summed: Column, n: str, total: str) -> DataFrame:
@@ -109,32 +109,32 @@ def run_order(nodes: DataFrame, edges: DataFrame, scope: list[str], node: str, s
     Tasks with several wait for each other by longest distances, which are squared (longest of two halves) until
     nothing changes; these pairs are as many as such tasks reach each other, chains between them being folded.
     A task on a cycle, or behind one, never becomes ready and has a NULL step. Edges from tasks that are not among
-    the nodes hold nothing up.
+    the nodes hold nothing up. Both sides of every join are dealt by key: none is collected in the driver.
     """
     key = F.struct(*scope, node).alias("v")
     all_ = nodes.select(key).distinct()
     pairs = edges.select(F.struct(*scope, F.col(source).alias(node)).alias("u"), F.struct(*scope, F.col(target).alias(node)).alias("v")).distinct()
-    waits = cut(pairs.join(all_.withColumnRenamed("v", "u"), "u", "left_semi").join(all_, "v", "left_semi"))
+    waits = cut(pairs.join(dealt(all_.withColumnRenamed("v", "u")), "u", "left_semi").join(dealt(all_), "v", "left_semi"))
     before = cut(waits.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u")))
     chains = _chains(before.filter("n = 1").select("v", F.col("u").alias("r"), F.lit(1).cast("long").alias("d")))
     # What each task with several predecessors waits for: the ends of chains, at their distance; `stuck` where a chain has no end.
     merges = before.filter("n > 1").select("v")
     own = chains.select(F.col("v").alias("u"), "r", "d", "stuck")
-    held = waits.join(merges, "v").join(own, "u", "left").select(
+    held = waits.join(dealt(merges), "v").join(dealt(own), "u", "left").select(
         "v", F.coalesce("r", "u").alias("u"), (F.coalesce("d", F.lit(0)) + 1).alias("w"), F.coalesce("stuck", F.lit(False)).alias("stuck")
     )
-    held = cut(held.join(merges.select(F.col("v").alias("u"), F.lit(True).alias("inner")), "u", "left"))
+    held = cut(held.join(dealt(merges.select(F.col("v").alias("u"), F.lit(True).alias("inner"))), "u", "left"))
     base = held.groupBy("v").agg(F.max(F.when(F.col("inner").isNull(), F.col("w"))).alias("b"), F.max("stuck").alias("stuck"))
     far = _longest(held.filter("inner").groupBy("u", "v").agg(F.max("w").alias("w")))
     cyclic = far.filter("u = v").select("v", F.lit(True).alias("loop")).distinct()
-    base = cut(base.join(cyclic, "v", "left").select("v", "b", (F.col("stuck") | F.col("loop").isNotNull()).alias("stuck")))
-    over = far.filter("u <> v").join(base.select(F.col("v").alias("u"), "b", "stuck"), "u").select("v", (F.col("b") + F.col("w")).alias("b"), "stuck")
+    base = cut(base.join(dealt(cyclic), "v", "left").select("v", "b", (F.col("stuck") | F.col("loop").isNotNull()).alias("stuck")))
+    over = far.filter("u <> v").join(dealt(base.select(F.col("v").alias("u"), "b", "stuck")), "u").select("v", (F.col("b") + F.col("w")).alias("b"), "stuck")
     steps = base.unionByName(over).groupBy("v").agg(F.max("b").alias("b"), F.max("stuck").alias("stuck"))
     steps = steps.select("v", F.when(~F.col("stuck"), F.col("b")).alias("step"), F.lit(True).alias("known"))
-    ends = chains.join(steps.withColumnRenamed("v", "r"), "r", "left")
+    ends = chains.join(dealt(steps.withColumnRenamed("v", "r")), "r", "left")
     step = F.when(~F.col("stuck") & (F.col("known").isNull() | F.col("step").isNotNull()), F.coalesce("step", F.lit(0)) + F.col("d"))
     placed = steps.select("v", "step").unionByName(ends.select("v", step.alias("step"))).withColumn("placed", F.lit(True))
-    out = all_.join(placed, "v", "left").withColumn("step", F.when(F.col("placed").isNull(), 0).otherwise(F.col("step")).cast("int"))
+    out = all_.join(dealt(placed), "v", "left").withColumn("step", F.when(F.col("placed").isNull(), 0).otherwise(F.col("step")).cast("int"))
     return out.select("v.*", "step")
 
 
@@ -147,7 +147,7 @@ def _chains(links: DataFrame) -> DataFrame:
     while True:
         for _ in range(2):
             onward = links.select(F.col("v").alias("r"), F.col("r").alias("r2"), F.col("d").alias("d2"))
-            links = links.select("v", "r", "d").join(onward, "r", "left").select(
+            links = links.select("v", "r", "d").join(dealt(onward), "r", "left").select(
                 "v", F.coalesce("r2", "r").alias("r"), (F.col("d") + F.coalesce("d2", F.lit(0))).alias("d"), F.col("r2").isNotNull().alias("stuck")
             )
         seen = Observation()
@@ -164,9 +164,9 @@ def _longest(pairs: DataFrame) -> DataFrame:
         return far
     while True:
         loops = far.filter("u = v").select(F.col("v").alias("x"))
-        inner = far.join(loops, far["v"] == loops["x"], "left_anti")
+        inner = far.join(dealt(loops), far["v"] == loops["x"], "left_anti")
         half = inner.select("u", F.col("v").alias("m"), F.col("w").alias("w1"))
-        twice = half.join(inner.filter("u <> v").select(F.col("u").alias("m"), "v", F.col("w").alias("w2")), "m").select("u", "v", (F.col("w1") + F.col("w2")).alias("w"))
+        twice = half.join(dealt(inner.filter("u <> v").select(F.col("u").alias("m"), "v", F.col("w").alias("w2"))), "m").select("u", "v", (F.col("w1") + F.col("w2")).alias("w"))
         seen = Observation()
         far = far.unionByName(twice).groupBy("u", "v").agg(F.max("w").alias("w"))
         # Distances to a task that waits for itself mean nothing, so they are not counted as changes.

@@ -60,3 +60,9 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def dealt(side: DataFrame) -> DataFrame:
+    """A side of a join that is met by key in the executors, however small: a job of many rounds would else leave
+    one broadcast after the other in the driver."""
+    return side.hint("merge")

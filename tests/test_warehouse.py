@@ -84,3 +84,11 @@ def test_watermark_reaches_the_scan(spark, tmp_path):
     assert df.count() == 4
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(m,5)" in plan
+
+
+def test_run_order_broadcasts_nothing(make):
+    tasks = make([("p", f"t{i}") for i in range(6)], "scope string, task string")
+    links = make([("p", f"t{i}", f"t{i + 1}") for i in range(4)] + [("p", "t0", "t3")], "scope string, a string, b string")
+    out = W.run_order(tasks, links, ["scope"], "task", "a", "b")
+    assert sorted((r["task"], r["step"]) for r in out.collect()) == [("t0", 0), ("t1", 1), ("t2", 2), ("t3", 3), ("t4", 4), ("t5", 0)]
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
