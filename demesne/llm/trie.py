@@ -8,8 +8,8 @@
 3. A node is a distinct name: its members, smallest member and last text's size are one aggregate.
 4. Subtree totals: a round rakes all leaves into their parents and compresses chains by splicing out every
    node that has a single child and stands lower than both its neighbours by the trailing zeros of its depth.
-   Half of a chain goes in each round, so rounds grow with the logarithm of the depth, and a round is an aggregate and two
-   joins of unique keys. What was spliced out keeps what it adds to the node it points to; these pointers
+   Half of a chain goes in each round, so rounds grow with the logarithm of the depth, and a round is two aggregates
+   by whole-number keys in one job. What was spliced out keeps what it adds to the node it points to; these pointers
    are doubled until they end at raked nodes, whose totals are known, and so every node has its total.
 5. The members that end at a node are written in order as pieces of text within range partitions, and the
    digest runs over the pieces, so nothing holds all of them.
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demesne.llm.common import mix
-from demesne.session import cut
+from demesne.session import cut, dealt
 
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _WRAP = (1 << 64) - 1
@@ -188,50 +188,57 @@ def _height(depth: str) -> Column:
 
 
 def subtree_totals(tree: DataFrame, values: list[str]) -> DataFrame:
-    """name and, for each of `values`, its sum over the subtree; from name, parent (null: root), depth, n_children and the values."""
-    zero = F.lit(0).cast("long")
+    """name and, for each of `values`, its sum over the subtree; from name, parent (null: root), depth, n_children and the values.
+
+    Names may be of any type; long ones are the cheapest. Nodes and what they tell others meet in aggregates by name, two a round and
+    one job, so the driver plans few jobs and holds no side of a join.
+    """
+    zero, name = F.lit(0).cast("long"), tree.schema["name"].dataType
+    none, nil = F.lit(None).cast("long"), F.lit(None).cast(name)
     alive = cut(tree.select("name", "parent", "depth", (F.col("depth") - 1).alias("above"), F.col("n_children").alias("m"), *values, *(zero.alias(f"{v}_edge") for v in values)))
     raked, spliced = [], []
     while not alive.isEmpty():
         leaf = F.col("m") == 0
         raked.append(alive.where(leaf).select("name", *values))
-        up = alive.where("parent is not null").groupBy(F.col("parent").alias("name")).agg(
-            F.count(F.when(~leaf, 1)).alias("left"), F.max(F.when(~leaf, F.col("name"))).alias("only"), F.max(F.when(~leaf, F.col("depth"))).alias("below"),
-            *(F.sum(F.when(leaf, F.col(v) + F.col(f"{v}_edge")).otherwise(0)).alias(f"{v}_in") for v in values),
-            *(F.sum(F.when(~leaf, F.col(f"{v}_edge")).otherwise(0)).alias(f"{v}_down") for v in values),
+        own = [F.when(~leaf, F.col("name")).alias("name"), F.col("parent"), F.col("depth"), F.col("above"), zero.alias("left"), nil.alias("only"), none.alias("below")]
+        own += [c for v in values for c in (F.col(v), F.col(f"{v}_edge"), zero.alias(f"{v}_down"))]
+        told = [F.col("parent").alias("name"), nil.alias("parent"), none.alias("depth"), none.alias("above"), F.when(leaf, 0).otherwise(1).cast("long").alias("left")]
+        told += [F.when(~leaf, F.col("name")).alias("only"), F.when(~leaf, F.col("depth")).alias("below")]
+        for v in values:
+            told += [F.when(leaf, F.col(v) + F.col(f"{v}_edge")).otherwise(zero).alias(v), zero.alias(f"{v}_edge"), F.when(leaf, zero).otherwise(F.col(f"{v}_edge")).alias(f"{v}_down")]
+        rest = _told(alive, own, told).groupBy("name").agg(
+            *(F.max(c).alias(c) for c in ("parent", "depth", "above", "only", "below")), F.sum("left").alias("left"),
+            *(F.sum(f"{v}{k}").alias(f"{v}{k}") for v in values for k in ("", "_edge", "_down")),
         )
         goes = (F.col("left") == 1) & F.col("parent").isNotNull() & (_height("depth") < _height("above")) & (_height("depth") < _height("below"))
-        rest = alive.where(~leaf).join(up, "name").select(
-            "name", "parent", "depth", "above", F.col("left").alias("m"), "only", goes.alias("goes"),
-            *((F.col(v) + F.col(f"{v}_in")).alias(v) for v in values), *(f"{v}_edge" for v in values), *(f"{v}_down" for v in values),
-        )
-        rest = cut(rest)
-        out = rest.where("goes")
-        spliced.append(out.select("name", F.col("only").alias("to"), *((F.col(v) + F.col(f"{v}_down")).alias(v) for v in values)))
-        # The child of a node that goes hangs below its parent from now on, and carries its values along.
-        moved = out.select(F.col("only").alias("name"), F.col("parent").alias("new_parent"), F.col("above").alias("new_above"), *((F.col(v) + F.col(f"{v}_edge")).alias(f"{v}_more") for v in values))
-        kept = rest.where(~F.col("goes")).join(moved, "name", "left")
-        gone = F.col("new_above").isNotNull()
-        alive = cut(
-            kept.select(
-                "name", F.when(gone, F.col("new_parent")).otherwise(F.col("parent")).alias("parent"), "depth", F.when(gone, F.col("new_above")).otherwise(F.col("above")).alias("above"), "m",
-                *values, *((F.col(f"{v}_edge") + F.coalesce(f"{v}_more", zero)).alias(f"{v}_edge") for v in values),
-            )
+        rest = rest.withColumn("goes", F.coalesce(goes, F.lit(False)))
+        # What goes keeps the node it points to. Its child hangs below its parent from now on, and carries its values along.
+        own = [F.col("name"), F.col("parent"), F.col("depth"), F.col("above"), F.col("left").alias("m"), F.when(F.col("goes"), F.col("only")).alias("to"), nil.alias("new_parent"), none.alias("new_above")]
+        own += [c for v in values for c in ((F.col(v) + F.when(F.col("goes"), F.col(f"{v}_down")).otherwise(zero)).alias(v), F.col(f"{v}_edge"))]
+        told = [F.when(F.col("goes"), F.col("only")).alias("name"), nil.alias("parent"), none.alias("depth"), none.alias("above"), zero.alias("m"), nil.alias("to"), F.col("parent").alias("new_parent"), F.col("above").alias("new_above")]
+        told += [c for v in values for c in (zero.alias(v), (F.col(v) + F.col(f"{v}_edge")).alias(f"{v}_edge"))]
+        after = _told(rest, own, told).groupBy("name").agg(
+            F.coalesce(F.max("new_parent"), F.max("parent")).alias("parent"), F.max("depth").alias("depth"), F.coalesce(F.max("new_above"), F.max("above")).alias("above"),
+            F.sum("m").alias("m"), F.max("to").alias("to"), *(F.sum(f"{v}{k}").alias(f"{v}{k}") for v in values for k in ("", "_edge")),
         )
+        after = cut(after)
+        spliced.append(after.where("to is not null").select("name", "to", *values))
+        alive = after.where("to is null").drop("to")
     if not raked:
         return tree.select("name", *values)
-    known = _all(raked)
-    if not spliced:
-        return known
-    links = cut(_all(spliced))
-    while True:
+    known, links = _all(raked), _all(spliced)
+    # What was spliced out points to a node that goes in a later round, so no way is longer than there are rounds.
+    for _ in range((len(spliced) - 1).bit_length()):
+        links = cut(links)
         far = links.select(F.col("name").alias("to"), F.col("to").alias("next"), *(F.col(v).alias(f"{v}_next") for v in values))
-        links = cut(links.join(far, "to", "left").select("name", F.coalesce("next", "to").alias("to"), *((F.col(v) + F.coalesce(f"{v}_next", zero)).alias(v) for v in values), F.col("next").isNotNull().alias("open")))
-        if links.where("open").isEmpty():
-            break
-        links = links.drop("open")
+        links = links.join(dealt(far), "to", "left").select("name", F.coalesce("next", "to").alias("to"), *((F.col(v) + F.coalesce(f"{v}_next", zero)).alias(v) for v in values))
     ends = known.select(F.col("name").alias("to"), *(F.col(v).alias(f"{v}_end") for v in values))
-    return known.union(links.join(ends, "to").select("name", *((F.col(v) + F.col(f"{v}_end")).alias(v) for v in values)))
+    return known.union(links.join(dealt(ends), "to").select("name", *((F.col(v) + F.col(f"{v}_end")).alias(v) for v in values)))
+
+
+def _told(rows: DataFrame, own: list[Column], told: list[Column]) -> DataFrame:
+    """Each row as it goes on itself and as what it tells another; either is left out where its name is null."""
+    return rows.select(F.inline(F.array(F.struct(*own), F.struct(*told)))).where("name is not null")
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -292,14 +299,19 @@ def conversation_trie(turns: DataFrame, of: Column | None = None, head: Column |
     own = numbered(turns)
     rows = cut(prefixes(rebuilt(own, of if of is not None else F.col("c"), head if head is not None else F.lit(0), most)))
     nodes = rows.groupBy("name").agg(F.min("c").alias("conv_id"), F.first("depth").alias("depth"), F.first("parent").alias("parent"), F.max("size").alias("size"), F.count(F.lit(1)).alias("n_convs"))
+    nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()))
+    top = nodes.where("depth = 0").select("id", "conv_id").first()  # the root, one row
+    above = nodes.where("depth > 0").select(F.col("name").alias("parent"), F.col("id").alias("up"), F.col("conv_id").alias("over"))
+    first = F.col("depth") == 1
+    nodes = nodes.join(above, "parent", "left").select(
+        "id", "name", "conv_id", "depth", "size", "n_convs", F.when(first, F.lit(top.id if top else None).cast("long")).otherwise(F.col("up")).alias("up"),
+        F.when(first, F.lit(top.conv_id if top else None).cast("long")).otherwise(F.col("over")).alias("parent_conv_id"),
+    )
     nodes = cut(nodes)
-    kids = nodes.where("parent is not null").groupBy(F.col("parent").alias("name")).agg(F.count(F.lit(1)).alias("n_children"))
-    nodes = cut(nodes.join(kids, "name", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long"))))
-    valued = nodes.select("name", "parent", "depth", "n_children", F.when(F.col("n_children") == 0, 1).otherwise(0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("size")).alias("saved_tokens"))
-    totals = subtree_totals(valued, ["n_leaves", "saved_tokens"])
-    top = nodes.where("depth = 0").select("conv_id").first()  # the root's own key, one row
-    over = nodes.select(F.col("name").alias("parent"), F.col("conv_id").alias("over")).where("depth > 0")
-    out = nodes.join(totals, "name").join(list_digests(rows.where("ends")), "name", "left").join(over, "parent", "left")
-    parent = F.when(F.col("depth") == 1, F.lit(top.conv_id if top else None).cast("long")).otherwise(F.col("over"))
+    kids = nodes.where("up is not null").groupBy(F.col("up").alias("id")).agg(F.count(F.lit(1)).alias("n_children"))
+    nodes = cut(nodes.join(dealt(kids), "id", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long"))))
+    valued = nodes.select(F.col("id").alias("name"), F.col("up").alias("parent"), "depth", "n_children", F.when(F.col("n_children") == 0, 1).otherwise(0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("size")).alias("saved_tokens"))
+    totals = subtree_totals(valued, ["n_leaves", "saved_tokens"]).withColumnRenamed("name", "id")
+    out = nodes.join(dealt(totals), "id").join(dealt(list_digests(rows.where("ends"))), "name", "left")
     nothing = hashlib.sha256(b"").hexdigest()
-    return out.select("conv_id", "depth", parent.alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("sha", F.lit(nothing)).alias("ends_sha256"))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("sha", F.lit(nothing)).alias("ends_sha256"))

@@ -103,6 +103,22 @@ def test_rounds_grow_with_the_logarithm_of_a_chain(monkeypatch, make):
     assert len(cuts) <= 40
 
 
+def test_rounds_hold_no_joins(monkeypatch, make):
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return _kept(df, [])
+
+    monkeypatch.setattr(trie, "cut", planned)
+    n = 40  # a chain with a leaf beside every second node
+    rows = [(d, d - 1 if d else None, d, int(d < n - 1) + d % 2, 1) for d in range(n)] + [(1000 + d, d, d + 1, 0, 5) for d in range(1, n, 2)]
+    got = {r.name: r.v for r in trie.subtree_totals(make(rows, "name bigint, parent bigint, depth bigint, n_children bigint, v bigint"), ["v"]).collect()}
+    assert got == {d: n - d + 5 * ((n - d + 1) // 2) for d in range(n)} | {1000 + d: 5 for d in range(1, n, 2)}
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) <= 3 and all(p.count("Join") == 1 and "strategy=merge" in p for p in joins)  # of the pointers, not of the rounds
+
+
 def _kept(df, cuts):
     from demesne.session import cut
 
