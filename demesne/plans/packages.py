@@ -292,9 +292,11 @@ def task_rows(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int
             # as the output of a generator, the tasks of a package are flattened once
             flat = parsed.withColumn("package", package_name()).withColumn("_flat", F.explode(F.array(_flat_tasks(depth))))
         open_ = F.coalesce(F.exists("_flat", lambda x: x["cut"]), F.lit(False))
+        # told once a package, so that no task row carries the text or the whole list; only that of a package that goes deeper is kept
+        flat = flat.select(*keys, *rest, "package", F.when(open_, F.col("_source")).alias("_source"), "_flat").withColumn("_open", F.col("_source").isNotNull())
         # The text of a package that goes deeper stays on its first row; all others have done with theirs.
-        rows = flat.select(*keys, *rest, "package", "_source", open_.alias("_open"), F.inline("_flat"))
-        rows = rows.withColumn("_source", F.when(F.col("_open") & (F.col("path") == F.array(F.lit(0))), F.col("_source")))
+        rows = flat.select(*keys, *rest, "package", "_source", "_open", F.inline("_flat"))
+        rows = rows.withColumn("_source", F.when(F.col("path") == F.array(F.lit(0)), F.col("_source")))
         read = cut(_task_table(rows, [*keys, *rest, "_open", "_source"]))  # parsed once, for both uses
         out.append(read.filter("not _open").drop("_open", "_source", *rest))
         deeper = read.filter("_source is not null").select(*keys, *rest, "_source")
