@@ -35,6 +35,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,8 +53,8 @@ SHARD_SCHEMA = (
     "part int, shard int, base int, rules binary, lengths binary, symbols binary, symbol_start binary, token_start binary, doc_ids array<bigint>, n_tokens bigint"
 )
 _FENCE = "\x01"
-#: A full stop or comma after a letter or digit, told from the stop back; a capital I with a dot ends in a combining dot in lower case.
-_STOP = re.compile(r"([.,])(?<=[^\W_İ].)(?=[ \n])")
+#: Punctuation from a letter or digit to the end of a chunk, told from its first sign back; a capital I with a dot ends in a combining dot in lower case.
+_STOP = re.compile(r"([!-/:-@\[-`{-~](?<=[^\W_İ].)[!-/:-@\[-`{-~]*)(?=[ \n])")
 _memo: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
 
@@ -63,7 +64,7 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
     Only for tokenizers that lower case, drop white space and never join across it (such as
     word_bpe, which ends every word by a mark): the text is encoded chunk by chunk, and chunks met before in this worker are looked
-    up. A full stop or comma that ends a word is a chunk of its own, as it is a token of its own.
+    up. Punctuation that ends a word is a chunk of its own, as the tokenizer cuts there.
     """
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
@@ -91,27 +92,36 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
             if c not in memo:
                 memo[c] = np.array(tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def chunks_of(text: str) -> list[str]:
+    def spaced(text: str) -> str:
         if "<|" not in text:  # special tokens are told by their case
-            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            text = text.encode().lower().decode()
             text = _STOP.sub(r" \1", text)
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
 
     def encode(many: list[str]) -> list[bytes]:
-        split = [chunks_of(t) for t in many]
-        found = [list(map(memo.get, chunks)) for chunks in split]
-        new = {c for chunks, ids in zip(split, found, strict=True) if None in ids for c, i in zip(chunks, ids, strict=True) if i is None}
+        if not many:
+            return []
+        split = pc.split_pattern(pa.array([spaced(t) for t in many], pa.large_string()), " ")
+        coded = split.values.dictionary_encode()  # every chunk of these texts is looked up once
+        chunks, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        found = list(map(memo.get, chunks))
+        new = [c for c, i in zip(chunks, found, strict=True) if i is None]
         if new:
             if len(memo) + len(new) > MEMO:  # the chunks of these texts stay, and so the frequent ones
-                kept = {c: i for chunks, ids in zip(split, found, strict=True) for c, i in zip(chunks, ids, strict=True) if i is not None}
                 memo.clear()
-                memo.update(kept)
-            fill(list(new))
-            found = [[memo[c] if i is None else i for c, i in zip(chunks, ids, strict=True)] if None in ids else ids for chunks, ids in zip(split, found, strict=True)]
+                memo.update((c, i) for c, i in zip(chunks, found, strict=True) if i is not None)
+            fill(new)
+            found = list(map(memo.__getitem__, chunks))
             for c in new:
                 if len(c) > MEMO_CHARS:
                     del memo[c]
-        return list(map(b"".join, found))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ends = np.append(0, np.cumsum(sizes[codes]))
+        # the id at each place is the one as far behind the start of its chunk's ids as the place is behind the chunk's first one
+        shift = (np.cumsum(sizes) - sizes)[codes] - ends[:-1]
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(shift, sizes[codes]) + np.arange(ends[-1])]
+        data, at = ids.tobytes(), (4 * ends[split.offsets.to_numpy()]).tolist()
+        return [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
     return encode
 
@@ -181,8 +191,19 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, min_count: int = MIN_CO
     return table, lengths[base:], seq, np.searchsorted(reached, ends)
 
 
-def expand(rules: np.ndarray, base: int, symbols: np.ndarray) -> np.ndarray:
-    """The ids that a sequence of symbols stands for."""
+def expand(rules: np.ndarray, base: int, symbols: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that a sequence of symbols stands for; with the `lengths` of rules, what each stands for is written once and copied."""
+    if lengths is not None and len(rules):
+        size, nth = np.ones(len(symbols), np.int64), symbols.astype(np.int64) - base
+        long_ = nth >= 0
+        size[long_] = lengths[nth[long_]]
+        ends = np.cumsum(size)
+        total = int(lengths.sum(dtype=np.int64))
+        if len(ends) and total <= ends[-1]:  # else most of what the rules stand for is in longer ones
+            all_ = np.concatenate([expand(rules, base, np.arange(base, base + len(rules), dtype=np.uint32)), symbols.astype(np.uint32)])
+            start = total + np.arange(len(symbols))
+            start[long_] = (np.cumsum(lengths, dtype=np.int64) - lengths)[nth[long_]]
+            return all_[np.repeat(start - ends + size, size) + np.arange(ends[-1])]
     seq = symbols.astype(np.uint32)
     while len(seq):
         long_ = seq >= base
@@ -269,7 +290,7 @@ def read_documents(spark, folder: str) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {k: batch.column(j)[i].as_py() for j, k in enumerate(batch.schema.names)}
                 u4 = lambda k: np.frombuffer(row[k], "<u4")  # noqa: B023, E731
-                ids = expand(u4("rules").reshape(-1, 2), row["base"], u4("symbols")).astype("<u4")
+                ids = expand(u4("rules").reshape(-1, 2), row["base"], u4("symbols"), u4("lengths")).astype("<u4")
                 at = u4("token_start").astype(np.int64)
                 sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(

@@ -276,3 +276,24 @@ def test_stages_return_the_columns_of_documents(spark, odd):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SMALL)
         assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
+
+
+def test_a_chunk_of_several_texts_is_looked_up_once(monkeypatch):
+    path = queries.tokenizer_path()
+    asked = []
+
+    class Memo(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    token_output.encoder(path)
+    monkeypatch.setitem(token_output._memo, path, Memo())
+    from tokenizers import Tokenizer
+
+    texts = ["aa bb. bb aa", "", "bb\ncc!! \u00e9\u00e9  aa", "x" * 100, "<|endoftext|> Aa", "aa " * 500, " . "]
+    encode, tok = token_output.encoder(path), Tokenizer.from_file(path)
+    for many in (texts, texts[::-1], []):
+        asked.clear()
+        assert [np.frombuffer(b, "<u4").tolist() for b in encode(many)] == [tok.encode(t, add_special_tokens=False).ids for t in many]
+        assert len(asked) == len(set(asked)) < 20
