@@ -8,7 +8,6 @@ from demesne.plans import catalog, discovery, packages as K
 from demesne.plans import edges as E
 from demesne.queries.estate import Estate
 from demesne.queries.registry import query
-from demesne.session import cut
 
 _NAME = '<DTS:Property DTS:Name="ObjectName">'
 
@@ -121,7 +120,7 @@ r AS (SELECT package AS source_object, 's3.t' || c AS target_object, 'table' AS
 SELECT DISTINCT 'db0' AS database, source_object, 'package' AS source_type, target_object, target_type, relationship_type, discovery_method, CAST(edge_rank AS INTEGER) AS edge_rank FROM r""",
 )
 def package_edges(t):
-    tasks = cut(K.task_rows(packages(t), KEYS).withColumn("database", F.lit("db0")))  # read by three streams
+    tasks = K.task_rows(packages(t), KEYS).withColumn("database", F.lit("db0"))  # written already; read by three streams
     mined = discovery.mine_statements(K.statement_rows(tasks, ["database"]))
     e = Estate(t)
     named = lambda df: df.select("database", F.concat_ws(".", "schema", "name").alias("name"))
