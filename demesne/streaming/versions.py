@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,8 +19,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LATE = "late"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 VERSION = "object_id string, fingerprint string, version_at timestamp"
-STATE = "fingerprint string, version_at timestamp"
+STATE = "fingerprint string, at bigint"
 OUTPUT = VERSION + ", change string"
+# inside the operator a time is a count of microseconds: the rows of a task know no session time zone
+TIMED = "object_id string, fingerprint string, at bigint, change string"
 
 
 def _newest(rows: pd.DataFrame) -> pd.DataFrame:
@@ -37,33 +39,30 @@ def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class VersionProcessor(StatefulProcessor):
     """Newest version of each key in a micro-batch against the last one seen.
 
-    Rows are taken batch by batch and only the newest is held, so a key with
-    many versions needs no more memory than one with few. A version older than
+    Rows are taken one by one, as plain rows and without a frame for each key, and only the newest is held, so a
+    key with many versions needs no more memory than one with few. A version older than
     the state is reported as late and leaves the state alone.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        newest = None
-        for batch in rows:
-            own = batch.assign(object_id=0) if newest is None else pd.concat([newest, batch.assign(object_id=0)])
-            newest = _newest(own)
-        if newest is None or newest.empty:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        newest = max(((r["at"], r["fingerprint"] is not None, r["fingerprint"] or "") for r in rows if r["at"] is not None), default=None)
+        if newest is None:
             return
-        mark, at = newest["fingerprint"].iloc[0], pd.Timestamp(newest["version_at"].iloc[0])
-        mark = None if pd.isna(mark) else mark
-        last = self._last.get() if self._last.exists() else None
+        at, marked, mark = newest
+        mark = mark if marked else None
+        last = self._last.get()
         if last is None:
             change = NEW
-        elif pd.Timestamp(last[1]) > at:
+        elif last[1] > at:
             change = LATE
         else:
             change = UNCHANGED if last[0] == mark else CHANGED
         if change != LATE:
-            self._last.update((mark, at.to_pydatetime()))
-        yield pd.DataFrame({"object_id": [key[0]], "fingerprint": [mark], "version_at": [at], "change": [change]})
+            self._last.update((mark, at))
+        yield Row(object_id=key[0], fingerprint=mark, at=at, change=change)
 
     def close(self) -> None:
         pass
@@ -84,9 +83,11 @@ def stream_changes(versions: DataFrame, lateness: str | None = None) -> DataFram
     reduced = typed.mapInPandas(_combine, VERSION)
     if lateness is not None:
         reduced = reduced.withWatermark("version_at", lateness)
-    return reduced.groupBy("object_id").transformWithStateInPandas(
-        VersionProcessor(), OUTPUT, "Update", "None" if lateness is None else "EventTime"
+    timed = reduced.withColumn("at", F.unix_micros("version_at"))
+    found = timed.groupBy("object_id").transformWithState(
+        VersionProcessor(), TIMED, "Update", "None" if lateness is None else "EventTime"
     )
+    return found.select("object_id", "fingerprint", F.timestamp_micros("at").alias("version_at"), "change")
 
 
 def run_available(changes: DataFrame, target: str, checkpoint: str) -> None:

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import Row
+
 from demesne.streaming import versions as V
 
 T0 = datetime(2024, 1, 1)
@@ -25,3 +27,25 @@ def test_stream_agrees_with_state_over_batches(spark, tmp_path):
         (2, "a"): ("late", "9"), (2, "b"): ("changed", "3"),
         (3, "a"): ("changed", "7"), (3, "c"): ("changed", None),
     }
+
+
+def test_a_key_is_handled_as_plain_rows():
+    """No frame is built for a key: versions come as rows, and only the newest of them meets the state."""
+
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    state = Held()
+    processor = V.VersionProcessor()
+    processor.init(type("Handle", (), {"getValueState": lambda self, name, schema: state})())
+    give = lambda *rows: [(r["fingerprint"], r["at"], r["change"]) for r in processor.handleInputRows(("a",), (Row(object_id="a", fingerprint=m, at=at) for m, at in rows), None)]
+    assert give(("x", None)) == [] and state.value is None
+    assert give(("x", 1), (None, 2), ("y", 2)) == [("y", 2, "new")]
+    assert give(("z", 1)) == [("z", 1, "late")] and state.value == ("y", 2)
+    assert give((None, 3), ("w", None)) == [(None, 3, "changed")] and give((None, 4)) == [(None, 4, "unchanged")]
