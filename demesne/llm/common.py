@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demesne.session import cut
+from demesne.session import HASHED, cut
 
 #: Bytes of text handled at once inside a task; a longer document is a piece of its own.
 PIECE_BYTES = 2 << 20
@@ -27,6 +27,7 @@ _LOWER[65:91] += 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set(HASHED, "0")  # a query of the catalog may have left its own in the session
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -17,10 +17,16 @@ ADAPTIVE = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
+# A join whose shuffled partitions are all small on one side is met by hash there, so neither side is sorted; where one
+# is larger, it stays a merge, which spills. It is off unless asked for, as jobs of little memory share the session.
+HASHED, HASH_UP_TO = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m"
+
+
+def tune(spark: SparkSession, hashed: bool = False) -> SparkSession:
     """Apply the adaptive settings to a session somebody else started."""
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
+    spark.conf.set(HASHED, HASH_UP_TO if hashed else "0")
     return spark
 
 
