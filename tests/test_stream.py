@@ -49,3 +49,13 @@ def test_a_key_is_handled_as_plain_rows():
     assert give(("x", 1), (None, 2), ("y", 2)) == [("y", 2, "new")]
     assert give(("z", 1)) == [("z", 1, "late")] and state.value == ("y", 2)
     assert give((None, 3), ("w", None)) == [(None, 3, "changed")] and give((None, 4)) == [(None, 4, "unchanged")]
+
+
+def test_versions_behind_the_watermark_are_dropped(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    ddl = "object_id string, fingerprint string, version_at timestamp"
+    for rows in ([("a", "1", 0), ("b", "1", 600)], [("a", "2", 1), ("b", "2", 590)]):
+        spark.createDataFrame([(k, m, T0 + timedelta(minutes=i)) for k, m, i in rows], ddl).coalesce(1).write.mode("append").parquet(source)
+        V.run_available(V.stream_changes(spark.readStream.schema(ddl).parquet(source), "1 hour"), out, str(tmp_path / "ckpt"))
+    got = {(r["object_id"], r["fingerprint"]): (r["change"], r["version_at"]) for r in V.read_changes(spark, out).collect()}
+    assert got == {("a", "1"): ("new", T0), ("b", "1"): ("new", T0 + timedelta(minutes=600)), ("b", "2"): ("late", T0 + timedelta(minutes=590))}
