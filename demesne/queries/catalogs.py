@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from demesne.plans import catalog, quality, summary
 from demesne.queries.estate import Estate, with_raw
 from demesne.queries.registry import mb, pct, query
-from demesne.session import tune
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -114,7 +113,6 @@ LEFT JOIN xc ON xc.database = c.database AND xc.xml_collection_id = c.xml_collec
 
 @query("catalog_columns", with_raw(COLUMNS_SQL))
 def catalog_columns(t):
-    tune(t.spark, hashed=True)
     return catalog.columns(Estate(t))
 
 
@@ -232,7 +230,6 @@ WHERE i.name IS NOT NULL AND i.type_desc IN ('CLUSTERED', 'NONCLUSTERED')"""
 
 @query("catalog_indexes", with_raw(INDEXES_SQL))
 def catalog_indexes(t):
-    tune(t.spark, hashed=True)
     return flat(catalog.indexes(Estate(t)))
 
 
