@@ -39,7 +39,7 @@ from demesne.functions.scalars import (
 from demesne.operators.counters import distinct_and_max
 from demesne.operators.keyed import conditional_max, earliest, latest_per_key, percent_if_any
 from demesne.operators.lists import collect_ordered, ordered_list, split_list
-from demesne.operators.membership import child_counts, exists_flag, tagged_union
+from demesne.operators.membership import tagged_union
 from demesne.schemas import METADATA
 
 Sys = Mapping[str, DataFrame]
@@ -186,7 +186,8 @@ def _given(df: DataFrame, name: str) -> Column:
 
 
 def table_features(sys: Sys) -> DataFrame:
-    """Temporal, memory-optimised, change-data-capture, change-tracking and partition facts of tables, one aggregate."""
+    """Temporal, memory-optimised, change-data-capture, change-tracking and partition facts of tables, and the number of
+    their heaps, nonclustered indexes and triggers: one aggregate over a tagged union, so the tables meet it once."""
     t = sys["tables"]
     flags = t.select(
         *OBJ,
@@ -195,17 +196,24 @@ def table_features(sys: Sys) -> DataFrame:
         _given(t, "is_tracked_by_cdc").cast("boolean").alias("cdc"),
         F.lit(None).cast("boolean").alias("tracked"),
         F.lit(None).cast("bigint").alias("partition"),
+        F.lit(None).cast("string").alias("kind"),
     )
-    none = F.lit(None).cast("boolean")
-    tracked = sys["change_tracking_tables"].select(*OBJ, none, none, none, F.lit(True), F.lit(None).cast("bigint"))
+    none, no_number, no_kind = F.lit(None).cast("boolean"), F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    tracked = sys["change_tracking_tables"].select(*OBJ, none, none, none, F.lit(True), no_number, no_kind)
     own = sys["partitions"].filter(F.col("index_id").isin(0, 1))
-    parts = own.select(*OBJ, none, none, none, none, F.col("partition_number").cast("bigint"))
-    return flags.union(tracked).union(parts).groupBy(*OBJ).agg(
+    parts = own.select(*OBJ, none, none, none, none, F.col("partition_number").cast("bigint"), no_kind)
+    indexes = sys["indexes"].filter(F.col("type_desc").isin("HEAP", "NONCLUSTERED"))
+    indexes = indexes.select(*OBJ, none, none, none, none, no_number, F.col("type_desc"))
+    triggers = sys["triggers"].select("database", "parent_id", none, none, none, none, no_number, F.lit("TRIGGER"))
+    return flags.union(tracked).union(parts).union(indexes).union(triggers).groupBy(*OBJ).agg(
         F.bool_or("temporal").alias("is_temporal_table"),
         F.bool_or("memory").alias("_memory"),
         F.bool_or("cdc").alias("is_cdc_enabled"),
         F.bool_or("tracked").alias("_tracked"),
         F.max("partition").alias("partition_count"),
+        F.count_if(F.col("kind") == "HEAP").alias("_heaps"),
+        F.count_if(F.col("kind") == "NONCLUSTERED").alias("nonclustered_index_count"),
+        F.count_if(F.col("kind") == "TRIGGER").alias("trigger_count"),
     )
 
 
@@ -222,17 +230,15 @@ def column_marks(sys: Sys) -> DataFrame:
     )
 
 
-def column_totals(marks: DataFrame) -> DataFrame:
-    return marks.groupBy(*OBJ).agg(F.count(F.lit(1)).alias("column_count"))
-
-
-def column_lists(marks: DataFrame) -> DataFrame:
-    """Names of marked columns per table, in column order; a table's columns are bounded by its source."""
-    marked = marks.filter("identity or computed or sparse")
-    folded = collect_ordered(marked, OBJ, ["column_id"], ["name", "identity", "computed", "sparse"])
+def column_facts(marks: DataFrame) -> DataFrame:
+    """Number of columns per table and names of the marked ones, in column order, in one pass; a table's columns are bounded by its source."""
+    item = F.struct("column_id", "name", "identity", "computed", "sparse")
+    marked = F.collect_list(F.when(F.expr("identity or computed or sparse"), item))
+    folded = marks.groupBy(*OBJ).agg(F.count(F.lit(1)).alias("column_count"), F.array_sort(marked).alias("_items"))
     names = lambda flag: F.transform(F.filter("_items", lambda x: x[flag]), lambda x: x["name"])
     return folded.select(
         *OBJ,
+        "column_count",
         names("identity").alias("identity_columns"),
         names("computed").alias("computed_columns"),
         names("sparse").alias("sparse_columns"),
@@ -242,18 +248,7 @@ def column_lists(marks: DataFrame) -> DataFrame:
 def tables(sys: Sys) -> DataFrame:
     """Tables with kind, storage, child counts, degrees, marked columns, features and share of the database; one row each."""
     base = _named(sys["tables"], sys)
-    heaps = sys["indexes"].filter(F.col("type_desc") == "HEAP")
-    base = exists_flag(base, heaps, OBJ, "_heap")
-    base = child_counts(
-        base,
-        OBJ,
-        {
-            "nonclustered_index_count": sys["indexes"].filter(F.col("type_desc") == "NONCLUSTERED"),
-            "trigger_count": sys["triggers"].withColumn("object_id", F.col("parent_id")),
-        },
-    )
-    marks = column_marks(sys)
-    for part in (table_storage(sys), foreign_key_degrees(sys), column_totals(marks), column_lists(marks), table_features(sys)):
+    for part in (table_storage(sys), foreign_key_degrees(sys), column_facts(column_marks(sys)), table_features(sys)):
         base = base.join(part, OBJ, "left")
     return base.join(database_pages(sys), "database", "left").select(
         "database",
@@ -264,12 +259,12 @@ def tables(sys: Sys) -> DataFrame:
         or_zero("column_count").alias("column_count"),
         iso_text("create_date").alias("create_date"),
         iso_text("modify_date").alias("modify_date"),
-        choose("_heap", "HEAP", "CLUSTERED").alias("table_type"),
-        "nonclustered_index_count",
+        choose(F.col("_heaps") > 0, "HEAP", "CLUSTERED").alias("table_type"),
+        or_zero("nonclustered_index_count").alias("nonclustered_index_count"),
         or_zero("foreign_key_count").alias("foreign_key_count"),
         or_zero("referenced_table_count").alias("referenced_table_count"),
         or_zero("referencing_table_count").alias("referencing_table_count"),
-        "trigger_count",
+        or_zero("trigger_count").alias("trigger_count"),
         or_zero("estimated_reserved_pages").alias("estimated_reserved_pages"),
         or_zero("used_pages").alias("used_pages"),
         or_zero("data_pages").alias("data_pages"),

@@ -90,6 +90,14 @@ def test_tables(sys):
     assert (line["size_mb"], line["identity_columns"]) == (0.0, [])
 
 
+def test_tables_meet_each_child_once(sys):
+    """Columns meet their computed ones in one join, and a table meets its storage, keys, columns and features in one each."""
+    plan = catalog.tables(sys)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert sum("column_id" in line for line in joins) == 1
+    assert len(joins) == 8  # schema, allocation units, computed columns, pages, and those four
+
+
 def test_indexes_merge_their_statistics(sys):
     got = {r["name"]: r for r in catalog.indexes(sys).collect()}
     ix, pk = got["IX_O"], got["PK_O"]
