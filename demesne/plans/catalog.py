@@ -39,8 +39,9 @@ from demesne.functions.scalars import (
 from demesne.operators.counters import distinct_and_max
 from demesne.operators.keyed import conditional_max, earliest, latest_per_key, percent_if_any
 from demesne.operators.lists import collect_ordered, ordered_list, split_list
-from demesne.operators.membership import tagged_union
+from demesne.operators.membership import meet, tagged_union
 from demesne.schemas import METADATA
+from demesne.session import dealt
 
 Sys = Mapping[str, DataFrame]
 OBJ = ["database", "object_id"]
@@ -509,40 +510,54 @@ def agent_jobs(sys: Sys) -> DataFrame:
 
 
 def index_storage(sys: Sys) -> DataFrame:
-    """Partitions and allocation type per index."""
+    """Partitions and allocation type per index, dealt by table."""
     units = (
         sys["allocation_units"].groupBy("database", F.col("container_id").alias("partition_id"))
         .agg(F.max("type_desc").alias("unit_type"))
     )
-    parts = sys["partitions"].join(units, ["database", "partition_id"], "left")
+    parts = sys["partitions"].select(*IDX, "partition_id", "partition_number").join(units, ["database", "partition_id"], "left")
+    parts = parts.select(*IDX, "partition_number", "unit_type").repartition(*OBJ)
     return distinct_and_max(parts, IDX, "partition_number", "unit_type", "partition_count", "allocation_unit_type")
 
 
+def index_lists(sys: Sys) -> DataFrame:
+    """Key and included columns per index, dealt by table: a column and its places in indexes meet in one aggregate."""
+    name = _columns(sys).withColumn("known", F.lit(True)).repartition(*OBJ)
+    places = sys["index_columns"].select(
+        *IDX,
+        "column_id",
+        "key_ordinal",
+        "index_column_id",
+        F.col("is_included_column").cast("boolean").alias("is_included"),
+        F.col("is_descending_key").cast("boolean").alias("is_descending"),
+    )
+    cols = meet([*OBJ, "column_id"], places.repartition(*OBJ), {"named": name}).filter("known")
+    return split_list(cols, IDX, ["key_ordinal", "index_column_id"], "is_included", "column_name", "is_descending")
+
+
 def table_pages(sys: Sys) -> DataFrame:
     return sys["partition_stats"].groupBy(*OBJ).agg(F.sum("reserved_page_count").alias("table_pages"))
 
 
 def indexes(sys: Sys) -> DataFrame:
-    """Named row-store indexes with columns, storage, statistics and shares; absent statistics stay NULL."""
+    """Named row-store indexes with columns, storage, statistics and shares; absent statistics stay NULL.
+
+    All that belongs to a table is dealt by table once. What belongs to an index meets there in one aggregate, and what
+    belongs to a database comes with the table, so no wide row is dealt again.
+    """
     named = sys["indexes"].filter(F.col("name").isNotNull() & F.col("type_desc").isin("CLUSTERED", "NONCLUSTERED"))
-    groups = sys["filegroups"].select("database", "data_space_id", F.col("name").alias("filegroup"))
-    cols = sys["index_columns"].join(_columns(sys), [*OBJ, "column_id"]).select(
-        *IDX,
-        "key_ordinal",
-        "index_column_id",
-        F.col("is_included_column").cast("boolean").alias("is_included"),
-        F.col("is_descending_key").cast("boolean").alias("is_descending"),
-        "column_name",
+    named = named.select(
+        *IDX, "data_space_id", "name", "type_desc", "is_unique", "has_filter", "is_disabled", "fill_factor", "is_primary_key", "filter_definition"
     )
-    lists = split_list(cols, IDX, ["key_ordinal", "index_column_id"], "is_included", "column_name", "is_descending")
+    groups = sys["filegroups"].select("database", "data_space_id", F.col("name").alias("filegroup"))
+    tables = _tables(sys).join(database_pages(sys), "database", "left").join(table_pages(sys), OBJ, "left")
+    named = named.join(groups, ["database", "data_space_id"], "left").repartition(*OBJ).join(dealt(tables), OBJ)
     physical = sys["index_physical_stats"].select(
         *IDX, "avg_fragmentation_in_percent", "page_count", "avg_page_space_used_in_percent", "record_count"
     )
     usage = sys["index_usage_stats"].select(*IDX, "user_seeks", "user_scans", "user_lookups", "user_updates")
-    out = named.join(_tables(sys), OBJ).join(groups, ["database", "data_space_id"], "left")
-    for part in (lists, index_storage(sys), physical, usage):
-        out = out.join(part, IDX, "left")
-    out = out.join(table_pages(sys), OBJ, "left").join(database_pages(sys), "database", "left")
+    parts = {"lists": index_lists(sys), "storage": index_storage(sys), "physical": physical.repartition(*OBJ), "usage": usage.repartition(*OBJ)}
+    out = meet(IDX, named, parts)
     return out.select(
         "database",
         "schema",

@@ -159,3 +159,30 @@ def test_jobs(make, sys):
     assert j["schedule_frequency"] == ["Daily (interval=1)", "Start Whenever CPU Is Idle", "Unknown"]
     assert (j["next_scheduled_run"], j["last_run_date"], j["last_run_time"], j["last_run_status"]) == ("2024-06-16T02:00:00", "2024-06-15", "02:00:00", "Succeeded")
     assert [(x["step_id"], x["on_success_action"], x["on_fail_action"]) for x in j["step_details"]] == [(1, "Go To Next Step", "Quit With Failure"), (2, "Quit With Success", "Quit With Failure")]
+
+
+def test_rows_of_indexes_are_dealt_by_table_only(spark):
+    """Nothing is dealt by index, and what comes with the table is not met by dealing the finished rows again."""
+    sys = {name: spark.createDataFrame([], schema) for name, schema in RAW.items()}
+    plan = catalog.indexes(sys)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert dealt and not any("index_id" in keys or "column_id" in keys for keys in dealt)
+    assert sum("object_id" in keys for keys in dealt) <= 8  # columns, their places, partitions, statistics, usage, indexes, tables, pages
+
+
+def test_an_index_meets_all_it_has_once(spark):
+    sys = {name: spark.createDataFrame([], schema) for name, schema in RAW.items()}
+    frame = lambda name, *rows: sys.update({name: spark.createDataFrame(list(rows), RAW[name])})
+    frame("schemas", ("d", 1, "s"))
+    frame("tables", ("d", 7, 1, "t", None, None))
+    frame("filegroups", ("d", 1, "FG"))
+    index = lambda i, name: ("d", 7, i, name, "NONCLUSTERED", 0, 0, 0, 90, 1 if i < 3 else None, None, 0)
+    frame("indexes", index(2, "a"), index(3, "b"), ("d", 8, 2, "gone", "CLUSTERED", 0, 0, 0, 90, 1, None, 0))
+    frame("columns", *[("d", 7, c, n, 1, 0, 0, 0, None, None, 4, None) for c, n in ((1, "x"), (2, "y"))])
+    frame("index_columns", ("d", 7, 2, 2, 1, 1, 0, 1), ("d", 7, 2, 1, 2, 2, 0, 0), ("d", 7, 2, 9, 3, 3, 0, 0), ("d", 7, 3, 1, 1, 1, 1, 0))
+    frame("partitions", ("d", 7, 2, 20, 1), ("d", 7, 2, 21, 2))
+    frame("allocation_units", ("d", 20, 5, "IN_ROW_DATA"), ("d", 20, 5, "LOB_DATA"))
+    frame("index_usage_stats", ("d", 7, 2, 1, 2, 3, 4), ("d", 7, 9, 9, 9, 9, 9))
+    cols = ["name", "key_columns", "key_column_sort", "included_columns", "partition_count", "allocation_unit_type", "filegroup", "user_updates", "page_count"]
+    rows = [tuple(r) for r in catalog.indexes(sys).orderBy("name").select(*cols).collect()]
+    assert rows == [("a", ["y", "x"], ["DESC", "ASC"], [], 2, "LOB_DATA", "FG", 4, None), ("b", [], [], ["x"], None, None, None, None, None)]

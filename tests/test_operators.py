@@ -102,3 +102,14 @@ def test_last_definition_wins_for_bare_names(make):
     catalog = membership.bare_catalog(defs, [], "name", ["o"], "full")
     rows = make([("T",), ("x",)], "n string")
     assert [r["full"] for r in membership.match_bare(rows, catalog, [], F.col("n")).collect()] == ["b.t"]
+
+
+def test_sides_that_meet_are_those_of_left_joins(spark):
+    base = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 2, "c"), (None, 2, "d")], "k int, j int, v string")
+    one = spark.createDataFrame([(1, 1, 10), (1, 1, 11), (None, 2, 12), (3, 3, 13)], "k int, j int, x int")
+    two = spark.createDataFrame([(1, 2, 20), (1, 1, None)], "k int, j int, y int")
+    joined = base.join(one, ["k", "j"], "left").join(two, ["k", "j"], "left")
+    met = membership.meet(["k", "j"], base.repartition("k"), {"one": one.repartition("k"), "two": two.repartition("k")})
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 3
+    assert met.columns == joined.columns
+    assert sorted(map(str, met.collect())) == sorted(map(str, joined.collect()))
