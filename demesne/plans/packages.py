@@ -55,10 +55,17 @@ _TASK_DATA = (
     "`ScriptTask:ScriptTaskData`:string," + _COMPONENTS + ">"
 )
 
+# What is read of a task: the reader builds a row for every element that it is asked for and skips the rest, which costs far less.
+_TASK = {
+    "tasks": f"{_PROPERTY},{_TASK_DATA},`DTS:EventHandlers`:string",
+    "flow": _PROPERTY,
+    "content": f"{_TASK_DATA},`DTS:EventHandlers`:string".replace("`_name`:string,`_componentClassID`:string,", ""),
+}
+
 
-def _executable(depth: int) -> str:
-    inner = "string" if depth <= 1 else f"struct<`DTS:Executable`:array<{_executable(depth - 1)}>>"
-    return f"struct<`_DTS:ExecutableType`:string,{_PROPERTY},{_TASK_DATA},`DTS:EventHandlers`:string,`DTS:Executables`:{inner}>"
+def _executable(depth: int, held: str) -> str:
+    inner = "string" if depth <= 1 else f"struct<`DTS:Executable`:array<{_executable(depth - 1, held)}>>"
+    return f"struct<`_DTS:ExecutableType`:string,{held},`DTS:Executables`:{inner}>"
 
 
 _PARTS = {
@@ -69,6 +76,9 @@ _PARTS = {
     "`_DTS:Namespace`:string,`DTS:VariableValue`:struct<`_DTS:DataType`:string>>>>",
     "precedence": "`DTS:PrecedenceConstraints`:struct<`DTS:PrecedenceConstraint`:array<struct<`_DTS:From`:string,"
     "`_DTS:To`:string,`_DTS:Value`:string>>>",
+    # enough to count them
+    "sizes": "`DTS:ConnectionManagers`:struct<`DTS:ConnectionManager`:array<string>>,`DTS:Variables`:struct<`DTS:Variable`:array<string>>,"
+    "`DTS:PrecedenceConstraints`:struct<`DTS:PrecedenceConstraint`:array<string>>",
 }
 ALL_PARTS = ("connections", "variables", "precedence", "tasks")
 
@@ -76,8 +86,8 @@ ALL_PARTS = ("connections", "variables", "precedence", "tasks")
 def package_schema(depth: int = LEVELS, parts: tuple[str, ...] = ALL_PARTS) -> str:
     """Schema of the parts asked for; the reader skips the rest of the document."""
     fields = [_PROPERTY] + [_PARTS[p] for p in parts if p in _PARTS]
-    if "tasks" in parts:
-        fields.append(f"`DTS:Executables`:struct<`DTS:Executable`:array<{_executable(depth)}>>")
+    for held in (_TASK[p] for p in parts if p in _TASK):
+        fields.append(f"`DTS:Executables`:struct<`DTS:Executable`:array<{_executable(depth, held)}>>")
     return f"struct<{','.join(fields)},`{CORRUPT}`:string>"
 
 
@@ -138,6 +148,11 @@ def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def _commands(component: Column) -> Column:
+    """Properties of a data-flow component that hold SQL."""
+    return F.filter(component["properties"]["property"], lambda p: (p["_name"] == "SqlCommand") & (_trimmed(p["_VALUE"]) != ""))
+
+
 def _statements(data: Column, name: Column, label: Column) -> Column:
     """Embedded SQL of one task: its own statement first, then that of its data-flow components."""
 
@@ -151,10 +166,7 @@ def _statements(data: Column, name: Column, label: Column) -> Column:
     def of_component(c: Column) -> Column:
         owner = F.concat(name, F.lit(" :: "), F.coalesce(c["_name"], F.lit("unnamed component")))
         kind = F.coalesce(c["_componentClassID"], F.lit("DataFlowComponent"))
-        sql = F.filter(
-            c["properties"]["property"], lambda p: (p["_name"] == "SqlCommand") & (_trimmed(p["_VALUE"]) != "")
-        )
-        return F.transform(sql, lambda p: row(owner, kind, _trimmed(p["_VALUE"])))
+        return F.transform(_commands(c), lambda p: row(owner, kind, _trimmed(p["_VALUE"])))
 
     flows = F.flatten(F.filter(F.transform(components, of_component), lambda a: a.isNotNull()))
     return F.concat(own, F.coalesce(flows, F.array().cast(_STATEMENTS)))
@@ -305,6 +317,60 @@ def task_rows(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int
         todo, depth = cut(deeper).withColumn(xml, F.col("_source")), 2 * depth
 
 
+def _below(executables: Column, owned: Column, depth: int, row, opened_only: bool = False) -> Column:
+    """row(task, kind, owned, more) of every executable in document order: `owned` if it only holds SQL of another task,
+    `more` if it goes deeper than this reading. `opened_only` leaves out what is owned."""
+
+    def of_one(task: Column) -> Column:
+        kind = F.coalesce(task["_DTS:ExecutableType"], F.lit("Unknown"))
+        inner, opens = task["DTS:Executables"], ~owned & kind.isin(*CONTAINERS)
+        if depth <= 1:
+            more = F.coalesce(inner != "", F.lit(False))
+            return F.array(row(task, kind, owned, more & opens if opened_only else more))
+        here = F.array(row(task, kind, owned, F.lit(False)))
+        goes_on = inner["DTS:Executable"].isNotNull()
+        inside = _below(inner["DTS:Executable"], F.lit(False) if opened_only else ~opens, depth - 1, row, opened_only)
+        return F.when(goes_on & opens if opened_only else goes_on, F.concat(here, inside)).otherwise(here)
+
+    return F.flatten(F.transform(executables, of_one))
+
+
+def _package_rows(packages: DataFrame, parts: tuple[str, ...], row, made: dict[str, Column], xml: str, depth: int, opened_only: bool = False) -> DataFrame:
+    """One row a sound package, read once: all other columns, `package`, and those made of `_doc` and of `_flat`, its tasks.
+
+    Only packages with more than `depth` levels are read again.
+    """
+    out, rest = [], [c for c in packages.columns if c != xml]
+    while True:
+        parsed = parse(packages.withColumn("_source", F.col(xml)), xml, depth, parts).filter("error is null")
+        with _room_for(packages.sparkSession, depth):
+            flat = _below(F.col("_doc")["DTS:Executables"]["DTS:Executable"], F.lit(False), depth, row, opened_only)
+            parsed = parsed.withColumn("_flat", F.explode(F.array(flat)))  # out of a generator: flattened once
+        more = F.coalesce(F.exists("_flat", lambda x: x["more"]), F.lit(False))
+        columns = [package_name().alias("package"), *[c.alias(n) for n, c in made.items()]]
+        read = cut(parsed.select(*rest, F.when(more, F.col("_source")).alias("_source"), *columns))
+        out.append(read.filter("_source is null").drop("_source"))
+        deeper = read.filter("_source is not null").select(*rest, F.col("_source").alias(xml))
+        if deeper.isEmpty():
+            return reduce(DataFrame.unionByName, out)
+        packages, depth = deeper, 2 * depth
+
+
+def control_flow(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """(keys, task_name) of the tasks themselves, and (keys, from_task, to_task) of their precedence; one reading, which skips what tasks hold."""
+
+    def row(task: Column, kind: Column, owned: Column, more: Column) -> Column:
+        return F.struct(_object_name(task["DTS:Property"], F.concat(F.lit("unnamed_"), kind)).alias("name"), more.alias("more"))
+
+    end = lambda p, side: last_path_part(F.coalesce(p[side], F.lit("")))
+    links = F.transform(
+        F.col("_doc")["DTS:PrecedenceConstraints"]["DTS:PrecedenceConstraint"],
+        lambda p: F.struct(end(p, "_DTS:From").alias("from_task"), end(p, "_DTS:To").alias("to_task")),
+    )
+    read = _package_rows(packages, ("precedence", "flow"), row, {"names": F.transform("_flat", lambda x: x["name"]), "links": links}, xml, depth, True)
+    return read.select(*keys, F.explode("names").alias("task_name")), read.select(*keys, F.inline("links"))
+
+
 def own_tasks(tasks: DataFrame) -> DataFrame:
     """The tasks themselves, without the rows that only hold SQL of another task."""
     return tasks.filter("owner is null").drop("owner")
@@ -384,33 +450,35 @@ def shred_packages(packages: DataFrame, keys: list[str], xml: str = "xml", depth
 
 
 def content_counts(packages: DataFrame, keys: list[str], xml: str = "xml", depth: int = LEVELS) -> DataFrame:
-    """What each package holds, in numbers, over all levels; `keys` and the package name tell packages apart."""
-    n = lambda arr: F.coalesce(F.nullif(F.size(arr), F.lit(-1)), F.lit(0)).cast("bigint")
-    own = F.col("owner").isNull()
-    held = task_rows(packages, keys, xml, depth).groupBy(*keys, "package").agg(
-        F.count_if(own).alias("task_count"),
-        F.sum(F.size("statements")).cast("bigint").alias("embedded_sql_extracted"),
-        F.count_if("unparseable_body").alias("script_tasks"),
-        F.count("executed_package").alias("child_packages"),
-    )
-    doc = F.col("_doc")
-    parsed = parse(packages, xml, depth, ("connections", "variables", "precedence")).filter("error is null")
-    heads = parsed.select(
-        *keys,
-        package_name().alias("package"),
-        n(doc["DTS:ConnectionManagers"]["DTS:ConnectionManager"]).alias("connection_managers"),
-        n(doc["DTS:Variables"]["DTS:Variable"]).alias("variables"),
-        n(doc["DTS:PrecedenceConstraints"]["DTS:PrecedenceConstraint"]).alias("precedence_constraints"),
-    )
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return heads.join(held, [*keys, "package"], "left").select(
-        *keys,
-        "package",
-        zero("task_count"),
-        "connection_managers",
-        "variables",
-        "precedence_constraints",
-        zero("embedded_sql_extracted"),
-        zero("script_tasks"),
-        zero("child_packages"),
-    )
+    """What each package holds, in numbers, over all levels: counted inside its row, out of one reading."""
+
+    def row(task: Column, kind: Column, owned: Column, more: Column) -> Column:
+        data, container = task["DTS:ObjectData"], kind.isin(*CONTAINERS)
+        of_flows = F.aggregate(
+            F.transform(data["pipeline"]["components"]["component"], lambda c: F.greatest(F.size(_commands(c)), F.lit(0))), F.lit(0), lambda n, m: n + m
+        )
+        of_handlers = F.when(task["DTS:EventHandlers"].isNotNull(), F.size(_handler_sql(task["DTS:EventHandlers"], F.lit(""), F.lit(""))))
+        sql = (data["SQLTask:SqlTaskData"]["_SQLTask:SqlStatementSource"] != "").cast("int")
+        sql = F.coalesce(sql, F.lit(0)) + F.coalesce(of_flows, F.lit(0)) + F.coalesce(of_handlers, F.lit(0))
+        script = (kind == SCRIPT_TASK) & data["ScriptTask:ScriptTaskData"].isNotNull()
+        child = (kind == PACKAGE_TASK) & data["ExecutePackageTask:ExecutePackageTaskData"]["_ExecutePackageTask:PackageName"].isNotNull()
+        return F.struct(
+            (~owned).alias("own"),
+            F.when(container & ~owned, 0).otherwise(sql).alias("sql"),
+            (script & ~owned).alias("script"),
+            (child & ~owned).alias("child"),
+            more.alias("more"),
+        )
+
+    n = lambda arr: F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(0)).cast("bigint")
+    doc, flat = F.col("_doc"), F.col("_flat")
+    made = {
+        "task_count": n(F.filter(flat, lambda x: x["own"])),
+        "connection_managers": n(doc["DTS:ConnectionManagers"]["DTS:ConnectionManager"]),
+        "variables": n(doc["DTS:Variables"]["DTS:Variable"]),
+        "precedence_constraints": n(doc["DTS:PrecedenceConstraints"]["DTS:PrecedenceConstraint"]),
+        "embedded_sql_extracted": F.coalesce(F.aggregate(flat, F.lit(0).cast("bigint"), lambda a, x: a + x["sql"]), F.lit(0)),
+        "script_tasks": n(F.filter(flat, lambda x: x["script"])),
+        "child_packages": n(F.filter(flat, lambda x: x["child"])),
+    }
+    return _package_rows(packages, ("sizes", "content"), row, made, xml, depth).select(*keys, "package", *made)

@@ -152,3 +152,43 @@ def test_handler_sql_in_any_spelling(make):
     xml = package(task("STOCK:SEQUENCE", "box", f"<DTS:Executables>{sql_task('one', 'SELECT 0').replace('</DTS:Executable>', handler + '</DTS:Executable>')}</DTS:Executables>"))
     got = [(r["task_name"], r["sql_text"]) for r in K.statement_rows(K.task_rows(rows(make, xml), ["name"]), ["name"]).collect()]
     assert sorted(got) == [("one", 'EXEC s.a "x"'), ("one", "SELECT 0"), ("one", "SELECT 1 WHERE 1 < 2")]
+
+
+def _odd_packages():
+    handler = f'<DTS:EventHandlers><DTS:EventHandler DTS:EventName="OnError"><DTS:Executables>{sql_task("log", "SELECT 9")}</DTS:Executables></DTS:EventHandler></DTS:EventHandlers>'
+    flow = '<DTS:ObjectData><pipeline><components><component name="a"><properties><property name="SqlCommand">SELECT 2</property><property name="SqlCommand"> </property></properties></component><component name="b"/></components></pipeline></DTS:ObjectData>'
+    call = '<DTS:ObjectData><ExecutePackageTask:ExecutePackageTaskData xmlns:ExecutePackageTask="e" ExecutePackageTask:PackageName="p"/></DTS:ObjectData>'
+    code = '<DTS:ObjectData><ScriptTask:ScriptTaskData xmlns:ScriptTask="s">x</ScriptTask:ScriptTaskData></DTS:ObjectData>'
+    inner = sql_task("in", "SELECT 1") + task("Microsoft.ScriptTask", "code", code) + task("Microsoft.ExecutePackageTask", "call", call)
+    head = '<DTS:ConnectionManagers><DTS:ConnectionManager DTS:ObjectName="c"><DTS:ObjectData><x>1</x></DTS:ObjectData></DTS:ConnectionManager><DTS:ConnectionManager/></DTS:ConnectionManagers><DTS:Variables><DTS:Variable DTS:ObjectName="v"/>text</DTS:Variables>'
+    tail = '<DTS:PrecedenceConstraints><DTS:PrecedenceConstraint DTS:From="Package\\a" DTS:To="Package\\b"/></DTS:PrecedenceConstraints>'
+    return [
+        package(task("STOCK:FORLOOP", "for", f"{handler}<DTS:Executables>{inner}</DTS:Executables>") + task("STOCK:PipelineTask", "flow", flow), "one", head, tail),
+        package(task("STOCK:SEQUENCE", "seq", f"{handler}<DTS:Executables>{inner}{task('STOCK:FORLOOP', 'for', f'<DTS:Executables>{nested(7)}</DTS:Executables>')}</DTS:Executables>"), "two"),
+        package(nested(8) + "<DTS:Executable/>", "three", head),
+        package("", "four"),
+    ]
+
+
+def test_counts_and_flow_agree_with_the_tasks(make):
+    """The lean readings find what the whole one finds, in every place SQL and tasks can stand."""
+    packages = rows(make, *_odd_packages())
+    tasks = K.task_rows(packages, ["name"])
+    own = F.col("owner").isNull()
+    held = tasks.groupBy("package").agg(F.count_if(own), F.sum(F.size("statements")), F.count_if("unparseable_body"), F.count("executed_package"))
+    want = {r[0]: tuple(r)[1:] for r in held.collect()} | {"four": (0, 0, 0, 0)}
+    cols = ["task_count", "embedded_sql_extracted", "script_tasks", "child_packages"]
+    counts = {r["package"]: r for r in K.content_counts(packages, ["name"]).collect()}
+    assert {p: tuple(r[c] for c in cols) for p, r in counts.items()} == want
+    heads = [(r["connection_managers"], r["variables"], r["precedence_constraints"]) for r in (counts["one"], counts["two"], counts["three"])]
+    assert heads == [(2, 1, 1), (0, 0, 0), (2, 1, 0)]
+    names, links = K.control_flow(packages, ["name"])
+    told = lambda df: sorted((r["name"], r["task_name"]) for r in df.collect())
+    assert told(names) == told(K.own_tasks(tasks))
+    assert [(r["from_task"], r["to_task"]) for r in links.collect()] == [("a", "b")]
+
+
+def test_packages_of_one_name_are_counted_apart(make):
+    """Counts stay in the row of their package: nothing is added up over packages that share keys and a name."""
+    packages = rows(make, package(sql_task("a", "SELECT 1"), "p"), package(sql_task("a", "SELECT 1") + sql_task("b", "SELECT 2"), "p")).withColumn("k", F.lit(1))
+    assert sorted(r["task_count"] for r in K.content_counts(packages, ["k"]).collect()) == [1, 2]
