@@ -112,11 +112,17 @@ def run_order(nodes: DataFrame, edges: DataFrame, scope: list[str], node: str, s
     the nodes hold nothing up. Both sides of every join are dealt by key: none is collected in the driver.
     """
     key = F.struct(*scope, node).alias("v")
-    all_ = nodes.select(key).distinct()
-    pairs = edges.select(F.struct(*scope, F.col(source).alias(node)).alias("u"), F.struct(*scope, F.col(target).alias(node)).alias("v")).distinct()
-    waits = cut(pairs.join(dealt(all_.withColumnRenamed("v", "u")), "u", "left_semi").join(dealt(all_), "v", "left_semi"))
-    before = cut(waits.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u")))
+    all_ = nodes.select(key)
+    pairs = edges.select(F.struct(*scope, F.col(source).alias(node)).alias("u"), F.struct(*scope, F.col(target).alias(node)).alias("v"))
+    # A target that is no node is the source of no edge that is left, so it holds nothing up and is told from the nodes at the end.
+    # Pairs are told apart where the join has dealt them.
+    waits = cut(pairs.join(dealt(all_.withColumnRenamed("v", "u")), "u", "left_semi").distinct())
+    many = Observation()
+    before = waits.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u"))
+    before = cut(before.observe(many, F.count_if(F.col("n") > 1).alias("n")))
     chains = _chains(before.filter("n = 1").select("v", F.col("u").alias("r"), F.lit(1).cast("long").alias("d")))
+    if not many.get["n"]:  # chains only
+        return _placed(all_, chains.select("v", F.when(~F.col("stuck"), F.col("d")).alias("step")))
     # What each task with several predecessors waits for: the ends of chains, at their distance; `stuck` where a chain has no end.
     merges = before.filter("n > 1").select("v")
     own = chains.select(F.col("v").alias("u"), "r", "d", "stuck")
@@ -133,26 +139,35 @@ def run_order(nodes: DataFrame, edges: DataFrame, scope: list[str], node: str, s
     steps = steps.select("v", F.when(~F.col("stuck"), F.col("b")).alias("step"), F.lit(True).alias("known"))
     ends = chains.join(dealt(steps.withColumnRenamed("v", "r")), "r", "left")
     step = F.when(~F.col("stuck") & (F.col("known").isNull() | F.col("step").isNotNull()), F.coalesce("step", F.lit(0)) + F.col("d"))
-    placed = steps.select("v", "step").unionByName(ends.select("v", step.alias("step"))).withColumn("placed", F.lit(True))
-    out = all_.join(dealt(placed), "v", "left").withColumn("step", F.when(F.col("placed").isNull(), 0).otherwise(F.col("step")).cast("int"))
-    return out.select("v.*", "step")
+    return _placed(all_, steps.select("v", "step").unionByName(ends.select("v", step.alias("step"))))
+
+
+def _placed(nodes: DataFrame, steps: DataFrame) -> DataFrame:
+    """Every node once, with its step; 0 without one. Both sides are met by one aggregate, which sorts neither."""
+    none = F.lit(None).cast("long")
+    sides = nodes.select("v", F.lit(True).alias("node"), F.lit(False).alias("placed"), none.alias("step")).unionByName(
+        steps.select("v", F.lit(False).alias("node"), F.lit(True).alias("placed"), F.col("step").cast("long").alias("step"))
+    )
+    met = sides.groupBy("v").agg(F.max("node").alias("node"), F.max("placed").alias("placed"), F.max("step").alias("step")).filter("node")
+    return met.select("v.*", F.when(F.col("placed"), F.col("step")).otherwise(0).cast("int").alias("step"))
 
 
 def _chains(links: DataFrame) -> DataFrame:
     """(v, r, d, stuck) of pointers (v, r, d): where each ends, and how far; stuck if it runs into a cycle.
 
-    Pointers that span more steps than there are pointers, and still move on, run in a cycle.
+    Pointers that span more steps than there are pointers, and still move on, run in a cycle. The first round follows
+    them once only, which is enough where no chain has more than one.
     """
-    links, reached = cut(links), 1
+    reached, times = 1, 1
     while True:
-        for _ in range(2):
+        for _ in range(times):
             onward = links.select(F.col("v").alias("r"), F.col("r").alias("r2"), F.col("d").alias("d2"))
             links = links.select("v", "r", "d").join(dealt(onward), "r", "left").select(
                 "v", F.coalesce("r2", "r").alias("r"), (F.col("d") + F.coalesce("d2", F.lit(0))).alias("d"), F.col("r2").isNotNull().alias("stuck")
             )
         seen = Observation()
         links = cut(links.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("stuck").alias("open")))
-        reached *= 4
+        reached, times = reached * 2**times, 2
         if not seen.get["open"] or reached > 2 * seen.get["n"]:
             return links
 

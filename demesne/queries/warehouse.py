@@ -160,8 +160,7 @@ SELECT project, name, task_name, CASE WHEN task_name = 'child' THEN 1 ELSE 0 END
 )
 def wl_run_order(t):
     keys = ["project", "name"]
-    tasks = K.own_tasks(K.task_rows(packages(t), keys))
-    order = K.precedence_rows(K.parse(packages(t), parts=("precedence",)), keys)
+    tasks, order = K.control_flow(packages(t), keys)
     return W.run_order(tasks, order, keys, "task_name", "from_task", "to_task")
 
 

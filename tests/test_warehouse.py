@@ -92,3 +92,16 @@ def test_run_order_broadcasts_nothing(make):
     out = W.run_order(tasks, links, ["scope"], "task", "a", "b")
     assert sorted((r["task"], r["step"]) for r in out.collect()) == [("t0", 0), ("t1", 1), ("t2", 2), ("t3", 3), ("t4", 4), ("t5", 0)]
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_order_of_short_chains_deals_the_nodes_twice(make, monkeypatch):
+    """Where no task waits for several, nothing is done for such; nodes are dealt to find the sources and to be placed, and sorted once."""
+    cuts = []
+    cut = W.cut
+    monkeypatch.setattr(W, "cut", lambda df: cuts.append(1) or cut(df))
+    nodes = make([("p", n) for n in "abbcd"] + [("q", "b")], "p string, n string")
+    links = make([("p", "a", "b"), ("p", "a", "b"), ("p", "c", "gone"), ("p", "gone", "d"), ("q", "a", "b")], "p string, f string, t string")
+    out = W.run_order(nodes, links, ["p"], "n", "f", "t")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and len(cuts) == 3
+    assert sorted(map(tuple, out.collect())) == [("p", "a", 0), ("p", "b", 1), ("p", "c", 0), ("p", "d", 0), ("q", "b", 0)]
