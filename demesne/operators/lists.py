@@ -48,14 +48,14 @@ def split_list(
 ) -> DataFrame:
     """One ordered column list split into key columns, their directions, and included columns."""
     folded = collect_ordered(df, keys, order, [flag, name, descending])
+    return folded.select(*keys, *[c.alias(n) for n, c in split_items(flag, name, descending).items()])
+
+
+def split_items(flag: str, name: str, descending: str) -> dict[str, Column]:
+    """Names of key columns, their directions, and names of included columns, out of ordered `_items`."""
     is_key = lambda x: ~x[flag]
     sort = F.transform(F.filter("_items", is_key), lambda x: F.when(x[descending], "DESC").otherwise("ASC"))
-    return folded.select(
-        *keys,
-        pick(name, is_key).alias("key_columns"),
-        sort.alias("key_column_sort"),
-        pick(name, lambda x: x[flag]).alias("included_columns"),
-    )
+    return {"key_columns": pick(name, is_key), "key_column_sort": sort, "included_columns": pick(name, lambda x: x[flag])}
 
 
 def nest(

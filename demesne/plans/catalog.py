@@ -36,9 +36,8 @@ from demesne.functions.scalars import (
     state_is,
     tri_state,
 )
-from demesne.operators.counters import distinct_and_max
 from demesne.operators.keyed import conditional_max, earliest, latest_per_key, percent_if_any
-from demesne.operators.lists import collect_ordered, ordered_list, split_list
+from demesne.operators.lists import collect_ordered, ordered_list, split_items
 from demesne.operators.membership import meet, tagged_union
 from demesne.schemas import METADATA
 from demesne.session import dealt
@@ -509,19 +508,18 @@ def agent_jobs(sys: Sys) -> DataFrame:
 # --- indexes ---
 
 
-def index_storage(sys: Sys) -> DataFrame:
-    """Partitions and allocation type per index, dealt by table."""
+def index_partitions(sys: Sys) -> DataFrame:
+    """Partitions of indexes with their allocation type."""
     units = (
         sys["allocation_units"].groupBy("database", F.col("container_id").alias("partition_id"))
         .agg(F.max("type_desc").alias("unit_type"))
     )
     parts = sys["partitions"].select(*IDX, "partition_id", "partition_number").join(units, ["database", "partition_id"], "left")
-    parts = parts.select(*IDX, "partition_number", "unit_type").repartition(*OBJ)
-    return distinct_and_max(parts, IDX, "partition_number", "unit_type", "partition_count", "allocation_unit_type")
+    return parts.select(*IDX, "partition_number", "unit_type")
 
 
-def index_lists(sys: Sys) -> DataFrame:
-    """Key and included columns per index, dealt by table: a column and its places in indexes meet in one aggregate."""
+def index_items(sys: Sys) -> DataFrame:
+    """Columns of indexes, dealt by table: a column and its places in indexes meet in one aggregate."""
     name = _columns(sys).withColumn("known", F.lit(True)).repartition(*OBJ)
     places = sys["index_columns"].select(
         *IDX,
@@ -532,7 +530,7 @@ def index_lists(sys: Sys) -> DataFrame:
         F.col("is_descending_key").cast("boolean").alias("is_descending"),
     )
     cols = meet([*OBJ, "column_id"], places.repartition(*OBJ), {"named": name}).filter("known")
-    return split_list(cols, IDX, ["key_ordinal", "index_column_id"], "is_included", "column_name", "is_descending")
+    return cols.select(*IDX, "key_ordinal", "index_column_id", "is_included", "column_name", "is_descending")
 
 
 def table_pages(sys: Sys) -> DataFrame:
@@ -556,8 +554,15 @@ def indexes(sys: Sys) -> DataFrame:
         *IDX, "avg_fragmentation_in_percent", "page_count", "avg_page_space_used_in_percent", "record_count"
     )
     usage = sys["index_usage_stats"].select(*IDX, "user_seeks", "user_scans", "user_lookups", "user_updates")
-    parts = {"lists": index_lists(sys), "storage": index_storage(sys), "physical": physical.repartition(*OBJ), "usage": usage.repartition(*OBJ)}
-    out = meet(IDX, named, parts)
+    # (the lists are bounded by the source: the columns of a table, and 15,000 partitions)
+    out = meet(
+        IDX, named, {"physical": physical.repartition(*OBJ), "usage": usage.repartition(*OBJ)},
+        {"_items": index_items(sys), "_parts": index_partitions(sys).repartition(*OBJ)},
+    )
+    out = out.withColumn("_items", F.array_sort("_items")).withColumns(split_items("is_included", "column_name", "is_descending"))
+    numbers = F.array_distinct(F.filter(F.transform("_parts", lambda x: x["partition_number"]), lambda n: n.isNotNull()))
+    out = out.withColumn("partition_count", F.when(F.size("_parts") > 0, F.size(numbers).cast("bigint")))
+    out = out.withColumn("allocation_unit_type", F.array_max(F.transform("_parts", lambda x: x["unit_type"])))
     return out.select(
         "database",
         "schema",
